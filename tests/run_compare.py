@@ -14,7 +14,7 @@ from tidewrack.session import build_session  # noqa: E402
 
 def main() -> None:
     sf_dir, names = sys.argv[1], sys.argv[2:]
-    spark = build_session("compare", "local[8]", 8, {"spark.ui.enabled": "false"})
+    spark = build_session("compare", "local[8]", 8, {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = duckdb_connection(sf_dir)
     queries, oracle = entry.queries(), entry.oracle_sql()

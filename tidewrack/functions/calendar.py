@@ -20,10 +20,12 @@ def wire_timestamp(value: str | Column) -> Column:
     return F.date_format(as_column(value), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def with_partitions(frame: DataFrame, time_column: str) -> DataFrame:
-    """Add zero-padded string columns year, month, day, hour."""
+def with_partitions(
+    frame: DataFrame, time_column: str, names: tuple[str, ...] = PARTITION_COLUMNS
+) -> DataFrame:
+    """Add zero-padded string columns year, month, day, hour (or the first of them)."""
     return frame.withColumns(
-        {name: F.date_format(F.col(time_column), _PATTERNS[name]) for name in PARTITION_COLUMNS}
+        {name: F.date_format(F.col(time_column), _PATTERNS[name]) for name in names}
     )
 
 

@@ -115,20 +115,27 @@ def fact_transaction(
 
 
 def fact_orphans(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
-    """Per foreign key: fact rows whose key is set but absent from its dimension."""
-    parts = None
-    for key, dimension in dimensions.items():
-        # fact keys are counted first: the anti join sees one row per key value
-        orphans = (
-            fact.filter(F.col(key).isNotNull())
-            .groupBy(F.col(key).cast("bigint").alias(key))
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .join(dimension.select(F.col(key).cast("bigint").alias(key)), key, "left_anti")
-            .agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("orphans"))
-            .select(F.lit(key).alias("foreign_key"), "orphans")
-        )
-        parts = orphans if parts is None else parts.unionByName(orphans)
-    return parts
+    """Per foreign key: fact rows whose key is set but absent from its dimension.
+
+    The fact is read once; its keys are counted before the anti join, which then sees
+    one row per key value however skewed the fact is.
+    """
+    keys = list(dimensions)
+    used = (
+        fact.select(*[F.col(k).cast("bigint").alias(k) for k in keys])
+        .unpivot([], keys, "foreign_key", "key")
+        .groupBy("foreign_key", "key")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    known = None
+    for name, dimension in dimensions.items():
+        part = dimension.select(F.lit(name).alias("foreign_key"), F.col(name).cast("bigint").alias("key"))
+        known = part if known is None else known.unionByName(part)
+    joined = used.join(known.withColumn("known", F.lit(True)), ["foreign_key", "key"], "left")
+    orphaned = F.col("key").isNotNull() & F.col("known").isNull()
+    return joined.groupBy("foreign_key").agg(
+        F.coalesce(F.sum(F.when(orphaned, F.col("rows"))), F.lit(0)).cast("bigint").alias("orphans")
+    )
 
 
 def load_star(spark: SparkSession, silver: DataFrame, profile: DataFrame, root: str) -> str:

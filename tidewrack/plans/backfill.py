@@ -102,9 +102,9 @@ def _run_days(
     )
     # stable name: a repeated range replaces its own files instead of adding to them
     batch_id = f"backfill-{first}-{last}"
-    path = lake.path("bronze", dataset)
     store.write_batch(
-        medallion.bronze(events, dataset, F.col("arrived_at")), path, "parquet", "ingested_at", batch_id
+        medallion.bronze(events, dataset, F.col("arrived_at")),
+        lake, "bronze", dataset, "ingested_at", batch_id,
     )
     medallion.append_silver(spark, lake, dataset, batch_id)
 

@@ -50,5 +50,5 @@ def gated_publish(
 def _quarantine(events: DataFrame, lake: Lake, dataset: str, batch_id: str) -> None:
     store.write_batch(
         quality.rejected_rows(events, dataset),
-        lake.path("quarantine", dataset), "json", "arrived_at", batch_id,
+        lake, "quarantine", dataset, "arrived_at", batch_id,
     )

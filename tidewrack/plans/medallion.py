@@ -66,11 +66,11 @@ def write_batch(
     stamp = F.col("arrived_at") if ingested_at is None else ingested_at
 
     store.write_batch(
-        bronze(events, dataset, stamp), lake.path("bronze", dataset), "parquet", "ingested_at", batch_id
+        bronze(events, dataset, stamp), lake, "bronze", dataset, "ingested_at", batch_id
     )
     store.write_batch(
         quality.rejected_rows(events, dataset),
-        lake.path("quarantine", dataset), "json", "arrived_at", batch_id,
+        lake, "quarantine", dataset, "arrived_at", batch_id,
     )
     append_silver(spark, lake, dataset, batch_id)
     publish_gold(spark, lake, dataset)
@@ -88,14 +88,14 @@ def append_silver(spark: SparkSession, lake: Lake, dataset: str, batch_id: str)
     if store.exists(spark, path):
         others = spark.read.parquet(path).filter(F.col("batch") != batch_id)
         kept = dedupe.skip_existing(kept, others)
-    store.write_batch(kept, path, "parquet", "ingested_at", batch_id)
+    store.write_batch(kept, lake, "silver", dataset, "ingested_at", batch_id)
 
 
 def rebuild_silver(spark: SparkSession, lake: Lake, dataset: str) -> None:
     """Full batch job bronze to silver, replacing the partitions it produces."""
     stored = spark.read.parquet(lake.path("bronze", dataset))
     kept = silver_from_bronze(stored.drop("year", "month", "day", "hour", "batch"))
-    store.overwrite_partitions(kept, lake.path("silver", dataset), "ingested_at")
+    store.overwrite_partitions(kept, lake, "silver", dataset, "ingested_at")
 
 
 def publish_gold(spark: SparkSession, lake: Lake, dataset: str) -> None:

@@ -195,14 +195,16 @@ _FIELDS = [
     ("timestamp", 1), ("merchant_id", 2), ("merchant_category", 2), ("email", 3), ("phone", 3), ("ip_address", 3),
     ("customer_name", 3), ("address", 3), ("device_id", 1), ("service", 1), ("level", 1),
 ]
-_SEEN = [f"SELECT schema_version, '{n}' AS field, 'string' AS type FROM txn2 WHERE schema_version >= {v} AND \"{n}\" IS NOT NULL" for n, v in _FIELDS]
+_SEEN = [f"{{'field': '{n}', 'type': CASE WHEN schema_version >= {v} AND \"{n}\" IS NOT NULL THEN 'string' END}}" for n, v in _FIELDS]
 _SEEN += [
-    "SELECT schema_version, 'amount', CASE WHEN amount IS NULL THEN 'string' ELSE 'number' END FROM txn2",
-    "SELECT schema_version, 'schema_version', 'number' FROM txn2",
-    "SELECT schema_version, 'risk_score', 'number' FROM txn2 WHERE schema_version >= 3 AND risk_score IS NOT NULL",
+    "{'field': 'amount', 'type': CASE WHEN amount IS NULL THEN 'string' ELSE 'number' END}",
+    "{'field': 'schema_version', 'type': 'number'}",
+    "{'field': 'risk_score', 'type': CASE WHEN schema_version >= 3 AND risk_score IS NOT NULL THEN 'number' END}",
 ]
-PROFILE = TXN + ",\nseen AS (" + "\nUNION ALL ".join(_SEEN) + """
-), profile AS (SELECT schema_version, field, type, count(*) AS records FROM seen GROUP BY ALL),
+PROFILE = TXN + ",\nseen AS (SELECT schema_version, unnest([" + ",\n ".join(_SEEN) + """]) AS f FROM txn2
+), profile AS MATERIALIZED (
+  SELECT schema_version, f.field AS field, f.type AS type, count(*) AS records FROM seen WHERE f.type IS NOT NULL GROUP BY ALL
+),
 dominant AS (
   SELECT schema_version AS v, field, type, field IN ('event_id','customer_id','event_type','amount','currency','timestamp') AS required
   FROM (SELECT *, row_number() OVER (PARTITION BY schema_version, field ORDER BY records DESC, type DESC) AS rn FROM profile) WHERE rn = 1
@@ -259,11 +261,11 @@ ORACLE: dict[str, str] = {
     "raw_parse_json": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "raw_scan_json": _with(TXN, """SELECT event_id, customer_id, event_type, amount_raw, amount, currency, country, event_ts,
         merchant_id, email, level, schema_version, risk_score, false AS corrupt FROM txn2"""),
-    "raw_landing": _with(TXN, "SELECT seq, arrived_at, event_id, amount_raw, amount, event_ts, risk_score FROM txn2"),
-    "bronze_roundtrip": _with(BRONZE, f'SELECT {_BRONZE_COLUMNS}, "year", "month", "day", "hour" FROM bronze'),
+    "raw_landing": _with(TXN, "SELECT seq, arrived_at, event_id, amount, event_ts, risk_score, amount IS NULL AS wrong_type FROM txn2"),
+    "bronze_roundtrip": _with(BRONZE, f'SELECT {_BRONZE_COLUMNS}, "year", "month", "day" FROM bronze'),
     "quarantine_roundtrip": _with(FLAGS, "SELECT seq, event_id, amount_raw, reasons FROM flags WHERE NOT (is_complete AND is_valid)"),
     "silver_overwrite": _with(SILVER, f"""SELECT event_id, amount_gbp, {_MASK_EMAIL} AS email, strftime(arrived_at, '%Y') AS "year",
-        strftime(arrived_at, '%m') AS "month", strftime(arrived_at, '%d') AS "day", strftime(arrived_at, '%H') AS "hour" FROM silver"""),
+        strftime(arrived_at, '%m') AS "month", strftime(arrived_at, '%d') AS "day" FROM silver"""),
     "gold_scan": _with(GOLD, "SELECT * FROM customer_activity"),
     "quality_report_roundtrip": _with(REPORT, "SELECT * FROM report"),
     "partition_counts": _with(BRONZE, 'SELECT "year", "month", "day", "hour", count(*) AS records FROM bronze GROUP BY ALL'),
@@ -435,8 +437,8 @@ ORACLE: dict[str, str] = {
         AND event_id NOT IN (SELECT event_id FROM bronze WHERE arrived_at < TIMESTAMP '2024-01-13')"""),
     "backfill_run": _with(SILVER, """, days AS (SELECT CAST(unnest(generate_series((SELECT date_trunc('day', min(ts)) FROM events),
           (SELECT date_trunc('day', max(ts)) FROM events), INTERVAL '1' DAY)) AS DATE) AS day)
-        SELECT 'transactions' AS dataset, day, count(s.seq) AS records, count(b.seq) - count(s.seq) AS skipped
-        FROM days LEFT JOIN bronze b ON CAST(b.arrived_at AS DATE) = day LEFT JOIN silver s ON s.seq = b.seq GROUP BY day"""),
+        SELECT 'transactions' AS dataset, days.day AS day, count(s.seq) AS records, count(b.seq) - count(s.seq) AS skipped
+        FROM days LEFT JOIN bronze b ON CAST(b.arrived_at AS DATE) = days.day LEFT JOIN silver s ON s.seq = b.seq GROUP BY days.day"""),
     "schema_field_profile": _with(PROFILE, "SELECT * FROM profile"),
     "schema_diff": _with(PROFILE, "SELECT * FROM diffs WHERE versions <> 'v2-v2'"),
     "schema_compatibility": _with(PROFILE, """SELECT versions, added, removed, changed,
@@ -470,12 +472,12 @@ ORACLE: dict[str, str] = {
     "medallion_job": _with(GOLD, """SELECT CAST(event_ts AS DATE) AS metric_date, count(*) AS transactions,
         CAST(sum(amount_gbp) AS DECIMAL(18,2)) AS volume, count(*) FILTER (WHERE is_fraud) AS fraud FROM silver GROUP BY 1"""),
     "bronze_to_silver_job": _with(SILVER, f"""SELECT event_id, seq, {_MASK_EMAIL} AS email, country_name, amount_gbp, is_fraud FROM silver"""),
-    "stream_landing": _with(TXN, "SELECT seq, arrived_at, event_id, amount_raw, event_ts FROM txn2"),
-    "stream_bronze": _with(BRONZE, """SELECT seq, event_id, amount_gbp, country_name, event_ts, is_fraud, "year", "month", "day", "hour" FROM bronze"""),
+    "stream_landing": _with(TXN, "SELECT seq, arrived_at, event_id, amount, event_ts FROM txn2"),
+    "stream_bronze": _with(BRONZE, """SELECT seq, event_id, amount_gbp, country_name, event_ts, is_fraud, "year", "month", "day" FROM bronze"""),
     "stream_quarantine": _with(FLAGS, """SELECT seq, event_id, reasons, 'schema_or_quality' AS quarantine_reason FROM flags
         WHERE NOT (is_complete AND is_valid)"""),
     "stream_dedup": _with(SILVER, "SELECT event_id FROM silver"),
-    "stream_silver": _with(SILVER, f"""SELECT event_id, seq, amount_gbp, {_MASK_EMAIL} AS email, "year", "month", "day", "hour" FROM silver"""),
+    "stream_silver": _with(SILVER, f"""SELECT event_id, seq, amount_gbp, {_MASK_EMAIL} AS email, "year", "month", "day" FROM silver"""),
     "stream_window_metrics": _with(FLAGS, f"""SELECT window_start, window_start + INTERVAL '5' MINUTE AS window_end, events, identified, revenue, errors,
         unusual, max_lag_micros FROM (SELECT {bucket('arrived_at', 300)} AS window_start, count(*) AS events, count(*) AS identified,
           CAST(coalesce(sum(round(amount * CAST(CASE currency WHEN 'GBP' THEN 1 WHEN 'EUR' THEN 0.85 WHEN 'USD' THEN 0.78

@@ -75,8 +75,8 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wire.to_payload(txn(spark, sf_dir))
 
 
-def new_lake(spark: SparkSession, label: str) -> Lake:
-    return Lake(shared_folder(spark, label))
+def new_lake(spark: SparkSession, label: str, grain: str = "day") -> Lake:
+    return Lake(shared_folder(spark, label), grain)
 
 
 def joined_reasons() -> Column:
@@ -112,29 +112,29 @@ def raw_scan_json(spark, sf_dir):
 @query
 def raw_landing(spark, sf_dir):
     lake = new_lake(spark, "raw-landing")
-    store.land_raw(payloads(spark, sf_dir), lake, DATASET, "b1")
-    store.land_raw(payloads(spark, sf_dir), lake, DATASET, "b1")
+    for _ in range(2):  # the repeat replaces the batch
+        store.land_raw(payloads(spark, sf_dir), lake, DATASET, "b1")
     return store.read_raw(spark, lake, DATASET).select(
-        "seq", "arrived_at", "event_id", "amount_raw", "amount", "event_ts", "risk_score"
+        "seq", "arrived_at", "event_id", "amount", "event_ts", "risk_score",
+        quality.wrong_type_amount().alias("wrong_type"),
     )
 
 
 @query
 def bronze_roundtrip(spark, sf_dir):
     lake = new_lake(spark, "bronze")
-    path = lake.path("bronze", DATASET)
-    store.write_batch(bronze(spark, sf_dir), path, "parquet", "event_ts", "b1")
-    return spark.read.parquet(path).select(*BRONZE_COLUMNS, "year", "month", "day", "hour")
+    store.write_batch(bronze(spark, sf_dir), lake, "bronze", DATASET, "event_ts", "b1")
+    stored = store.read_layer(spark, lake, "bronze", DATASET)
+    return stored.select(*BRONZE_COLUMNS, "year", "month", "day")
 
 
 @query
 def quarantine_roundtrip(spark, sf_dir):
     lake = new_lake(spark, "quarantine")
-    path = lake.path("quarantine", DATASET)
     rejected = quality.rejected_rows(txn(spark, sf_dir), DATASET)
-    store.write_batch(rejected, path, "json", "arrived_at", "b1")
+    store.write_batch(rejected, lake, "quarantine", DATASET, "arrived_at", "b1")
     stored = spark.read.schema("seq BIGINT, event_id STRING, amount_raw STRING, reasons ARRAY<STRING>")
-    return stored.json(path).select("seq", "event_id", "amount_raw", joined_reasons())
+    return stored.json(lake.path("quarantine", DATASET)).select("seq", "event_id", "amount_raw", joined_reasons())
 
 
 @query
@@ -142,13 +142,13 @@ def silver_overwrite(spark, sf_dir):
     lake = new_lake(spark, "silver")
     path = lake.path("silver", DATASET)
     rows = medallion.silver(txn(spark, sf_dir), DATASET, F.col("arrived_at"))
-    store.overwrite_partitions(rows, path, "ingested_at")
+    store.overwrite_partitions(rows, lake, "silver", DATASET, "ingested_at")
     # replacing one day must leave the others alone
     day = spark.read.parquet(path).filter("month = '01' AND day = '05'")
-    replaced = new_lake(spark, "silver-day").path("silver", DATASET)
-    day.drop("year", "month", "day", "hour").write.parquet(replaced)
-    store.overwrite_partitions(spark.read.parquet(replaced), path, "ingested_at")
-    return spark.read.parquet(path).select("event_id", "amount_gbp", "email", "year", "month", "day", "hour")
+    one_day = new_lake(spark, "silver-day").path("silver", DATASET)
+    day.drop("year", "month", "day").write.parquet(one_day)
+    store.overwrite_partitions(spark.read.parquet(one_day), lake, "silver", DATASET, "ingested_at")
+    return spark.read.parquet(path).select("event_id", "amount_gbp", "email", "year", "month", "day")
 
 
 @query
@@ -173,9 +173,10 @@ def partition_counts(spark, sf_dir):
 
 @query
 def partition_pruned(spark, sf_dir):
-    lake = new_lake(spark, "pruned")
+    lake = new_lake(spark, "pruned", "hour")
     path = lake.path("bronze", DATASET)
-    store.write_batch(bronze(spark, sf_dir), path, "parquet", "event_ts", "b1")
+    rows = bronze(spark, sf_dir).select("seq", "event_ts", "amount_gbp")
+    store.write_batch(rows, lake, "bronze", DATASET, "event_ts", "b1")
     hours = F.col("hour").between("06", "11")
     return (
         spark.read.parquet(path)
@@ -306,7 +307,7 @@ def gated_publish(spark, sf_dir):
     lake = new_lake(spark, "gate")
     store.write_batch(
         medallion.silver(events, DATASET, F.col("arrived_at")),
-        lake.path("silver", DATASET), "parquet", "ingested_at", "b1",
+        lake, "silver", DATASET, "ingested_at", "b1",
     )
     gate.gated_publish(spark, lake, DATASET, events, "b1")
     gate.gated_publish(spark, lake, DATASET, events, "b2", gate=101)
@@ -683,6 +684,13 @@ def profile(spark, sf_dir) -> DataFrame:
     return drift.field_profile(wire.to_payload(txn(spark, sf_dir), by_version=True))
 
 
+def stored_profile(spark, sf_dir) -> DataFrame:
+    """The profile as a table (a row per version, field and type): payloads are read once."""
+    path = f"{shared_folder(spark, 'profile')}/fields"
+    profile(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def version_fields(observed: DataFrame, version: int) -> DataFrame:
     required = [name for name, _, needed in schemas.declared_fields(version) if needed]
     return drift.dominant_types(observed, version, required)
@@ -695,7 +703,7 @@ def schema_field_profile(spark, sf_dir):
 
 @query
 def schema_diff(spark, sf_dir):
-    observed = profile(spark, sf_dir)
+    observed = stored_profile(spark, sf_dir)
     fields = {v: version_fields(observed, v) for v in (1, 2, 3)}
     steps = [
         drift.diff_fields(fields[a], fields[b]).select(
@@ -708,7 +716,7 @@ def schema_diff(spark, sf_dir):
 
 @query
 def schema_compatibility(spark, sf_dir):
-    observed = profile(spark, sf_dir)
+    observed = stored_profile(spark, sf_dir)
     fields = {v: version_fields(observed, v) for v in (1, 2, 3)}
     steps = [
         drift.classify(drift.diff_fields(fields[a], fields[b])).select(
@@ -721,7 +729,7 @@ def schema_compatibility(spark, sf_dir):
 
 @query
 def schema_fields_added(spark, sf_dir):
-    observed = profile(spark, sf_dir)
+    observed = stored_profile(spark, sf_dir)
     return drift.field_set_difference(version_fields(observed, 3), version_fields(observed, 1))
 
 
@@ -862,7 +870,7 @@ def medallion_job(spark, sf_dir):
 @query
 def bronze_to_silver_job(spark, sf_dir):
     lake = new_lake(spark, "rebuild")
-    store.write_batch(bronze(spark, sf_dir), lake.path("bronze", DATASET), "parquet", "ingested_at", "b1")
+    store.write_batch(bronze(spark, sf_dir), lake, "bronze", DATASET, "ingested_at", "b1")
     medallion.rebuild_silver(spark, lake, DATASET)
     return spark.read.parquet(lake.path("silver", DATASET)).select(
         "event_id", "seq", "email", "country_name", "amount_gbp", "is_fraud"
@@ -882,7 +890,7 @@ def stream_landing(spark, sf_dir):
     lake = new_lake(spark, "stream-landing")
     ingest.run_available(ingest.landing(wire.to_payload(txn_stream(spark, sf_dir)), lake, DATASET))
     rows = spark.read.schema(schemas.RAW_SCHEMA).json(lake.path("raw", DATASET))
-    return wire.parse_payloads(rows).select("seq", "arrived_at", "event_id", "amount_raw", "event_ts")
+    return wire.parse_payloads(rows).select("seq", "arrived_at", "event_id", "amount", "event_ts")
 
 
 @query
@@ -891,7 +899,7 @@ def stream_bronze(spark, sf_dir):
     ingest.run_available(ingest.bronze(txn_stream(spark, sf_dir), lake, DATASET))
     return spark.read.parquet(lake.path("bronze", DATASET)).select(
         "seq", "event_id", "amount_gbp", "country_name", "event_ts", "is_fraud",
-        "year", "month", "day", "hour",
+        "year", "month", "day",
     )
 
 
@@ -917,7 +925,7 @@ def stream_silver(spark, sf_dir):
     lake = new_lake(spark, "stream-silver")
     ingest.run_available(ingest.silver(txn_stream(spark, sf_dir), lake, DATASET))
     return spark.read.parquet(lake.path("silver", DATASET)).select(
-        "event_id", "seq", "amount_gbp", "email", "year", "month", "day", "hour"
+        "event_id", "seq", "amount_gbp", "email", "year", "month", "day"
     )
 
 

@@ -90,6 +90,16 @@ WIRE_FIELDS = (
 
 WIRE_SCHEMA = T.StructType([T.StructField(name, T.StringType(), True) for name in WIRE_FIELDS])
 
+# From payload text, numbers read as strings would pass through a double; a variant
+# keeps every digit, and also keeps a value of the wrong type.
+EXACT_FIELDS = ("amount", "risk_score")
+PAYLOAD_SCHEMA = T.StructType(
+    [
+        T.StructField(name, T.VariantType() if name in EXACT_FIELDS else T.StringType(), True)
+        for name in WIRE_FIELDS
+    ]
+)
+
 RAW_SCHEMA = T.StructType(
     [
         T.StructField("payload", T.StringType(), True),

@@ -13,13 +13,23 @@ from tidewrack.schemas import GOLD_SCHEMAS, RAW_SCHEMA
 from tidewrack.sources.wire import parse_payloads
 
 _JSON_LAYERS = ("raw", "quarantine")
+# microseconds survive; the JSON default keeps milliseconds only
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 @dataclass(frozen=True)
 class Lake:
-    """``root/layer/dataset/year=/month=/day=/hour=`` on storage all executors share."""
+    """``root/layer/dataset/year=/month=/day=/hour=`` on storage all executors share.
+
+    ``grain`` "day" leaves out the hour folders, for datasets with little data per hour.
+    """
 
     root: str
+    grain: str = "hour"
+
+    @property
+    def partitions(self) -> tuple[str, ...]:
+        return PARTITION_COLUMNS[: PARTITION_COLUMNS.index(self.grain) + 1]
 
     def path(self, layer: str, dataset: str) -> str:
         if layer not in domain.LAYERS:
@@ -48,35 +58,47 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return system.exists(hadoop_path) and system.getFileStatus(hadoop_path).isDirectory()
 
 
-def write_batch(frame: DataFrame, path: str, fmt: str, time_column: str, batch_id: str) -> None:
+def layer_format(layer: str) -> str:
+    return "json" if layer in _JSON_LAYERS else "parquet"
+
+
+def layer_options(layer: str) -> dict[str, str]:
+    return JSON_OPTIONS if layer in _JSON_LAYERS else {}
+
+
+def write_batch(
+    frame: DataFrame, lake: Lake, layer: str, dataset: str, time_column: str, batch_id: str
+) -> None:
     """Append one batch so that repeating the batch replaces only its own files.
 
     The batch id is the innermost partition and only partitions present in the output
     are overwritten. The rebalance hint keeps files near the advisory size: hours with
     little data share a task, a hot hour is split over many.
     """
-    keys = [*PARTITION_COLUMNS, "batch"]
     (
-        with_partitions(frame, time_column)
+        with_partitions(frame, time_column, lake.partitions)
         .withColumn("batch", F.lit(batch_id))
-        .hint("rebalance", *PARTITION_COLUMNS)
+        .hint("rebalance", *lake.partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .format(fmt)
-        .save(path)
+        .options(**layer_options(layer))
+        .partitionBy(*lake.partitions, "batch")
+        .format(layer_format(layer))
+        .save(lake.path(layer, dataset))
     )
 
 
-def overwrite_partitions(frame: DataFrame, path: str, time_column: str) -> None:
-    """Replace the hour partitions present in ``frame``; others stay."""
+def overwrite_partitions(
+    frame: DataFrame, lake: Lake, layer: str, dataset: str, time_column: str
+) -> None:
+    """Replace the partitions present in ``frame``; others stay."""
     (
-        with_partitions(frame, time_column)
-        .hint("rebalance", *PARTITION_COLUMNS)
+        with_partitions(frame, time_column, lake.partitions)
+        .hint("rebalance", *lake.partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_COLUMNS)
-        .parquet(path)
+        .partitionBy(*lake.partitions)
+        .parquet(lake.path(layer, dataset))
     )
 
 
@@ -84,16 +106,13 @@ def land_raw(payloads: DataFrame, lake: Lake, dataset: str, batch_id: str) -> No
     """Exact payload text with its arrival stamp, partitioned by arrival."""
     write_batch(
         payloads.select("payload", "arrived_at", "seq"),
-        lake.path("raw", dataset),
-        "json",
-        "arrived_at",
-        batch_id,
+        lake, "raw", dataset, "arrived_at", batch_id,
     )
 
 
 def read_raw(spark: SparkSession, lake: Lake, dataset: str, only: Column | None = None) -> DataFrame:
     """Raw layer parsed to typed events. ``only`` filters partition columns first."""
-    partitions = ", ".join(f"{name} STRING" for name in (*PARTITION_COLUMNS, "batch"))
+    partitions = ", ".join(f"{name} STRING" for name in (*lake.partitions, "batch"))
     ddl = f"{RAW_SCHEMA.toDDL()}, {partitions}"
     stored = spark.read.schema(ddl).json(lake.path("raw", dataset))
     if only is not None:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewrack.functions.calendar import parse_timestamp
-from tidewrack.schemas import WIRE_FIELDS, WIRE_SCHEMA
+from tidewrack.schemas import EXACT_FIELDS, PAYLOAD_SCHEMA, WIRE_FIELDS, WIRE_SCHEMA
 from tidewrack.functions.values import has
 
 
@@ -16,12 +16,12 @@ def parse_payloads(raw: DataFrame) -> DataFrame:
     A payload that is not JSON becomes a row without fields, which the quality rules
     then quarantine; nothing is dropped here.
     """
+    kept = [c for c in raw.columns if c != "payload"]
     parsed = raw.select(
-        F.from_json(F.col("payload").cast("string"), WIRE_SCHEMA).alias("event"),
-        *[c for c in raw.columns if c != "payload"],
+        F.from_json(F.col("payload").cast("string"), PAYLOAD_SCHEMA).alias("event"), *kept
     )
-    kept = [c for c in raw.columns if c != "payload"]
-    return type_events(parsed.select("event.*", *kept))
+    wire = parsed.select("event.*", *kept)
+    return type_events(wire.withColumns({n: F.col(n).cast("string") for n in EXACT_FIELDS}))
 
 
 def type_events(wire: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewrack import domain
-from tidewrack.functions.calendar import PARTITION_COLUMNS, with_partitions
+from tidewrack.functions.calendar import with_partitions
 from tidewrack.operators import dedupe, enrich, pii, quality
 from tidewrack.operators.gold import GOLD
 from tidewrack.sources import lake as store
@@ -30,29 +30,21 @@ def run_available(writer: DataStreamWriter) -> StreamingQuery:
 
 def landing(payloads: DataFrame, lake: Lake, dataset: str) -> DataStreamWriter:
     """Exact payloads to the raw layer, by arrival hour."""
-    return _file_sink(
-        with_partitions(payloads.select("payload", "arrived_at", "seq"), "arrived_at"),
-        "json", lake.path("raw", dataset), lake.checkpoint_path(f"landing-{dataset}"),
-    )
+    rows = payloads.select("payload", "arrived_at", "seq")
+    return _file_sink(rows, lake, "raw", dataset, "arrived_at", "landing")
 
 
 def bronze(events: DataFrame, lake: Lake, dataset: str) -> DataStreamWriter:
     """Accepted rows to Parquet in their event-time hour, however late they are."""
     rows = enrich.enrich(quality.accepted_rows(events, dataset), F.col("arrived_at"))
-    return _file_sink(
-        with_partitions(rows, "event_ts"),
-        "parquet", lake.path("bronze", dataset), lake.checkpoint_path(f"bronze-{dataset}"),
-    )
+    return _file_sink(rows, lake, "bronze", dataset, "event_ts", "bronze")
 
 
 def quarantine(events: DataFrame, lake: Lake, dataset: str) -> DataStreamWriter:
     rows = quality.rejected_rows(events, dataset).withColumn(
         "quarantine_reason", F.lit("schema_or_quality")
     )
-    return _file_sink(
-        with_partitions(rows, "arrived_at"),
-        "json", lake.path("quarantine", dataset), lake.checkpoint_path(f"quarantine-{dataset}"),
-    )
+    return _file_sink(rows, lake, "quarantine", dataset, "arrived_at", "quarantine")
 
 
 def distinct_events(events: DataFrame, dataset: str, horizon: str = domain.DEDUP_HORIZON) -> DataFrame:
@@ -67,11 +59,8 @@ def distinct_events(events: DataFrame, dataset: str, horizon: str = domain.DEDUP
 
 def deduplicated(events: DataFrame, lake: Lake, dataset: str, horizon: str = domain.DEDUP_HORIZON) -> DataStreamWriter:
     """``distinct_events`` to a Parquet table."""
-    return _file_sink(
-        with_partitions(distinct_events(events, dataset, horizon), "event_ts"),
-        "parquet", lake.path("bronze", f"{dataset}_distinct"),
-        lake.checkpoint_path(f"distinct-{dataset}"),
-    )
+    rows = distinct_events(events, dataset, horizon)
+    return _file_sink(rows, lake, "bronze", f"{dataset}_distinct", "event_ts", "distinct")
 
 
 def _silver_batch(lake: Lake, dataset: str):
@@ -83,7 +72,7 @@ def _silver_batch(lake: Lake, dataset: str):
         name = f"stream-{batch_id}"
         kept = dedupe.keep_first(batch)
         if not store.exists(spark, path):
-            store.write_batch(pii.apply_policy(kept, "analyst"), path, "parquet", "event_ts", name)
+            store.write_batch(pii.apply_policy(kept, "analyst"), lake, "silver", dataset, "event_ts", name)
             return
         kept = kept.persist()
         try:
@@ -94,7 +83,7 @@ def _silver_batch(lake: Lake, dataset: str):
             # look the batch up in silver, so that silver itself is scanned, not shuffled
             known = stored.join(ids, "event_id", "left_semi")
             fresh = dedupe.skip_existing(kept, known)
-            store.write_batch(pii.apply_policy(fresh, "analyst"), path, "parquet", "event_ts", name)
+            store.write_batch(pii.apply_policy(fresh, "analyst"), lake, "silver", dataset, "event_ts", name)
         finally:
             kept.unpersist()
 
@@ -151,11 +140,15 @@ def daily_gold(events: DataFrame, lake: Lake, dataset: str) -> DataStreamWriter:
     )
 
 
-def _file_sink(rows: DataFrame, fmt: str, path: str, checkpoint: str) -> DataStreamWriter:
+def _file_sink(
+    rows: DataFrame, lake: Lake, layer: str, dataset: str, time_column: str, name: str
+) -> DataStreamWriter:
     return (
-        rows.writeStream.format(fmt)
+        with_partitions(rows, time_column, lake.partitions)
+        .writeStream.format(store.layer_format(layer))
         .outputMode("append")
-        .partitionBy(*PARTITION_COLUMNS)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
+        .options(**store.layer_options(layer))
+        .partitionBy(*lake.partitions)
+        .option("path", lake.path(layer, dataset))
+        .option("checkpointLocation", lake.checkpoint_path(f"{name}-{dataset}"))
     )
