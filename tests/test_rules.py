@@ -263,3 +263,27 @@ def test_salted_distribution_splits_a_hot_key(spark):
 def test_skip_existing(spark):
     a = spark.sql("SELECT * FROM VALUES ('x'), ('y') AS t(event_id)")
     assert [r[0] for r in dedupe.skip_existing(a, a.filter("event_id = 'x'")).collect()] == ["y"]
+
+
+@pytest.mark.parametrize("dataset", ["transactions", "logs"])
+def test_accepted_is_complete_and_valid(spark, dataset):
+    """Every combination of present, empty, missing and wrong values."""
+    frame = spark.sql(
+        """SELECT * FROM VALUES ('e'), (''), (NULL) AS a(event_id),
+             VALUES ('p'), ('') AS b(event_type), VALUES ('c'), (''), (NULL) AS c(customer_id),
+             VALUES ('1.50'), ('-2'), ('0'), ('x'), (''), (NULL) AS d(amount_raw),
+             VALUES ('GBP'), ('XXX'), (''), (NULL) AS e(currency),
+             VALUES ('2026-01-01T00:00:00Z'), ('2026-01-01T00:02:00Z'), ('soon'), (NULL) AS f(timestamp)"""
+    ).withColumns(
+        {
+            "amount": F.col("amount_raw").try_cast("decimal(18,2)"),
+            "event_ts": F.try_to_timestamp("timestamp"),
+            "arrived_at": F.lit("2026-01-01 00:00:30").cast("timestamp"),
+        }
+    )
+    long_form = quality.is_complete(dataset) & quality.is_valid()
+    short_form = F.coalesce(quality.is_accepted(dataset), F.lit(False))
+    assert frame.filter(long_form != short_form).count() == 0
+    assert frame.filter(long_form).count() > 0
+    flagged = frame.withColumn("reasons", quality.reasons(dataset))
+    assert flagged.filter((F.size("reasons") == 0) != long_form).count() == 0

@@ -15,10 +15,14 @@ def as_column(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def filled(value: str | Column) -> Column:
+    """Present, for filters: one comparison that reaches the scan; null when null."""
+    return as_column(value) > F.lit("")
+
+
 def has(value: str | Column) -> Column:
     """True when present: neither null nor the empty string. Never null itself."""
-    column = as_column(value)
-    return column.isNotNull() & (column != F.lit(""))
+    return F.coalesce(filled(value), F.lit(False))
 
 
 def or_default(value: str | Column, default: str) -> Column:

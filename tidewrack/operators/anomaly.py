@@ -17,11 +17,11 @@ from tidewrack.functions.labels import (
 )
 from tidewrack.functions.values import fx_rate, has, ratio
 from tidewrack.operators.enrich import unusual_country
-from tidewrack.operators.quality import is_complete, is_valid
+from tidewrack.operators.quality import is_accepted
 
 def window_totals(events: DataFrame, dataset: str, width: str = "5 minutes") -> DataFrame:
     """Additive counters per arrival window; batch or streaming."""
-    accepted = is_complete(dataset) & is_valid()
+    accepted = is_accepted(dataset)
     gbp = F.round(F.col("amount") * fx_rate("currency"), 2)
     return (
         events.groupBy(tumbling("arrived_at", width).alias("w"))

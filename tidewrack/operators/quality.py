@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewrack import domain
-from tidewrack.functions.values import all_of, any_of, has, percentage, ratio
+from tidewrack.functions.values import all_of, any_of, filled, has, percentage, ratio
 
 DUPLICATE = ("DUPLICATE event_id", "event_id")
 
@@ -66,6 +66,30 @@ def is_valid() -> Column:
     return all_of([~rule.failed for rule in invalid_rules()])
 
 
+def is_accepted(dataset: str) -> Column:
+    """Complete and valid, in the form scans can push down. Null counts as no.
+
+    The rules collapse: an accepted amount is a non-negative number, which is also
+    present; an accepted currency is one of the list, which is also present.
+    """
+    future = F.col("event_ts") > F.col("arrived_at") + F.expr(
+        f"INTERVAL {domain.FUTURE_TOLERANCE_SECONDS} SECONDS"
+    )
+    common = [filled(name) for name in domain.REQUIRED_FIELDS]
+    timely = F.coalesce(~future, F.lit(True))
+    if dataset in domain.NON_FINANCIAL_DATASETS:
+        return all_of([*common, ~bad_currency(), ~negative_amount(), ~wrong_type_amount(), timely])
+    return all_of(
+        [
+            *common,
+            filled("customer_id"),
+            F.col("currency").isin(*domain.CURRENCIES),
+            F.col("amount") >= 0,
+            timely,
+        ]
+    )
+
+
 def reasons(dataset: str) -> Column:
     rules = missing_rules(dataset) + invalid_rules()
     return F.array_compact(F.array(*[F.when(r.failed, F.lit(r.code)) for r in rules]))
@@ -73,12 +97,12 @@ def reasons(dataset: str) -> Column:
 
 def accepted_rows(events: DataFrame, dataset: str) -> DataFrame:
     """Rows routed to bronze. Duplicates pass; silver removes them."""
-    return events.filter(is_complete(dataset) & is_valid())
+    return events.filter(is_accepted(dataset))
 
 
 def rejected_rows(events: DataFrame, dataset: str) -> DataFrame:
     """The exact complement of ``accepted_rows``, with the reasons of each row."""
-    return events.filter(~(is_complete(dataset) & is_valid())).withColumn(
+    return events.filter(~F.coalesce(is_accepted(dataset), F.lit(False))).withColumn(
         "reasons", reasons(dataset)
     )
 
@@ -136,7 +160,7 @@ def with_duplicate_flag(events: DataFrame) -> DataFrame:
 
 
 def _per_id(events: DataFrame, dataset: str) -> DataFrame:
-    good = is_complete(dataset) & is_valid()
+    good = F.coalesce(is_accepted(dataset), F.lit(False))
     return (
         events.select(
             "event_id",

@@ -29,13 +29,9 @@ def snapshot(events: DataFrame, dataset: str) -> DataFrame:
     report = quality.quality_report(events, dataset).select(
         F.col("score").alias("data_quality"), "quarantined"
     )
-    # both sides are one row
-    key = F.lit(1).alias("_one")
-    return (
-        stream.select("*", key)
-        .join(report.select("*", key), "_one")
-        .drop("_one")
-    )
+    # each side is one row with its own columns: stack and merge instead of joining
+    both = stream.unionByName(report, allowMissingColumns=True)
+    return both.agg(*[F.max(name).alias(name) for name in both.columns])
 
 
 def _grade(value, healthy, degraded):
