@@ -17,10 +17,10 @@ def parse_payloads(raw: DataFrame) -> DataFrame:
     then quarantine; nothing is dropped here.
     """
     kept = [c for c in raw.columns if c != "payload"]
-    parsed = raw.select(
-        F.from_json(F.col("payload").cast("string"), PAYLOAD_SCHEMA).alias("event"), *kept
-    )
-    wire = parsed.select("event.*", *kept)
+    # generated rather than projected: filters stay above, so a payload is parsed once
+    # and not once per predicate
+    event = F.from_json(F.col("payload").cast("string"), PAYLOAD_SCHEMA)
+    wire = raw.select(F.inline_outer(F.array(event)), *kept)
     return type_events(wire.withColumns({n: F.col(n).cast("string") for n in EXACT_FIELDS}))
 
 
