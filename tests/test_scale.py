@@ -95,3 +95,30 @@ def test_columns_and_filters_reach_the_scan(spark, tmp_path):
     assert "GreaterThan(event_id,)" in plan
     read_schema = plan[plan.index("ReadSchema"):]
     assert "merchant_category" not in read_schema and "level" not in read_schema
+
+
+def test_payloads_are_parsed_once(spark, sf):
+    from tidewrack.sources import wire
+
+    rows = wire.to_payload(txn(spark, sf))
+    plan = plan_of(medallion.bronze(wire.parse_payloads(rows), DATASET, F.col("arrived_at")))
+    generates = [line for line in plan.splitlines() if "Generate" in line and "inline" in line]
+    assert len(generates) == 1
+    assert plan.count("JsonToStructs") + plan.count("from_json") <= 1
+
+
+def test_large_batch_is_joined_and_small_batch_looked_up(spark, sf, monkeypatch):
+    from tidewrack.session import shared_folder
+    from tidewrack.sources import lake as store
+    from tidewrack.sources.lake import Lake
+
+    core = medallion.silver_core(txn(spark, sf), DATASET, F.col("arrived_at"))
+    counts = []
+    for limit in (1_000_000, 0):
+        monkeypatch.setattr(medallion, "BROADCAST_ID_LIMIT", limit)
+        lake = Lake(shared_folder(spark, "test-silver-limit"), "day")
+        for name, rows in (("a", core.filter("seq < 600")), ("b", core)):
+            medallion.add_to_silver(spark, lake, DATASET, rows, "arrived_at", name)
+        silver = store.read_layer(spark, lake, "silver", DATASET)
+        counts.append((silver.count(), silver.filter("batch = 'b'").agg(F.min("seq")).first()[0] >= 600))
+    assert counts == [(960, True), (960, True)]

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewrack.functions.calendar import expand_days
-from tidewrack.operators import dedupe
 from tidewrack.plans import medallion
 from tidewrack.sources import lake as store
 from tidewrack.sources.lake import Lake
@@ -64,12 +63,6 @@ def status(days: DataFrame, ledger: DataFrame) -> DataFrame:
     )
 
 
-def replay(bronze: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """Bronze rows of the range that add a new id to silver."""
-    kept = medallion.silver_from_bronze(bronze)
-    return kept if existing is None else dedupe.skip_existing(kept, existing)
-
-
 def run(
     spark: SparkSession, lake: Lake, dataset: str, start: str, end: str, dry_run: bool = False
 ) -> DataFrame:
@@ -104,7 +97,7 @@ def _run_days(
     batch_id = f"backfill-{first}-{last}"
     store.write_batch(
         medallion.bronze(events, dataset, F.col("arrived_at")),
-        lake, "bronze", dataset, "ingested_at", batch_id,
+        lake, "bronze", dataset, "ingested_at", batch_id, gather=False,
     )
     medallion.append_silver(spark, lake, dataset, batch_id)
 

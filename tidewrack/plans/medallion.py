@@ -9,6 +9,9 @@ from tidewrack.operators import dedupe, enrich, gold, pii, quality
 from tidewrack.sources import lake as store
 from tidewrack.sources.lake import Lake
 
+# ids of one batch that may be broadcast against stored silver (about 100 MB)
+BROADCAST_ID_LIMIT = 1_000_000
+
 
 def bronze(events: DataFrame, dataset: str, ingested_at: Column | None = None) -> DataFrame:
     return enrich.enrich(quality.accepted_rows(events, dataset), ingested_at)
@@ -65,8 +68,10 @@ def write_batch(
     events = store.read_raw(spark, lake, dataset, F.col("batch") == batch_id)
     stamp = F.col("arrived_at") if ingested_at is None else ingested_at
 
+    # bronze by arrival has raw's partitions: a map-only job, no shuffle
     store.write_batch(
-        bronze(events, dataset, stamp), lake, "bronze", dataset, "ingested_at", batch_id
+        bronze(events, dataset, stamp), lake, "bronze", dataset, "ingested_at", batch_id,
+        gather=ingested_at is not None,
     )
     store.write_batch(
         quality.rejected_rows(events, dataset),
@@ -83,12 +88,32 @@ def append_silver(spark: SparkSession, lake: Lake, dataset: str, batch_id: str)
     """Add a bronze batch's new ids to silver; ids stored by other batches are skipped."""
     fresh = spark.read.parquet(lake.path("bronze", dataset)).filter(F.col("batch") == batch_id)
     fresh = fresh.drop("year", "month", "day", "hour", "batch")
-    kept = silver_from_bronze(fresh)
+    add_to_silver(spark, lake, dataset, dedupe.keep_first(fresh), "ingested_at", batch_id)
+
+
+def add_to_silver(
+    spark: SparkSession, lake: Lake, dataset: str, unique: DataFrame, time_column: str, batch_id: str
+) -> None:
+    """Mask and store rows (one per id) whose id no other batch has stored.
+
+    A small batch is looked up in silver by broadcasting its ids, so that silver is
+    only scanned; a batch over the limit is joined by shuffling both sides.
+    """
     path = lake.path("silver", dataset)
-    if store.exists(spark, path):
-        others = spark.read.parquet(path).filter(F.col("batch") != batch_id)
-        kept = dedupe.skip_existing(kept, others)
-    store.write_batch(kept, lake, "silver", dataset, "ingested_at", batch_id)
+    if not store.exists(spark, path):
+        masked = pii.apply_policy(unique, "analyst")
+        store.write_batch(masked, lake, "silver", dataset, time_column, batch_id)
+        return
+    unique = unique.persist()
+    try:
+        stored = spark.read.parquet(path).filter(F.col("batch") != batch_id).select("event_id")
+        if unique.count() <= BROADCAST_ID_LIMIT:
+            ids = F.broadcast(unique.select("event_id"))
+            stored = stored.join(ids, "event_id", "left_semi")
+        fresh = pii.apply_policy(dedupe.skip_existing(unique, stored), "analyst")
+        store.write_batch(fresh, lake, "silver", dataset, time_column, batch_id)
+    finally:
+        unique.unpersist()
 
 
 def rebuild_silver(spark: SparkSession, lake: Lake, dataset: str) -> None:

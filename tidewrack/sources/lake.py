@@ -67,19 +67,27 @@ def layer_options(layer: str) -> dict[str, str]:
 
 
 def write_batch(
-    frame: DataFrame, lake: Lake, layer: str, dataset: str, time_column: str, batch_id: str
+    frame: DataFrame,
+    lake: Lake,
+    layer: str,
+    dataset: str,
+    time_column: str,
+    batch_id: str,
+    gather: bool = True,
 ) -> None:
     """Append one batch so that repeating the batch replaces only its own files.
 
     The batch id is the innermost partition and only partitions present in the output
-    are overwritten. The rebalance hint keeps files near the advisory size: hours with
-    little data share a task, a hot hour is split over many.
+    are overwritten. ``gather`` brings rows of a partition together first, by a
+    rebalance that keeps files near the advisory size: hours with little data share a
+    task, a hot hour is split over many. Without it the rows are written where they
+    are; right for rows read from a layer that has the same partitions.
     """
+    rows = with_partitions(frame, time_column, lake.partitions).withColumn("batch", F.lit(batch_id))
+    if gather:
+        rows = rows.hint("rebalance", *lake.partitions)
     (
-        with_partitions(frame, time_column, lake.partitions)
-        .withColumn("batch", F.lit(batch_id))
-        .hint("rebalance", *lake.partitions)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**layer_options(layer))
         .partitionBy(*lake.partitions, "batch")

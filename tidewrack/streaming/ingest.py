@@ -12,14 +12,12 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewrack import domain
 from tidewrack.functions.calendar import with_partitions
-from tidewrack.operators import dedupe, enrich, pii, quality
+from tidewrack.operators import dedupe, enrich, quality
 from tidewrack.operators.gold import GOLD
+from tidewrack.plans import medallion
 from tidewrack.sources import lake as store
 from tidewrack.sources.lake import Lake
 
-# ids of one micro-batch that may be broadcast against stored silver
-BROADCAST_ID_LIMIT = 1_000_000
-
 
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
     """Process what is there now, then stop."""
@@ -67,25 +65,10 @@ def _silver_batch(lake: Lake, dataset: str):
     """Writer of one micro-batch of accepted, enriched rows to masked silver."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        path = lake.path("silver", dataset)
-        name = f"stream-{batch_id}"
-        kept = dedupe.keep_first(batch)
-        if not store.exists(spark, path):
-            store.write_batch(pii.apply_policy(kept, "analyst"), lake, "silver", dataset, "event_ts", name)
-            return
-        kept = kept.persist()
-        try:
-            ids = kept.select("event_id")
-            if kept.count() <= BROADCAST_ID_LIMIT:
-                ids = F.broadcast(ids)
-            stored = spark.read.parquet(path).filter(F.col("batch") != name).select("event_id")
-            # look the batch up in silver, so that silver itself is scanned, not shuffled
-            known = stored.join(ids, "event_id", "left_semi")
-            fresh = dedupe.skip_existing(kept, known)
-            store.write_batch(pii.apply_policy(fresh, "analyst"), lake, "silver", dataset, "event_ts", name)
-        finally:
-            kept.unpersist()
+        unique = dedupe.keep_first(batch)
+        medallion.add_to_silver(
+            batch.sparkSession, lake, dataset, unique, "event_ts", f"stream-{batch_id}"
+        )
 
     return write
 
