@@ -139,7 +139,11 @@ def fact_orphans(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame
 
 
 def load_star(spark: SparkSession, silver: DataFrame, profile: DataFrame, root: str) -> str:
-    """Write the five star tables. The fact joins the stored dimensions, so keys agree."""
+    """Write the five star tables. The fact joins the stored dimensions, so keys agree.
+
+    ``silver`` is read once per table: pass a stored table, not a plan that would
+    repeat its de-duplication.
+    """
     tables = {
         "dim_time": dim_time(silver),
         "dim_customer": dim_customer(silver, profile),

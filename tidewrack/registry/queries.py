@@ -837,12 +837,10 @@ def fact_orphans(spark, sf_dir):
 @query
 def warehouse_load(spark, sf_dir):
     """Star tables written once, then read back and joined for a report."""
-    folder = warehouse.load_star(
-        spark,
-        core(spark, sf_dir),
-        fixtures.customer_profile(spark, sf_dir),
-        shared_folder(spark, "warehouse"),
-    )
+    folder = shared_folder(spark, "warehouse")
+    core(spark, sf_dir).write.parquet(f"{folder}/silver")
+    silver = spark.read.parquet(f"{folder}/silver")
+    warehouse.load_star(spark, silver, fixtures.customer_profile(spark, sf_dir), folder)
     fact = spark.read.parquet(f"{folder}/fact_transaction")
     customers = spark.read.parquet(f"{folder}/dim_customer")
     times = spark.read.parquet(f"{folder}/dim_time")
