@@ -14,8 +14,9 @@ def remainder(id_column: str, modulus: int) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus
 
 
-def label_sample(labels: DataFrame, label: str, learn: Column, bound: int, id_column: str = "doc_id") -> DataFrame:
-    """(id, y) of at most about ``bound`` labelled rows, half of it per class, chosen by a hash of the id.
+def label_sample(labels: DataFrame, label: str, learn: Column, bound: int, id_column: str = "doc_id", balanced: bool = True) -> DataFrame:
+    """(id, y) of at most about ``bound`` labelled rows, chosen by a hash of the id; if ``balanced``,
+    at most half of the bound is taken from each class.
 
     Rows with a null id, a null label or ``learn`` not true are left out; an id labelled
     more than once counts once, with its largest label. The result is small enough to broadcast.
@@ -25,7 +26,7 @@ def label_sample(labels: DataFrame, label: str, learn: Column, bound: int, id_co
     sizes = {row["y"]: row["count"] for row in usable.groupBy("y").count().collect()}  # two rows
     share = F.lit(0.0)
     for y, count in sizes.items():
-        share = F.when(F.col("y") == y, F.lit(bound / 2 / count)).otherwise(share)
+        share = F.when(F.col("y") == y, F.lit(bound / (2 * count if balanced else sum(sizes.values())))).otherwise(share)
     return usable.filter(F.pmod(F.xxhash64(id_column), F.lit(1_000_000)) < share * 1_000_000)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ CLASSES[[33, 63]] = 5
 CLASSES[[ord(c) for c in "#$%&*@^~=<>{}[]\\|_+"]] = 6
 CLASSES[[ord(c) for c in ".,;:'\"-()"]] = 7
 CLASSES[128:] = 9
-WIDTH = 12
+WIDTH = 14
 
 
 def line_table(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -46,12 +47,12 @@ def line_table(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = np.maximum(1, length)
     words = counts[:, 0] + 1
     letters = np.maximum(1, counts[:, 1] + counts[:, 2])
-    repeats = np.concatenate([_repeats(r) for r in raw]) if raw else np.zeros(0)
+    repeats = np.concatenate([_repeats(r) for r in raw]) if raw else np.zeros((0, 3))
     own = np.stack(
         [
             np.ones_like(n), np.log1p(length) / 5, counts[:, 2] / letters, counts[:, 3] / n * 5, np.minimum(4, counts[:, 4] / words * 4),
-            np.minimum(4, counts[:, 5] / words * 4), counts[:, 6] / n * 10, counts[:, 8] / n, np.minimum(4, n / words / 8), repeats,
-            counts[:, 7] / n * 10, (length == 0).astype(float),
+            np.minimum(4, counts[:, 5] / words * 4), counts[:, 6] / n * 10, counts[:, 8] / n, np.minimum(4, n / words / 8), repeats[:, 0],
+            repeats[:, 1], repeats[:, 2], counts[:, 7] / n * 10, (length == 0).astype(float),
         ],
         1,
     )
@@ -59,12 +60,19 @@ def line_table(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _repeats(raw: bytes) -> np.ndarray:
-    """Share of the text's lines that equal this line, less itself."""
+    """For each line: the share of the text's other lines that equal it, and of its words those
+    that equal the word before and those that stand in the line already."""
     lines = raw.split(b"\n")
     seen: dict[bytes, int] = {}
     for line in lines:
         seen[line] = seen.get(line, 0) + 1
-    return np.array([(seen[line] - 1) / len(lines) if line else 0.0 for line in lines])
+    out = np.zeros((len(lines), 3))
+    for i, line in enumerate(lines):
+        if line:
+            words = line.split()
+            n = max(1, len(words))
+            out[i] = (seen[line] - 1) / len(lines), sum(map(eq, words, words[1:])) / n * 4, 1 - len(set(words)) / n
+    return out
 
 
 def with_neighbours(own: np.ndarray, lines: np.ndarray) -> np.ndarray:
@@ -145,7 +153,7 @@ def train(x: np.ndarray, lines: np.ndarray, y: np.ndarray, steps: int = 150, rat
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn, text: str = "text", id_column: str = "doc_id", max_labelled: int = MAX_LABELLED) -> Field:
-    sample = label_sample(labels, "quality", learn, max_labelled, id_column)
+    sample = label_sample(labels, "quality", learn, max_labelled, id_column, balanced=False)
     texts = labelled_texts(docs, sample, text, id_column)
 
     def shape(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

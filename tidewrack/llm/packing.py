@@ -27,7 +27,7 @@ from tidewrack.llm.tables import gapless_ranks, stored
 
 LENGTH = 2048
 #: Tokens per histogram class; a remainder fits a pattern by its class's upper end.
-GRAIN = 8
+GRAIN = 4
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -90,56 +90,86 @@ def tokenised(docs: DataFrame, text: str = "text", id_column: str = "doc_id", vo
     return rows.mapInArrow(run, f"id {kind}, doc_tokens long, start long, length long, ids binary")
 
 
-def best_pattern(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack: the most valuable pattern of ``sizes`` within ``capacity``, as counts."""
-    order = np.argsort(sizes)
-    small, worth = sizes[order], prices[order]
+def best_patterns(sizes: np.ndarray, prices: np.ndarray, capacity: int, most: int = 16) -> tuple[float, list[np.ndarray]]:
+    """Unbounded knapsack: the value of the best pattern of ``sizes`` within ``capacity``, and the
+    best patterns (as counts) that hold each of the sizes, the most valuable first.
+    ``sizes`` must rise.
+    """
     value, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    fits = np.searchsorted(small, np.arange(capacity + 1), side="right")
+    fits = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
     for room in range(1, capacity + 1):
         value[room] = value[room - 1]
         if fits[room]:
-            some = value[room - small[: fits[room]]] + worth[: fits[room]]
+            some = value[room - sizes[: fits[room]]] + prices[: fits[room]]
             best = int(some.argmax())
             if some[best] > value[room] + 1e-12:
                 value[room], choice[room] = some[best], best
-    counts, room = np.zeros(len(sizes), np.int64), capacity
-    while room > 0:
-        if choice[room] < 0:
-            room -= 1
-        else:
-            counts[order[choice[room]]] += 1
-            room -= int(small[choice[room]])
-    return float(value[capacity]), counts
-
-
-def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-4, limit: int = 4000) -> tuple[np.ndarray, np.ndarray]:
+    holding = value[capacity - sizes] + prices
+    found = {}
+    for i in np.argsort(-holding, kind="stable")[:most]:
+        counts, room = np.zeros(len(sizes), np.int64), capacity - int(sizes[i])
+        counts[i] = 1
+        while room > 0:
+            if choice[room] < 0:
+                room -= 1
+            else:
+                counts[choice[room]] += 1
+                room -= int(sizes[choice[room]])
+        found.setdefault(counts.tobytes(), counts)
+    return float(value[capacity]), list(found.values())
+
+
+def first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """One pattern per size: the fullest one of the sizes that are left, large ones preferred,
+    used until a size runs out. Each pattern lacks the sizes that ran out before, so they
+    are independent.
+    """
+    m, left, alive = len(sizes), demand.astype(np.float64), np.ones(len(sizes), bool)
+    patterns, use = np.zeros((m, m)), np.zeros(m)
+    for _ in range(m):
+        rest = np.flatnonzero(alive)
+        counts = np.zeros(m)
+        counts[rest] = best_patterns(sizes[rest], (sizes[rest] / capacity) ** 1.01, capacity, 1)[1][0]
+        some = np.flatnonzero(counts)
+        gone = int(some[(left[some] / counts[some]).argmin()])
+        patterns[gone], use[gone], alive[gone] = counts, left[gone] / counts[gone], False
+        left = np.maximum(left - use[gone] * counts, 0)
+    return patterns, use
+
+
+def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-4, limit: int = 300) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (rows of counts) and how often to use each, from the linear program.
 
-    A basis of one-size patterns is improved by the pattern the knapsack finds worth most at
-    the current prices, until none is worth more than a sequence or the bound is within ``gap``.
+    The basis is improved by the patterns that the knapsack finds worth most at the current
+    prices, until none is worth more than a sequence, the lower bound is within ``gap``, or
+    ``limit`` rounds are over (what is used is always a whole solution).
     """
     m = len(sizes)
-    patterns = np.diag(capacity // sizes).astype(np.float64)
-    inverse = np.diag(1 / np.diag(patterns))
-    use = inverse @ demand
+    patterns, use = first_basis(sizes, demand, capacity)
+    inverse = np.linalg.inv(patterns.T)
+    bound = float(sizes @ demand) / capacity
     for _ in range(limit):
-        prices = inverse.sum(0)
-        worth, counts = best_pattern(sizes, prices, capacity)
-        if worth <= 1 + 1e-9 or use.sum() * (1 - 1 / worth) <= gap * use.sum():
+        if use.sum() - bound <= gap * use.sum():
+            break
+        worth, columns = best_patterns(sizes, inverse.sum(0), capacity)
+        bound = max(bound, use.sum() / max(worth, 1))
+        if worth <= 1 + 1e-9:
             break
-        step = inverse @ counts
-        up = step > 1e-9
-        ratio = np.full(m, np.inf)
-        ratio[up] = np.maximum(use[up], 0) / step[up]
-        leaves = int(ratio.argmin())
-        use = use - ratio[leaves] * step
-        use[leaves] = ratio[leaves]
-        patterns[leaves] = counts
-        inverse[leaves] /= step[leaves]
-        rest = step.copy()
-        rest[leaves] = 0
-        inverse -= np.outer(rest, inverse[leaves])
+        for counts in columns:
+            if inverse.sum(0) @ counts <= 1 + 1e-9:
+                continue
+            step = inverse @ counts
+            up = step > 1e-9
+            ratio = np.full(m, np.inf)
+            ratio[up] = np.maximum(use[up], 0) / step[up]
+            leaves = int(ratio.argmin())
+            use = use - ratio[leaves] * step
+            use[leaves] = ratio[leaves]
+            patterns[leaves] = counts
+            inverse[leaves] /= step[leaves]
+            rest = step.copy()
+            rest[leaves] = 0
+            inverse -= np.outer(rest, inverse[leaves])
     return patterns.astype(np.int64), np.maximum(use, 0)
 
 
