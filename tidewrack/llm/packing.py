@@ -119,13 +119,15 @@ def best_patterns(sizes: np.ndarray, prices: np.ndarray, capacity: int, most: in
     return float(value[capacity]), list(found.values())
 
 
-def first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """One pattern per size: the fullest one of the sizes that are left, large ones preferred,
-    used until a size runs out. Each pattern lacks the sizes that ran out before, so they
-    are independent.
+    used until a size runs out. Each pattern lacks the sizes that ran out before, so the
+    basis is triangular in the order in which they do, and inverted row by row.
+    Returns patterns, their use, and the inverse.
     """
     m, left, alive = len(sizes), demand.astype(np.float64), np.ones(len(sizes), bool)
     patterns, use = np.zeros((m, m)), np.zeros(m)
+    order = []
     for _ in range(m):
         rest = np.flatnonzero(alive)
         counts = np.zeros(m)
@@ -134,7 +136,14 @@ def first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[n
         gone = int(some[(left[some] / counts[some]).argmin()])
         patterns[gone], use[gone], alive[gone] = counts, left[gone] / counts[gone], False
         left = np.maximum(left - use[gone] * counts, 0)
-    return patterns, use
+        order.append(gone)
+    lower = patterns[np.ix_(order, order)].T
+    inverse = np.zeros((m, m))
+    for i in range(m):
+        inverse[i, i] = 1
+        inverse[i] = (inverse[i] - (lower[i, :i, None] * inverse[:i]).sum(0)) / lower[i, i]
+    back = np.argsort(order)
+    return patterns, use, inverse[np.ix_(back, back)]
 
 
 def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-4, limit: int = 300) -> tuple[np.ndarray, np.ndarray]:
@@ -145,9 +154,8 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap:
     ``limit`` rounds are over (what is used is always a whole solution).
     """
     m = len(sizes)
-    patterns, use = first_basis(sizes, demand, capacity)
-    inverse = np.linalg.inv(patterns.T)
-    bound = float(sizes @ demand) / capacity
+    patterns, use, inverse = first_basis(sizes, demand, capacity)
+    bound = float((sizes * demand).sum()) / capacity
     for _ in range(limit):
         if use.sum() - bound <= gap * use.sum():
             break
@@ -156,9 +164,9 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap:
         if worth <= 1 + 1e-9:
             break
         for counts in columns:
-            if inverse.sum(0) @ counts <= 1 + 1e-9:
+            if (inverse.sum(0) * counts).sum() <= 1 + 1e-9:
                 continue
-            step = inverse @ counts
+            step = (inverse * counts).sum(1)
             up = step > 1e-9
             ratio = np.full(m, np.inf)
             ratio[up] = np.maximum(use[up], 0) / step[up]
@@ -195,7 +203,7 @@ def plan(histogram: dict[int, int], length: int, grain: int) -> Plan:
     demand = np.array([histogram[c] for c in classes], np.float64)
     patterns, use = column_generation(classes, demand, -(-length // grain))
     times = np.floor(use + 1e-6).astype(np.int64)
-    while (over := patterns.T @ times > demand).any():  # after rounding errors
+    while (over := (patterns * times[:, None]).sum(0) > demand).any():  # after rounding errors
         times[(patterns[:, over].sum(1) > 0) & (times > 0)] -= 1
     first = np.r_[0, np.cumsum(times)[:-1]]
     runs, covered = {}, {}
