@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewrack.llm import block_names, line_quality, mixing, packing, sharding, simhash, toxicity, urls, vector_files
+from tidewrack.llm import block_names, line_quality, mixing, packing, sharding, simhash, suffixes, toxicity, urls, vector_files
 from tidewrack.llm.tables import table
 
 SHARDS = 24
@@ -44,6 +44,10 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), domain_of(), 0.8, 2, WEIGHTS)
 
@@ -71,7 +75,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_packing, op2_toxicity, op3_simhash, op4_sharding, op5_urls, op7_mixing, op8_line_quality,
+        op1_packing, op2_toxicity, op3_simhash, op4_sharding, op5_urls, op6_suffix_repeats, op7_mixing, op8_line_quality,
         op9_vector_search, op10_block_names, pipeline,
     )
 }
