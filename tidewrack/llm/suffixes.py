@@ -167,9 +167,35 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal contexts of a task become one row with the smallest document."""
+
+    def rows(held: dict[tuple[int, bytes], int]) -> pa.RecordBatch:
+        keys = list(held)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.binary()), pa.array(list(held.values()), pa.int64())], ["h", "ctx", "least"]
+        )
+
+    held: dict[tuple[int, bytes], int] = {}
+    for batch in batches:
+        for h, ctx, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            if held.get((h, ctx), own + 1) > own:
+                held[h, ctx] = own
+        if len(held) > 100_000:
+            yield rows(held)
+            held = {}
+    if held:
+        yield rows(held)
+
+
 def _classes(table: pa.Table) -> pa.Table:
     """For each context of a bucket the smallest document of each of its windows, as runs."""
-    ctx, least, h = table.column("ctx").to_pylist(), table.column("least").to_numpy(), table.column("h").to_numpy()
+    first: dict[tuple[int, bytes], int] = {}
+    for h, c, own in zip(table.column("h").to_pylist(), table.column("ctx").to_pylist(), table.column("least").to_pylist()):
+        if first.get((h, c), own + 1) > own:
+            first[h, c] = own
+    h, ctx = np.array([k[0] for k in first], np.int64), [k[1] for k in first]
+    least = np.array(list(first.values()), np.int64)
     n = len(ctx)
     left = np.array([c[0] for c in ctx])
     bytes_ = np.zeros((n, WIDTH), np.uint8)
@@ -197,7 +223,8 @@ def _classes(table: pa.Table) -> pa.Table:
     for i in range(n):
         at = np.flatnonzero(change[i])
         runs.append(at.astype("<i8").tobytes() + answer[i, at].astype("<i8").tobytes())
-    return pa.table({"c1": table.column("c1"), "c2": table.column("c2"), "runs": pa.array(runs, pa.binary())})
+    halves = np.frombuffer(b"".join(map(xxhash.xxh128_digest, ctx)), "<i8").reshape(-1, 2)
+    return pa.table({"c1": pa.array(halves[:, 0]), "c2": pa.array(halves[:, 1]), "runs": pa.array(runs, pa.binary())})
 
 
 def sorted_classes(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -244,9 +271,15 @@ def repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     records = taking_part.select("key", "data").mapInArrow(_scan(buckets), "bucket long, key long, body binary")
     places = records.groupBy("bucket").applyInArrow(_meet, "key long, places binary")
     gathered = places.groupBy("key").agg(F.collect_list("places").alias("places"))
-    found = taking_part.join(gathered, "key").select("id", "key", "data", "places")
+    # of equal texts only the smallest id looks for repeats: the others lose everything
+    texts = stored(taking_part.select("id", "key", F.sha2("data", 256).alias("sha"), F.length("data").alias("n")), "repeat-texts")
+    firsts = stored(texts.groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("sha", "first"), "repeat-firsts")
+    copies = stored(texts.join(firsts, "sha").filter("id > first").select("id", "key", "n").distinct(), "repeat-copies")
+    gathered = gathered.join(copies.groupBy("key").agg(F.collect_set("id").alias("copies")), "key", "left")
+    asking = ~F.coalesce(F.array_contains("copies", F.col("id")), F.lit(False))
+    found = taking_part.join(gathered, "key").filter(asking).select("id", "key", "data", "places")
     occurrences = stored(found.mapInArrow(_contexts, "id long, key long, place int, ctx binary, c1 long, c2 long, h long"), "repeat-occurrences")
-    contexts = occurrences.groupBy("h", "ctx", "c1", "c2").agg(F.min("id").alias("least"))
+    contexts = occurrences.select("h", "ctx", "id").mapInArrow(_combined, "h long, ctx binary, least long")
     groups = max(1, -(-occurrences.count() // BUCKET_CONTEXTS))
     classes = stored(
         contexts.withColumn("bucket", F.pmod("h", F.lit(groups))).groupBy("bucket").applyInArrow(_classes, "c1 long, c2 long, runs binary"), "repeat-classes"
@@ -262,7 +295,14 @@ def repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
                 out.append(_spans([x["place"] for x in items], [x["runs"] for x in items], own).astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["id", "key", "spans"])
 
-    spans = stored(by_row.mapInArrow(cover, "id long, key long, spans binary").filter(F.length("spans") > 0), "repeat-spans")
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = [struct.pack("<qq", 0, n) for n in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, pa.binary())], ["id", "key", "spans"])
+
+    shape = "id long, key long, spans binary"
+    covered = by_row.mapInArrow(cover, shape).filter(F.length("spans") > 0)
+    spans = stored(covered.unionByName(copies.mapInArrow(whole, shape)), "repeat-spans")
     return rows.join(spans, ["id", "key"], "left").select(F.col("id").alias(id_column), "data", "spans")
 
 
