@@ -11,6 +11,7 @@ and patterns is then trained on the model's posterior labels and scores every do
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewrack.llm.labelled import label_sample, labelled_texts, remainder, scored
+from tidewrack.llm.tables import stored
 
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)
@@ -155,16 +157,19 @@ def mine(texts: DataFrame, max_entries: int) -> tuple[list[str], int, int]:
                 found = sorted(terms(text))
                 yield pd.DataFrame({"term": [*found, ""], "y": y})
 
-    counts = texts.mapInPandas(emit, "term string, y int").groupBy("term").agg(F.sum("y").alias("pos"), F.count("*").alias("all"))
+    counts = stored(texts.mapInPandas(emit, "term string, y int").groupBy("term").agg(F.sum("y").alias("pos"), F.count("*").alias("all")), "toxic-terms")
     sizes = counts.filter("term = ''").first()
     if sizes is None:
         return [], 0, 0
     toxic, clean = sizes["pos"], sizes["all"] - sizes["pos"]
     if not toxic or not clean:
         return [], toxic, clean
-    least = max(2, round(0.004 * toxic))
+    # a term must stand in toxic rows more often than chance would have any of so many terms do
     rate = (F.col("all") - F.col("pos")) / clean
-    known = counts.filter(f"term <> '' and pos >= {least}").filter(F.col("pos") / toxic > 20 * rate)
+    prior, share = toxic / (toxic + clean), F.col("pos") / F.col("all")
+    surprise = F.col("pos") * F.log(share / prior) + F.when(share < 1, (F.col("all") - F.col("pos")) * F.log((1 - share) / (1 - prior))).otherwise(0.0)
+    enough = math.log(counts.count()) + 2.3
+    known = counts.filter(f"term <> '' and pos >= {max(2, round(0.004 * toxic))}").filter((F.col("pos") / toxic > 20 * rate) & (surprise > enough))
     top = known.orderBy(F.desc(F.col("pos") / toxic - 20 * rate), "term").limit(max_entries).collect()
     return [row["term"] for row in top], toxic, clean
 
