@@ -137,3 +137,14 @@ def revenue_trend(daily: DataFrame) -> DataFrame:
 
 def top_by_volume(table: DataFrame, key: str, k: int = 5) -> DataFrame:
     return table.select(key, "transactions", "volume").orderBy(F.desc("volume"), key).limit(k)
+
+
+def volume_by_country(countries: DataFrame, transactions: Column) -> DataFrame:
+    """Countries by falling volume; ``transactions`` says what a gold row counts for."""
+    summed = countries.groupBy("country").agg(transactions.alias("transactions"), F.sum("volume").alias("volume"))
+    return summed.orderBy(F.desc_nulls_last("volume"))
+
+
+def fraud_days(summary: DataFrame) -> DataFrame:
+    """Days with any fraud, newest first."""
+    return summary.filter(F.col("fraud_events") > 0).select("metric_date", "fraud_events", "avg_risk").orderBy(F.desc_nulls_last("metric_date"))

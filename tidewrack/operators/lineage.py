@@ -12,16 +12,16 @@ from tidewrack.functions.values import money
 def trace(raw: DataFrame, bronze: DataFrame, silver: DataFrame, quarantine: DataFrame) -> DataFrame:
     """Per raw record: bronze, silver and quarantine presence and its reasons.
 
-    Joined on the arrival number, which is unique per record, so no key is hot.
+    Joined on arrival time and number, which together are unique per record.
     """
     def mark(layer: DataFrame, name: str, *extra: str) -> DataFrame:
-        return layer.select("seq", F.lit(True).alias(name), *extra)
+        return layer.select("arrived_at", "seq", F.lit(True).alias(name), *extra)
 
     traced = (
         raw.select("seq", "event_id", "arrived_at")
-        .join(mark(bronze, "in_bronze"), "seq", "left")
-        .join(mark(silver, "in_silver"), "seq", "left")
-        .join(mark(quarantine, "in_quarantine", "reasons"), "seq", "left")
+        .join(mark(bronze, "in_bronze"), ["arrived_at", "seq"], "left")
+        .join(mark(silver, "in_silver"), ["arrived_at", "seq"], "left")
+        .join(mark(quarantine, "in_quarantine", "reasons"), ["arrived_at", "seq"], "left")
     )
     return traced.withColumns(
         {

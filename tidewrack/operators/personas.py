@@ -4,25 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tidewrack import domain
 from tidewrack.operators.pii import apply_policy
 
 # layer -> PII policy or explicit columns; a layer not listed is denied
-ALL_GOLD = (
-    "daily_revenue",
-    "customer_activity",
-    "country_performance",
-    "fraud_summary",
-    "merchant_statistics",
-    "system_performance",
-)
 GRANTS: dict[str, dict[str, dict]] = {
     "administrator": {
-        "raw": {}, "bronze": {}, "silver": {}, "quarantine": {}, "gold": {"datasets": ALL_GOLD},
+        "raw": {}, "bronze": {}, "silver": {}, "quarantine": {}, "gold": {"datasets": domain.GOLD_DATASETS},
     },
     "data_engineer": {
-        "raw": {}, "bronze": {}, "silver": {}, "quarantine": {}, "gold": {"datasets": ALL_GOLD},
+        "raw": {}, "bronze": {}, "silver": {}, "quarantine": {}, "gold": {"datasets": domain.GOLD_DATASETS},
     },
-    "data_analyst": {"silver": {"policy": "analyst"}, "gold": {"datasets": ALL_GOLD}},
+    "data_analyst": {"silver": {"policy": "analyst"}, "gold": {"datasets": domain.GOLD_DATASETS}},
     "finance_analyst": {
         "gold": {
             "datasets": ("country_performance",),
@@ -30,7 +23,7 @@ GRANTS: dict[str, dict[str, dict]] = {
         }
     },
     "security_analyst": {"quarantine": {}, "gold": {"datasets": ("fraud_summary",)}},
-    "auditor": {"gold": {"datasets": ALL_GOLD}},
+    "auditor": {"gold": {"datasets": domain.GOLD_DATASETS}},
 }
 
 

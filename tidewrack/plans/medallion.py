@@ -9,9 +9,6 @@ from tidewrack.operators import dedupe, enrich, gold, pii, quality
 from tidewrack.sources import lake as store
 from tidewrack.sources.lake import Lake
 
-# ids of one batch that may be broadcast against stored silver (about 100 MB)
-BROADCAST_ID_LIMIT = 1_000_000
-
 
 def bronze(events: DataFrame, dataset: str, ingested_at: Column | None = None) -> DataFrame:
     return enrich.enrich(quality.accepted_rows(events, dataset), ingested_at)
@@ -94,26 +91,12 @@ def append_silver(spark: SparkSession, lake: Lake, dataset: str, batch_id: str)
 def add_to_silver(
     spark: SparkSession, lake: Lake, dataset: str, unique: DataFrame, time_column: str, batch_id: str
 ) -> None:
-    """Mask and store rows (one per id) whose id no other batch has stored.
-
-    A small batch is looked up in silver by broadcasting its ids, so that silver is
-    only scanned; a batch over the limit is joined by shuffling both sides.
-    """
+    """Mask and store rows (one per id) whose id no other batch has stored."""
     path = lake.path("silver", dataset)
-    if not store.exists(spark, path):
-        masked = pii.apply_policy(unique, "analyst")
-        store.write_batch(masked, lake, "silver", dataset, time_column, batch_id)
-        return
-    unique = unique.persist()
-    try:
+    if store.exists(spark, path):
         stored = spark.read.parquet(path).filter(F.col("batch") != batch_id).select("event_id")
-        if unique.count() <= BROADCAST_ID_LIMIT:
-            ids = F.broadcast(unique.select("event_id"))
-            stored = stored.join(ids, "event_id", "left_semi")
-        fresh = pii.apply_policy(dedupe.skip_existing(unique, stored), "analyst")
-        store.write_batch(fresh, lake, "silver", dataset, time_column, batch_id)
-    finally:
-        unique.unpersist()
+        unique = dedupe.skip_existing(unique, stored)
+    store.write_batch(pii.apply_policy(unique, "analyst"), lake, "silver", dataset, time_column, batch_id)
 
 
 def rebuild_silver(spark: SparkSession, lake: Lake, dataset: str) -> None:

@@ -446,17 +446,17 @@ def sql(spark, sf_dir, text: str) -> DataFrame:
 
 @query
 def country_volume(spark, sf_dir):
-    return sql(spark, sf_dir, catalog.NAMED_QUERIES["country_volume"])
+    return gold.volume_by_country(gold.gold_tables(core(spark, sf_dir))["country_performance"], F.count("*"))
 
 
 @query
 def country_volume_total(spark, sf_dir):
-    return sql(spark, sf_dir, catalog.NAMED_QUERIES["country_volume_total"])
+    return gold.volume_by_country(gold.gold_tables(core(spark, sf_dir))["country_performance"], F.sum("transactions"))
 
 
 @query
 def fraud_window(spark, sf_dir):
-    return sql(spark, sf_dir, catalog.NAMED_QUERIES["fraud_window"])
+    return gold.fraud_days(gold.gold_tables(core(spark, sf_dir))["fraud_summary"])
 
 
 @query
