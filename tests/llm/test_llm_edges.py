@@ -153,3 +153,25 @@ def test_marginals_equal_enumeration():
             weight += p * np.array(labels)
         assert np.allclose(good[at : at + n], weight / total)
         at += n
+
+
+def test_repeats_of_periodic_and_touching_texts(spark):
+    draw = np.random.default_rng(5)
+    pool = ["".join(draw.choice(list("ab \n"), draw.integers(1, 90))) for _ in range(12)]
+    docs = [(i, "".join(pool[draw.integers(12)] + "é" * draw.integers(0, 3) for _ in range(draw.integers(0, 9)))) for i in range(80)]
+    docs += [(80, "ab" * 400), (81, "x" + "ab" * 100), (82, "ba" * 60), (83, "a" * 500), (84, "b" + "a" * 49), (85, "c" + "a" * 50), (86, None), (86, docs[3][1]), (87, docs[3][1])]
+    first: dict[bytes, int] = {}
+    for own, text in docs:
+        data = (text or "").encode()
+        for p in range(len(data) - 49):
+            first[data[p : p + 50]] = min(own, first.get(data[p : p + 50], own))
+    want = []
+    for own, text in docs:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for p in range(len(data) - 49):
+            if first[data[p : p + 50]] < own:
+                gone[p : p + 50] = b"\1" * 50
+        want.append((own, sum(gone), len([x for x in bytes(gone).split(b"\0") if x]), bytes(x for x, g in zip(data, gone) if not g)))
+    found = suffixes.without_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r["doc_id"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found) == sorted(want)

@@ -9,9 +9,11 @@ are compared only where their anchors are shared:
    positions go straight through. So an anchor has few records per batch, however frequent.
 2. Positions of shared anchors meet their text again, and give contexts: the 84 bytes
    that hold every window around the anchor. Equal contexts are combined before they are
-   shuffled, keeping the smallest document.
-3. Contexts of the same anchor meet. Their suffixes are sorted by the first 50 bytes; equal
-   ones form a class, whose smallest document answers for each of its windows.
+   shuffled, keeping the smallest and the largest document.
+3. Contexts of the same anchor meet. The suffixes from the anchor on are sorted, and the
+   reversed prefixes before it; equal windows are neighbours in both orders and form a
+   class, whose smallest document answers for each of its windows. Only contexts with
+   something to remove go on.
 4. Answers return to the occurrences, and each document unites the windows that start in
    a smaller document as well.
 """
@@ -24,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -34,15 +37,14 @@ from tidewrack.llm.tables import stored
 WINDOW, GRAM = 50, 16
 REACH = WINDOW - GRAM  # windows that hold an anchor start up to so many bytes before it
 WIDTH = REACH + WINDOW
+ROW = 2 + WIDTH
 #: Work of one group task: anchors of a bucket, contexts of a bucket.
 BUCKET_ANCHORS, BUCKET_CONTEXTS = 1_000_000, 20_000
 _TABLE = np.random.default_rng(50).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of the anchors of a byte array, by position."""
-    if len(data) < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def _gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the GRAM bytes from each position on."""
     h, span = _TABLE[data], 1
     while span < GRAM:  # GRAM is a power of two
         h = h[:-span] * np.uint64(0x9E3779B97F4A7C15 + 2 * span) + h[span:]
@@ -50,6 +52,14 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(29)
+    return h
+
+
+def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, hashes) of the anchors of a byte array, by position."""
+    if len(data) < WINDOW:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    h = _gram_hashes(data)
     wide, span = h, 1
     count = REACH + 1
     while 2 * span <= count:
@@ -145,116 +155,168 @@ def _meet(table: pa.Table) -> pa.Table:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences (id, key, place, ctx, c1, c2, h) of shared anchors, from texts and their positions."""
+    """Occurrences (id, key, place, ctx, c1, c2, g) of shared anchors, from texts and their positions.
+
+    A context is ROW bytes: how many bytes count before and from the anchor on, then these.
+    """
+    around = np.arange(-REACH, WINDOW)
+    parts: list[tuple] = []
+
+    def rows() -> pa.RecordBatch:
+        own, key, place, ctx, gram = map(np.concatenate, zip(*parts))
+        parts.clear()
+        body = ctx.tobytes()
+        halves = np.frombuffer(b"".join(xxhash.xxh128_digest(body[i : i + ROW]) for i in range(0, len(body), ROW)), "<i8").reshape(-1, 2)
+        fixed = pa.Array.from_buffers(pa.binary(ROW), len(place), [None, pa.py_buffer(body)]).cast(pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(own), pa.array(key), pa.array(place), fixed, pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(gram)],
+            ["id", "key", "place", "ctx", "c1", "c2", "g"],
+        )
+
     for batch in batches:
-        for row in range(batch.num_rows):
-            text = batch.column(2)[row].as_py() or b""
-            found = np.unique(np.frombuffer(b"".join(batch.column(3)[row].as_py()), "<i4"))
-            found = found[found + GRAM <= len(text)]
-            ctx = [bytes([min(REACH, p)]) + text[max(0, p - REACH) : p + WINDOW] for p in found.tolist()]
-            if not ctx:
+        for own, key, text, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+            data = np.frombuffer(text.as_py() or b"", np.uint8)
+            if len(data) < WINDOW:
                 continue
-            wide = [xxhash.xxh128_digest(c) for c in ctx]
-            halves = np.frombuffer(b"".join(wide), "<i8").reshape(-1, 2)
-            h = [xxhash.xxh64_intdigest(c[1 + c[0] : 1 + c[0] + GRAM]) >> 1 for c in ctx]
-            n = len(ctx)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array([row] * n)), batch.column(1).take(pa.array([row] * n)), pa.array(found, pa.int32()), pa.array(ctx, pa.binary()),
-                    pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(h, pa.int64()),
-                ],
-                ["id", "key", "place", "ctx", "c1", "c2", "h"],
-            )
+            every = np.unique(np.frombuffer(b"".join(found.as_py()), "<i4"))
+            every = every[every + GRAM <= len(data)]
+            hashes = _gram_hashes(data)
+            for start in range(0, len(every), 20_000):
+                place = every[start : start + 20_000]
+                at = place[:, None] + around
+                ctx = np.zeros((len(place), ROW), np.uint8)
+                ctx[:, 0], ctx[:, 1] = np.minimum(REACH, place), np.minimum(WINDOW, len(data) - place)
+                ctx[:, 2:] = np.where((at >= 0) & (at < len(data)), data[np.clip(at, 0, len(data) - 1)], 0)
+                gram = (hashes[place] >> np.uint64(1)).astype(np.int64)
+                parts.append((np.full(len(place), own, np.int64), np.full(len(place), key, np.int64), place.astype(np.int32), ctx, gram))
+                if sum(len(p[2]) for p in parts) >= 20_000:
+                    yield rows()
+    if parts:
+        yield rows()
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """A binary column of ROW bytes each, as a matrix."""
+    first = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    return np.frombuffer(column.buffers()[2], np.uint8)[first[0] : first[-1]].reshape(-1, ROW)
 
 
 def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Equal contexts of a task become one row with the smallest document."""
-
-    def rows(held: dict[tuple[int, bytes], int]) -> pa.RecordBatch:
-        keys = list(held)
+    """Equal contexts that stand near each other become one row with the smallest and largest document."""
+    held: list[pa.RecordBatch] = []
+
+    def rows() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        c1, c2, own = (table.column(name).to_numpy() for name in ("c1", "c2", "id"))
+        order = np.lexsort((c2, c1))
+        start = _starts(c1[order], c2[order])
+        first = pa.array(order[start])
         return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.binary()), pa.array(list(held.values()), pa.int64())], ["h", "ctx", "least"]
+            [
+                *(table.column(name).take(first).combine_chunks() for name in ("g", "ctx", "c1", "c2")),
+                pa.array(np.minimum.reduceat(own[order], start)), pa.array(np.maximum.reduceat(own[order], start)),
+            ],
+            ["g", "ctx", "c1", "c2", "least", "most"],
         )
 
-    held: dict[tuple[int, bytes], int] = {}
     for batch in batches:
-        for h, ctx, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            if held.get((h, ctx), own + 1) > own:
-                held[h, ctx] = own
-        if len(held) > 100_000:
-            yield rows(held)
-            held = {}
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= 200_000:
+            yield rows()
     if held:
-        yield rows(held)
+        yield rows()
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where rows of sorted columns differ from the row before."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def sorted_prefixes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows' sorted order, and how many first bytes each sorted row shares with the one before."""
+    words = np.pad(rows, ((0, 0), (0, -rows.shape[1] % 8))).view(">u8").astype(np.uint64)
+    order = np.lexsort(words.T[::-1])
+    shared = np.zeros(len(rows), np.int16)
+    for start in range(1, len(rows), 50_000):
+        stop = min(len(rows), start + 50_000)
+        differ = rows[order[start:stop]] != rows[order[start - 1 : stop - 1]]
+        shared[start:stop] = np.where(differ.any(1), differ.argmax(1), rows.shape[1])
+    return order, shared
 
 
 def _classes(table: pa.Table) -> pa.Table:
-    """For each context of a bucket the smallest document of each of its windows, as runs."""
-    first: dict[tuple[int, bytes], int] = {}
-    for h, c, own in zip(table.column("h").to_pylist(), table.column("ctx").to_pylist(), table.column("least").to_pylist()):
-        if first.get((h, c), own + 1) > own:
-            first[h, c] = own
-    h, ctx = np.array([k[0] for k in first], np.int64), [k[1] for k in first]
-    least = np.array(list(first.values()), np.int64)
-    n = len(ctx)
-    left = np.array([c[0] for c in ctx])
-    bytes_ = np.zeros((n, WIDTH), np.uint8)
-    for i, c in enumerate(ctx):
-        bytes_[i, REACH - c[0] : REACH - c[0] + len(c) - 1] = np.frombuffer(c, np.uint8, offset=1)
-    right = np.array([len(c) - 1 - c[0] for c in ctx])
-    j = np.arange(REACH + 1)  # a window's first byte in the row
-    valid = (REACH - j[None, :] <= left[:, None]) & (j[None, :] + WINDOW - REACH <= right[:, None])
-    answer = np.where(valid, least[:, None], np.iinfo(np.int64).max)
-    _, group, size = np.unique(h, return_inverse=True, return_counts=True)
-    several = np.flatnonzero(size[group] > 1)
-    if len(several):
-        windows = np.lib.stride_tricks.sliding_window_view(bytes_[several], WINDOW, axis=1)
-        ok = valid[several]
-        order, start = sorted_classes(np.ascontiguousarray(windows[ok]))
-        owner = np.repeat(least[several], ok.sum(1))[order]
-        smallest = np.repeat(np.minimum.reduceat(owner, start), np.diff(np.r_[start, len(owner)])) if len(owner) else owner
-        back = np.empty(len(owner), np.int64)
-        back[order] = smallest
-        part = answer[several]
-        part[ok] = back
-        answer[several] = part
-    change = np.c_[np.ones(n, bool), answer[:, 1:] != answer[:, :-1]]
-    runs = []
-    for i in range(n):
-        at = np.flatnonzero(change[i])
-        runs.append(at.astype("<i8").tobytes() + answer[i, at].astype("<i8").tobytes())
-    halves = np.frombuffer(b"".join(map(xxhash.xxh128_digest, ctx)), "<i8").reshape(-1, 2)
-    return pa.table({"c1": pa.array(halves[:, 0]), "c2": pa.array(halves[:, 1]), "runs": pa.array(runs, pa.binary())})
-
-
-def sorted_classes(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sort suffixes by their first WINDOW bytes: the order, and where each class of equal ones starts."""
-    order = np.lexsort(np.pad(windows, ((0, 0), (0, -WINDOW % 8))).view(">u8").T[::-1]) if len(windows) else np.zeros(0, np.int64)
-    ranked = windows[order]
-    start = np.flatnonzero(np.r_[True, (ranked[1:] != ranked[:-1]).any(1)]) if len(ranked) else np.zeros(0, np.int64)
-    return order, start
-
-
-def _spans(places: list[int], runs: list[bytes], own: int) -> np.ndarray:
-    """Merged (start, end) of windows that start in a smaller document."""
-    starts = []
-    for place, run in zip(places, runs):
-        half = len(run) // 16
-        at, least = np.frombuffer(run, "<i8", half), np.frombuffer(run, "<i8", half, 8 * half)
-        ends = np.r_[at[1:], REACH + 1]
-        for a, b, smallest in zip(at.tolist(), ends.tolist(), least.tolist()):
-            if smallest < own:
-                starts.append((place - REACH + a, place - REACH + b - 1 + WINDOW))
-    if not starts:
-        return np.zeros((0, 2), np.int64)
-    starts.sort()
-    out = [list(starts[0])]
-    for a, b in starts[1:]:
-        if a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return np.array(out, np.int64)
+    """For each context of a bucket the smallest document of each of its windows, as runs.
+
+    What follows the anchor is sorted, and so is what precedes it, read backwards. A window
+    of l bytes before the anchor and r from it on is equal to another if both are neighbours,
+    or linked by neighbours, with l and r equal bytes in these orders. Contexts
+    none of whose windows start in a smaller document than its largest are left out.
+    """
+    table = table.combine_chunks()
+    c1, c2, least, most = (table.column(name).to_numpy() for name in ("c1", "c2", "least", "most"))
+    order = np.lexsort((c2, c1))
+    start = _starts(c1[order], c2[order])
+    least, most = np.minimum.reduceat(least[order], start), np.maximum.reduceat(most[order], start)
+    ctx = table.column("ctx").combine_chunks()
+    ctx = _matrix(ctx.chunk(0) if isinstance(ctx, pa.ChunkedArray) else ctx)[order[start]]
+    c1, c2, n = c1[order[start]], c2[order[start]], len(start)
+    left, right = ctx[:, 0].astype(np.int64), ctx[:, 1].astype(np.int64)
+    after, after_shared = sorted_prefixes(np.ascontiguousarray(ctx[:, 2 + REACH :]))
+    before, before_shared = sorted_prefixes(np.ascontiguousarray(ctx[:, 2 : 2 + REACH][:, ::-1]))
+    answer = np.full((n, REACH + 1), np.iinfo(np.int64).max)
+    for j in range(REACH + 1):  # a window's first byte in the context
+        ahead = REACH - j
+        takes = np.flatnonzero((left >= ahead) & (right >= WINDOW - ahead))
+        if not len(takes):
+            continue
+        class_after, class_before = np.empty(n, np.int64), np.empty(n, np.int64)
+        class_after[after] = np.cumsum(after_shared < WINDOW - ahead)
+        class_before[before] = np.cumsum(before_shared < ahead)
+        both = class_after[takes] * (n + 1) + class_before[takes]
+        by = np.argsort(both, kind="stable")
+        first = _starts(both[by])
+        smallest = np.minimum.reduceat(least[takes][by], first)
+        answer[takes[by], j] = np.repeat(smallest, np.diff(np.r_[first, len(by)]))
+    use = np.flatnonzero(answer.min(1) < most)
+    answer = answer[use]
+    change = np.ones(answer.shape, bool)
+    change[:, 1:] = answer[:, 1:] != answer[:, :-1]
+    row, at = np.nonzero(change)
+    body = np.c_[at, answer[row, at]].astype("<i8").tobytes()
+    ends = np.r_[0, np.cumsum(16 * change.sum(1))].astype(np.int32)
+    runs = pa.Array.from_buffers(pa.binary(), len(use), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(body)])
+    return pa.table({"c1": pa.array(c1[use]), "c2": pa.array(c2[use]), "runs": runs})
+
+
+def _spans(own: tuple[np.ndarray, np.ndarray], places: np.ndarray, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Merged (document number, start, end) of windows that start in a smaller document.
+
+    Every hit has its document's number and id (``own``), a place and its context's runs.
+    """
+    number, ids = own
+    pairs = np.frombuffer(b"".join(runs), "<i8").reshape(-1, 2)
+    hit = np.repeat(np.arange(len(runs)), [len(r) // 16 for r in runs])
+    last = np.full(len(pairs), REACH + 1)
+    same = hit[1:] == hit[:-1]
+    last[:-1][same] = pairs[1:, 0][same]
+    use = pairs[:, 1] < ids[hit]
+    hit, first, last = hit[use], pairs[use, 0], last[use]
+    doc, low, high = number[hit], places[hit] - REACH + first, places[hit] - REACH + last - 1 + WINDOW
+    order = np.lexsort((low, doc))
+    doc, low, high = doc[order], low[order], high[order]
+    if not len(doc):
+        return doc, low, high
+    far = np.int64(1) << 32  # documents lie apart, so reach never crosses them
+    reach = np.maximum.accumulate(doc * far + high)
+    new = np.r_[True, (doc * far + low)[1:] > reach[:-1]]
+    start = np.flatnonzero(new)
+    stop = np.r_[start[1:], len(doc)] - 1
+    return doc[start], low[start], reach[stop] - doc[start] * far
 
 
 def repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -278,22 +340,25 @@ def repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     gathered = gathered.join(copies.groupBy("key").agg(F.collect_set("id").alias("copies")), "key", "left")
     asking = ~F.coalesce(F.array_contains("copies", F.col("id")), F.lit(False))
     found = taking_part.join(gathered, "key").filter(asking).select("id", "key", "data", "places")
-    occurrences = stored(found.mapInArrow(_contexts, "id long, key long, place int, ctx binary, c1 long, c2 long, h long"), "repeat-occurrences")
-    contexts = occurrences.select("h", "ctx", "id").mapInArrow(_combined, "h long, ctx binary, least long")
+    occurrences = stored(found.mapInArrow(_contexts, "id long, key long, place int, ctx binary, c1 long, c2 long, g long"), "repeat-occurrences")
+    contexts = occurrences.select("g", "ctx", "c1", "c2", "id").mapInArrow(_combined, "g long, ctx binary, c1 long, c2 long, least long, most long")
     groups = max(1, -(-occurrences.count() // BUCKET_CONTEXTS))
     classes = stored(
-        contexts.withColumn("bucket", F.pmod("h", F.lit(groups))).groupBy("bucket").applyInArrow(_classes, "c1 long, c2 long, runs binary"), "repeat-classes"
+        contexts.withColumn("bucket", F.pmod("g", F.lit(groups))).drop("g").groupBy("bucket").applyInArrow(_classes, "c1 long, c2 long, runs binary"), "repeat-classes"
     )
     known = occurrences.select("id", "key", "place", "c1", "c2").join(classes, ["c1", "c2"])
     by_row = known.groupBy("id", "key").agg(F.collect_list(F.struct("place", "runs")).alias("hits"))
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for own, hits in zip(batch.column(0).to_pylist(), batch.column(2)):
-                items = hits.as_py()
-                out.append(_spans([x["place"] for x in items], [x["runs"] for x in items], own).astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["id", "key", "spans"])
+            lists = batch.column(2)
+            hits = lists.flatten()
+            number = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())
+            ids = batch.column(0).to_numpy()[number]
+            doc, low, high = _spans((number, ids), hits.field("place").to_numpy().astype(np.int64), hits.field("runs").to_pylist())
+            sizes = np.r_[0, np.cumsum(16 * np.bincount(doc, minlength=batch.num_rows))].astype(np.int32)
+            out = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(sizes.tobytes()), pa.py_buffer(np.c_[low, high].astype("<i8").tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), out], ["id", "key", "spans"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
