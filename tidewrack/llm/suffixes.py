@@ -39,7 +39,7 @@ REACH = WINDOW - GRAM  # windows that hold an anchor start up to so many bytes b
 WIDTH = REACH + WINDOW
 ROW = 2 + WIDTH
 #: Work of one group task: anchors of a bucket, contexts of a bucket.
-BUCKET_ANCHORS, BUCKET_CONTEXTS = 1_000_000, 20_000
+BUCKET_ANCHORS, BUCKET_CONTEXTS = 1_000_000, 60_000
 _TABLE = np.random.default_rng(50).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -165,9 +165,8 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> pa.RecordBatch:
         own, key, place, ctx, gram = map(np.concatenate, zip(*parts))
         parts.clear()
-        body = ctx.tobytes()
-        halves = np.frombuffer(b"".join(xxhash.xxh128_digest(body[i : i + ROW]) for i in range(0, len(body), ROW)), "<i8").reshape(-1, 2)
-        fixed = pa.Array.from_buffers(pa.binary(ROW), len(place), [None, pa.py_buffer(body)]).cast(pa.binary())
+        halves = _digests(ctx)
+        fixed = pa.Array.from_buffers(pa.binary(ROW), len(place), [None, pa.py_buffer(ctx.tobytes())]).cast(pa.binary())
         return pa.RecordBatch.from_arrays(
             [pa.array(own), pa.array(key), pa.array(place), fixed, pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(gram)],
             ["id", "key", "place", "ctx", "c1", "c2", "g"],
@@ -195,38 +194,50 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
+def _digests(ctx: np.ndarray) -> np.ndarray:
+    """128-bit hashes of contexts, as two columns."""
+    body = ctx.tobytes()
+    return np.frombuffer(b"".join(xxhash.xxh128_digest(body[i : i + ROW]) for i in range(0, len(body), ROW)), "<i8").reshape(-1, 2)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """A binary column of ROW bytes each, as a matrix."""
     first = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
     return np.frombuffer(column.buffers()[2], np.uint8)[first[0] : first[-1]].reshape(-1, ROW)
 
 
-def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Equal contexts that stand near each other become one row with the smallest and largest document."""
-    held: list[pa.RecordBatch] = []
+def _combined(groups: int):
+    """Equal contexts that stand near each other are combined; per bucket one packed record of them.
 
-    def rows() -> pa.RecordBatch:
+    It holds the contexts by anchor, and each one's smallest and largest document.
+    """
+
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks()
-        held.clear()
-        c1, c2, own = (table.column(name).to_numpy() for name in ("c1", "c2", "id"))
+        c1, c2, own, gram = (table.column(name).to_numpy() for name in ("c1", "c2", "id", "g"))
         order = np.lexsort((c2, c1))
         start = _starts(c1[order], c2[order])
-        first = pa.array(order[start])
-        return pa.RecordBatch.from_arrays(
-            [
-                *(table.column(name).take(first).combine_chunks() for name in ("g", "ctx", "c1", "c2")),
-                pa.array(np.minimum.reduceat(own[order], start)), pa.array(np.maximum.reduceat(own[order], start)),
-            ],
-            ["g", "ctx", "c1", "c2", "least", "most"],
-        )
+        least, most, at = np.minimum.reduceat(own[order], start), np.maximum.reduceat(own[order], start), order[start]
+        bucket = gram[at] % groups
+        order = np.lexsort((gram[at], bucket))
+        ctx, pack, out = _matrix(table.column("ctx").chunk(0)), zstandard.ZstdCompressor(level=3).compress, []
+        for part in np.split(order, _starts(bucket[order])[1:]):
+            body = struct.pack("<q", len(part)) + ctx[at[part]].tobytes() + least[part].tobytes() + most[part].tobytes()
+            out.append((int(bucket[part[0]]), pack(body)))
+        return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], ["bucket", "body"])
 
-    for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-        if sum(b.num_rows for b in held) >= 200_000:
-            yield rows()
-    if held:
-        yield rows()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= 300_000:
+                yield packed(held)
+                held = []
+        if held:
+            yield packed(held)
+
+    return run
 
 
 def _starts(*columns: np.ndarray) -> np.ndarray:
@@ -257,14 +268,20 @@ def _classes(table: pa.Table) -> pa.Table:
     or linked by neighbours, with l and r equal bytes in these orders. Contexts
     none of whose windows start in a smaller document than its largest are left out.
     """
-    table = table.combine_chunks()
-    c1, c2, least, most = (table.column(name).to_numpy() for name in ("c1", "c2", "least", "most"))
+    unpack = zstandard.ZstdDecompressor().decompress
+    parts = []
+    for packed in table.column("body"):
+        body = unpack(packed.as_py())
+        n = struct.unpack("<q", body[:8])[0]
+        at = 8 + n * ROW
+        parts.append((np.frombuffer(body, np.uint8, n * ROW, 8).reshape(-1, ROW), np.frombuffer(body, "<i8", n, at), np.frombuffer(body, "<i8", n, at + 8 * n)))
+    ctx, least, most = map(np.concatenate, zip(*parts))
+    halves = _digests(ctx)
+    c1, c2 = halves[:, 0], halves[:, 1]
     order = np.lexsort((c2, c1))
     start = _starts(c1[order], c2[order])
     least, most = np.minimum.reduceat(least[order], start), np.maximum.reduceat(most[order], start)
-    ctx = table.column("ctx").combine_chunks()
-    ctx = _matrix(ctx.chunk(0) if isinstance(ctx, pa.ChunkedArray) else ctx)[order[start]]
-    c1, c2, n = c1[order[start]], c2[order[start]], len(start)
+    ctx, c1, c2, n = ctx[order[start]], c1[order[start]], c2[order[start]], len(start)
     left, right = ctx[:, 0].astype(np.int64), ctx[:, 1].astype(np.int64)
     after, after_shared = sorted_prefixes(np.ascontiguousarray(ctx[:, 2 + REACH :]))
     before, before_shared = sorted_prefixes(np.ascontiguousarray(ctx[:, 2 : 2 + REACH][:, ::-1]))
@@ -341,11 +358,9 @@ def repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     asking = ~F.coalesce(F.array_contains("copies", F.col("id")), F.lit(False))
     found = taking_part.join(gathered, "key").filter(asking).select("id", "key", "data", "places")
     occurrences = stored(found.mapInArrow(_contexts, "id long, key long, place int, ctx binary, c1 long, c2 long, g long"), "repeat-occurrences")
-    contexts = occurrences.select("g", "ctx", "c1", "c2", "id").mapInArrow(_combined, "g long, ctx binary, c1 long, c2 long, least long, most long")
     groups = max(1, -(-occurrences.count() // BUCKET_CONTEXTS))
-    classes = stored(
-        contexts.withColumn("bucket", F.pmod("g", F.lit(groups))).drop("g").groupBy("bucket").applyInArrow(_classes, "c1 long, c2 long, runs binary"), "repeat-classes"
-    )
+    contexts = occurrences.select("g", "ctx", "c1", "c2", "id").mapInArrow(_combined(groups), "bucket long, body binary")
+    classes = stored(contexts.groupBy("bucket").applyInArrow(_classes, "c1 long, c2 long, runs binary"), "repeat-classes")
     known = occurrences.select("id", "key", "place", "c1", "c2").join(classes, ["c1", "c2"])
     by_row = known.groupBy("id", "key").agg(F.collect_list(F.struct("place", "runs")).alias("hits"))
 
