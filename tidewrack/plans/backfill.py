@@ -5,11 +5,13 @@ from __future__ import annotations
 import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewrack.functions.calendar import expand_days
+from tidewrack.operators import dedupe, quality
 from tidewrack.plans import medallion
+from tidewrack.session import shared_folder
 from tidewrack.sources import lake as store
 from tidewrack.sources.lake import Lake
 
@@ -68,9 +70,11 @@ def run(
 ) -> DataFrame:
     """Process the days of the range that the ledger lacks, as one distributed job.
 
-    Raw folders outside the range are never listed into the scan. Silver is written
-    before the ledger: after a failure in between, the range is simply replayed and
-    finds its ids already stored under the same run's replacement.
+    All layers are brought up to raw: records that bronze or quarantine lacks are stored,
+    silver, gold and the quality report follow. Records another batch or
+    stream has stored stay where they are, so nothing is doubled. Raw folders outside the
+    range are not read. The ledger is written last: after a failure the range is replayed,
+    also under other dates.
     """
     days = plan(spark, start, end)
     ledger = read_ledger(spark, lake, dataset)
@@ -83,6 +87,19 @@ def run(
     return status(days, read_ledger(spark, lake, dataset))
 
 
+def _between(first: str, last: str) -> Column:
+    return (F.col("arrived_at") >= F.to_timestamp(F.lit(first))) & (
+        F.col("arrived_at") < F.to_timestamp(F.date_add(F.lit(last).cast("date"), 1))
+    )
+
+
+def _arrived(spark: SparkSession, lake: Lake, layer: str, dataset: str, first: str, last: str) -> DataFrame:
+    """Arrival time, number and batch of a layer's rows that arrived in the range."""
+    names = ", ".join(f"{name} STRING" for name in (*lake.partitions, "batch"))
+    reader = spark.read.schema(f"arrived_at TIMESTAMP, seq BIGINT, {names}").format(store.layer_format(layer))
+    return reader.load(lake.path(layer, dataset)).filter(_between(first, last))
+
+
 def _run_days(
     spark: SparkSession, lake: Lake, dataset: str, todo: DataFrame, first: str, last: str
 ) -> None:
@@ -95,14 +112,32 @@ def _run_days(
     )
     # stable name: a repeated range replaces its own files instead of adding to them
     batch_id = f"backfill-{first}-{last}"
+    missing = events
+    for layer in ("bronze", "quarantine"):
+        if store.exists(spark, lake.path(layer, dataset)):
+            held = _arrived(spark, lake, layer, dataset, first, last).filter(F.col("batch") != batch_id)
+            missing = missing.join(held.select("arrived_at", "seq"), ["arrived_at", "seq"], "left_anti")
+    # what is missing is stored first: both layers below are decided by it
+    folder = f"{shared_folder(spark, 'backfill')}/missing"
+    missing.write.parquet(folder)
+    missing = spark.read.parquet(folder)
+    store.write_batch(
+        medallion.bronze(missing, dataset, F.col("arrived_at")), lake, "bronze", dataset, "ingested_at", batch_id
+    )
     store.write_batch(
-        medallion.bronze(events, dataset, F.col("arrived_at")),
-        lake, "bronze", dataset, "ingested_at", batch_id, gather=False,
+        quality.rejected_rows(missing, dataset), lake, "quarantine", dataset, "arrived_at", batch_id
     )
-    medallion.append_silver(spark, lake, dataset, batch_id)
+    # of all bronze rows of the days: a batch may have failed between bronze and silver
+    fresh = spark.read.parquet(lake.path("bronze", dataset)).filter(_between(first, last))
+    fresh = fresh.join(
+        F.broadcast(todo.select(F.col("day").alias("_day"))), F.to_date("arrived_at") == F.col("_day"), "left_semi"
+    ).drop("year", "month", "day", "hour", "batch")
+    medallion.add_to_silver(spark, lake, dataset, dedupe.keep_first(fresh), "ingested_at", batch_id)
+    store.write_report(quality.quality_report(events, dataset), lake, dataset)
+    medallion.publish_gold(spark, lake, dataset)
 
     def stored_per_day(layer: str, name: str) -> DataFrame:
-        stored = spark.read.parquet(lake.path(layer, dataset)).filter(F.col("batch") == batch_id)
+        stored = spark.read.parquet(lake.path(layer, dataset)).filter(_between(first, last))
         return stored.groupBy(F.to_date("arrived_at").alias("day")).agg(
             F.count(F.lit(1)).alias(name)
         )

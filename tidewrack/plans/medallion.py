@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewrack import domain
 from tidewrack.operators import dedupe, enrich, gold, pii, quality
 from tidewrack.sources import lake as store
 from tidewrack.sources.lake import Lake
@@ -54,10 +55,13 @@ def silver_from_bronze(stored: DataFrame) -> DataFrame:
 
 def write_batch(
     spark: SparkSession, lake: Lake, dataset: str, payloads: DataFrame, batch_id: str,
-    ingested_at: Column | None = None,
+    ingested_at: Column | None = None, gate: float = domain.PUBLISH_GATE_SCORE,
 ) -> DataFrame:
     """Store one batch in all layers; repeating it gives the same lake.
 
+    Gold is published only if the batch's score reaches ``gate``; the batch stays in silver
+    and reaches gold with the next one that passes.
+
     Each stage reads what the previous stage stored, so a lost executor costs a
     stage's tasks and never the whole chain. Returns the batch's quality report.
     """
@@ -75,10 +79,12 @@ def write_batch(
         lake, "quarantine", dataset, "arrived_at", batch_id,
     )
     append_silver(spark, lake, dataset, batch_id)
-    publish_gold(spark, lake, dataset)
     report = quality.quality_report(events, dataset)
     store.write_report(report, lake, dataset)
-    return spark.read.schema(report.schema).json(lake.report_path(dataset))
+    stored_report = spark.read.schema(report.schema).json(lake.report_path(dataset))
+    if stored_report.first()["score"] >= gate:
+        publish_gold(spark, lake, dataset)
+    return stored_report
 
 
 def append_silver(spark: SparkSession, lake: Lake, dataset: str, batch_id: str) -> None:
@@ -100,13 +106,16 @@ def add_to_silver(
 
 
 def rebuild_silver(spark: SparkSession, lake: Lake, dataset: str) -> None:
-    """Full batch job bronze to silver, replacing the partitions it produces."""
+    """Full batch job bronze to silver, replacing the whole layer.
+
+    Each row keeps the batch that brought it, so batches can be added or repeated afterwards.
+    """
     stored = spark.read.parquet(lake.path("bronze", dataset))
-    kept = silver_from_bronze(stored.drop("year", "month", "day", "hour", "batch"))
-    store.overwrite_partitions(kept, lake, "silver", dataset, "ingested_at")
+    kept = silver_from_bronze(stored.drop("year", "month", "day", "hour"))
+    store.replace_layer(kept, lake, "silver", dataset, "ingested_at")
 
 
 def publish_gold(spark: SparkSession, lake: Lake, dataset: str) -> None:
     """Stored silver to the six gold tables; each reads only the columns it needs."""
     stored = spark.read.parquet(lake.path("silver", dataset))
-    store.write_gold(gold.gold_tables(stored), lake)
+    store.write_gold(gold.gold_tables(stored), lake, dataset)

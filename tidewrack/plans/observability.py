@@ -68,3 +68,16 @@ def health(events: DataFrame, dataset: str) -> DataFrame:
         _grade(F.col("lag"), lambda c: c < 5_000_000, lambda c: c <= 60_000_000).alias("status"),
     )
     return score.unionByName(failure).unionByName(lag)
+
+
+def stream_snapshot(raw: DataFrame) -> DataFrame:
+    """One row over ``payload, arrived_at, event_ts`` rows: newest arrival, the records and bytes of
+    the minute up to it, and the largest lag of any record in milliseconds."""
+    now = raw.agg(F.max("arrived_at")).scalar()
+    recent = F.col("arrived_at") > now - F.expr("INTERVAL 60 SECONDS")
+    return raw.agg(
+        F.max("arrived_at").alias("newest_arrival"),
+        F.count_if(recent).alias("records"),
+        F.coalesce(F.sum(F.when(recent, F.octet_length("payload"))), F.lit(0)).cast("bigint").alias("bytes"),
+        F.floor(F.max(lag_micros("event_ts", "arrived_at")) / 1000).cast("bigint").alias("max_lag_ms"),
+    )

@@ -255,6 +255,17 @@ def _with(prefix: str, select: str) -> str:
     return f"WITH {prefix.strip()}\n{select}"
 
 
+_FIRST_HALF = "f.arrived_at < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events)"
+
+
+def _counts(records: str, which: str) -> str:
+    """Rows and numbers per layer, of a lake that holds the events for which ``which`` is true."""
+    return _with(SILVER, f"""SELECT 'raw' AS layer, {records} AS records, count(*) AS numbers FROM flags f WHERE {which}
+        UNION ALL SELECT 'bronze', {records}, count(*) FROM flags f WHERE {which} AND is_complete AND is_valid
+        UNION ALL SELECT 'quarantine', {records}, count(*) FROM flags f WHERE {which} AND NOT (is_complete AND is_valid)
+        UNION ALL SELECT 'silver', count(*), count(*) FROM silver f WHERE {which}""")
+
+
 ORACLE: dict[str, str] = {
     "txn_fixture": _with(TXN, """SELECT * EXCLUDE (lag_us), strftime(arrived_at, '%Y') AS "year",
         strftime(arrived_at, '%m') AS "month", strftime(arrived_at, '%d') AS "day", strftime(arrived_at, '%H') AS "hour" FROM txn2"""),
@@ -432,9 +443,10 @@ ORACLE: dict[str, str] = {
         (SELECT date_trunc('day', max(ts)) FROM events), INTERVAL '1' DAY)) AS DATE) AS day""",
     "backfill_pending": _with(SILVER, """SELECT day FROM (SELECT CAST(unnest(generate_series((SELECT date_trunc('day', min(ts)) FROM events),
           (SELECT date_trunc('day', max(ts)) FROM events), INTERVAL '1' DAY)) AS DATE) AS day)
-        WHERE day NOT IN (SELECT CAST(arrived_at AS DATE) FROM silver WHERE extract(day FROM arrived_at) <= 12)"""),
-    "backfill_antijoin": _with(BRONZE, """SELECT seq, event_id, amount_gbp FROM bronze WHERE arrived_at >= TIMESTAMP '2024-01-12'
-        AND event_id NOT IN (SELECT event_id FROM bronze WHERE arrived_at < TIMESTAMP '2024-01-13')"""),
+        WHERE day > (SELECT CAST(min(ts) AS DATE) + (date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)) // 2)::INT FROM events)"""),
+    "backfill_antijoin": _with(BRONZE, """, middle AS (SELECT CAST(min(ts) AS DATE) + (date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)) // 2)::INT AS m FROM events)
+        SELECT seq, event_id, amount_gbp FROM bronze, middle WHERE CAST(arrived_at AS DATE) >= m
+        AND event_id NOT IN (SELECT event_id FROM bronze, middle WHERE CAST(arrived_at AS DATE) <= m)"""),
     "backfill_run": _with(SILVER, """, days AS (SELECT CAST(unnest(generate_series((SELECT date_trunc('day', min(ts)) FROM events),
           (SELECT date_trunc('day', max(ts)) FROM events), INTERVAL '1' DAY)) AS DATE) AS day)
         SELECT 'transactions' AS dataset, days.day AS day, count(s.seq) AS records, count(b.seq) - count(s.seq) AS skipped
@@ -484,10 +496,26 @@ ORACLE: dict[str, str] = {
             WHEN 'JPY' THEN 0.0052 END AS DECIMAL(5,4)), 2)) FILTER (WHERE is_complete AND is_valid), 0) AS DECIMAL(18,2)) AS revenue,
           count(*) FILTER (WHERE level = 'ERROR') AS errors,
           count(*) FILTER (WHERE country NOT IN ('GB','IE','FR','DE','US','NL','ES','IT','SE','NO')) AS unusual,
-          max(lag_us) AS max_lag_micros FROM flags GROUP BY 1)
-        WHERE window_start + INTERVAL '5' MINUTE <= (SELECT date_trunc('millisecond', max(arrived_at)) - INTERVAL '10' MINUTE FROM txn2)"""),
+          max(lag_us) AS max_lag_micros FROM flags GROUP BY 1)"""),
     "stream_alerts": _with(METRICS, "SELECT * FROM alerts WHERE metric <> 'duplicate_rate'"),
     "stream_gold": _with(GOLD, "SELECT * FROM daily_revenue"),
+    "stream_gold_customer_activity": _with(GOLD, "SELECT * FROM customer_activity"),
+    "stream_gold_country_performance": _with(GOLD, "SELECT * FROM country_performance"),
+    "stream_gold_fraud_summary": _with(GOLD, "SELECT * FROM fraud_summary"),
+    "stream_gold_merchant_statistics": _with(GOLD, "SELECT * FROM merchant_statistics"),
+    "stream_gold_system_performance": _with(GOLD, "SELECT * FROM system_performance"),
+    "sql_over_lake": _with(GOLD, """SELECT 'bronze' AS layer, count(*) AS records, CAST(sum(amount_gbp) AS DECIMAL(18,2)) AS volume FROM bronze
+        UNION ALL SELECT 'silver', count(*), CAST(sum(amount_gbp) AS DECIMAL(18,2)) FROM silver
+        UNION ALL SELECT 'gold', CAST(sum(transactions) AS BIGINT), CAST(sum(volume) AS DECIMAL(18,2)) FROM daily_revenue"""),
+    "stream_snapshot": _with(TXN + "," + _PAYLOAD, """, t AS (SELECT max(arrived_at) AS newest FROM txn2)
+        SELECT newest AS newest_arrival,
+          (SELECT count(*) FROM payload, t WHERE arrived_at > newest - INTERVAL '60' SECOND) AS records,
+          (SELECT CAST(coalesce(sum(strlen(payload)), 0) AS BIGINT) FROM payload, t WHERE arrived_at > newest - INTERVAL '60' SECOND) AS bytes,
+          (SELECT CAST(floor(max(lag_us) / 1000) AS BIGINT) FROM txn2) AS max_lag_ms FROM t"""),
+    "lake_stream_then_batch": _counts("2 * count(*)", "true"),
+    "lake_rebuild_then_batch": _counts("count(*)", "true"),
+    "lake_shrunk_batch": _counts("count(*)", _FIRST_HALF),
+    "backfill_after_batch": _counts("count(*)", "true"),
     "stream_quality": _with(REPORT, """SELECT *, CASE WHEN score >= 95 THEN 'PUBLISH' ELSE 'QUARANTINE' END AS decision, score < 97 AS warning,
         '0' AS batch FROM report"""),
 }

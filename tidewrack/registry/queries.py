@@ -79,6 +79,33 @@ def new_lake(spark: SparkSession, label: str, grain: str = "day") -> Lake:
     return Lake(shared_folder(spark, label), grain)
 
 
+def two_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The payloads before the middle of the arrivals, and the rest."""
+    rows = payloads(spark, sf_dir)
+    first, last = rows.agg(F.min("arrived_at"), F.max("arrived_at")).first()
+    middle = first + (last - first) / 2
+    return rows.filter(F.col("arrived_at") < F.lit(middle)), rows.filter(F.col("arrived_at") >= F.lit(middle))
+
+
+def loaded_lake(spark: SparkSession, sf_dir: str, label: str) -> Lake:
+    """A lake that two batches were written to."""
+    lake = new_lake(spark, label)
+    for number, part in enumerate(two_batches(spark, sf_dir)):
+        medallion.write_batch(spark, lake, DATASET, part, f"b{number}")
+    return lake
+
+
+def layer_frames(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """The stored layers' rows (raw typed; quarantine by number, arrival and reasons)."""
+    rejected = spark.read.schema("seq BIGINT, arrived_at TIMESTAMP, reasons ARRAY<STRING>")
+    return {
+        "raw": store.read_raw(spark, lake, DATASET),
+        "bronze": store.read_layer(spark, lake, "bronze", DATASET),
+        "quarantine": rejected.json(lake.path("quarantine", DATASET)),
+        "silver": store.read_layer(spark, lake, "silver", DATASET),
+    }
+
+
 def joined_reasons() -> Column:
     return F.array_join("reasons", "; ").alias("reasons")
 
@@ -154,7 +181,7 @@ def silver_overwrite(spark, sf_dir):
 @query
 def gold_scan(spark, sf_dir):
     lake = new_lake(spark, "gold")
-    store.write_gold(gold.gold_tables(core(spark, sf_dir)), lake)
+    store.write_gold(gold.gold_tables(core(spark, sf_dir)), lake, DATASET)
     return store.read_gold(spark, lake, "customer_activity")
 
 
@@ -196,15 +223,8 @@ def dataset_inventory(spark, sf_dir):
 
 @query
 def layer_reconciliation(spark, sf_dir):
-    events = txn(spark, sf_dir)
-    return lineage.layer_counts(
-        {
-            "raw": events,
-            "bronze": quality.accepted_rows(events, DATASET),
-            "quarantine": quality.rejected_rows(events, DATASET),
-            "silver": core(spark, sf_dir),
-        }
-    )
+    """Of a lake that two batches stored."""
+    return lineage.layer_counts(layer_frames(spark, loaded_lake(spark, sf_dir, "reconciliation")))
 
 
 @query
@@ -652,16 +672,20 @@ def backfill_plan(spark, sf_dir):
 
 @query
 def backfill_pending(spark, sf_dir):
-    events = txn(spark, sf_dir)
-    ledger = core(spark, sf_dir).select(F.to_date("arrived_at").alias("day")).filter("day(day) <= 12")
-    return backfill.pending(backfill.plan_of(events), ledger)
+    """Days left when those up to the middle of the range are in the ledger."""
+    days = backfill.plan_of(txn(spark, sf_dir))
+    middle = days.agg(F.expr("date_add(min(day), int(datediff(max(day), min(day)) / 2))")).scalar()
+    return backfill.pending(days, days.filter(F.col("day") <= middle))
 
 
 @query
 def backfill_antijoin(spark, sf_dir):
+    """Arrivals from the middle of the range on, whose ids had not arrived a day after it."""
     rows = bronze(spark, sf_dir)
-    existing = rows.filter("arrived_at < TIMESTAMP '2024-01-13'").select("event_id").distinct()
-    incoming = rows.filter("arrived_at >= TIMESTAMP '2024-01-12'")
+    days = backfill.plan_of(txn(spark, sf_dir))
+    middle = days.agg(F.expr("date_add(min(day), int(datediff(max(day), min(day)) / 2))")).scalar()
+    existing = rows.filter(F.to_date("arrived_at") <= middle).select("event_id").distinct()
+    incoming = rows.filter(F.to_date("arrived_at") >= middle)
     return dedupe.skip_existing(incoming, existing).select("seq", "event_id", "amount_gbp")
 
 
@@ -762,14 +786,11 @@ def schema_merge_files(spark, sf_dir):
 
 @query
 def record_lineage(spark, sf_dir):
-    events = txn(spark, sf_dir)
-    traced = lineage.trace(
-        events,
-        quality.accepted_rows(events, DATASET),
-        core(spark, sf_dir),
-        quality.rejected_rows(events, DATASET),
+    """Of a lake that two batches stored."""
+    stored = layer_frames(spark, loaded_lake(spark, sf_dir, "lineage"))
+    return lineage.lineage_summary(
+        lineage.trace(stored["raw"], stored["bronze"], stored["silver"], stored["quarantine"])
     )
-    return lineage.lineage_summary(traced)
 
 
 @query
@@ -810,7 +831,9 @@ def dim_country(spark, sf_dir):
 
 
 def star(spark, sf_dir) -> tuple[DataFrame, dict[str, DataFrame]]:
-    rows = core(spark, sf_dir)
+    path = f"{shared_folder(spark, 'star')}/silver"
+    core(spark, sf_dir).write.parquet(path)
+    rows = spark.read.parquet(path)
     dimensions = {
         "customer_key": warehouse.dim_customer(rows, fixtures.customer_profile(spark, sf_dir)),
         "merchant_key": warehouse.dim_merchant(rows),
@@ -875,6 +898,79 @@ def bronze_to_silver_job(spark, sf_dir):
     )
 
 
+@query
+def sql_over_lake(spark, sf_dir):
+    catalog.register_lake(spark, loaded_lake(spark, sf_dir, "sql"), [DATASET])
+    return spark.sql("""
+        SELECT 'bronze' AS layer, count(*) AS records, CAST(sum(amount_gbp) AS DECIMAL(18,2)) AS volume FROM bronze_transactions
+        UNION ALL SELECT 'silver', count(*), CAST(sum(amount_gbp) AS DECIMAL(18,2)) FROM silver_transactions
+        UNION ALL SELECT 'gold', sum(transactions), CAST(sum(volume) AS DECIMAL(18,2)) FROM gold_daily_revenue""")
+
+
+@query
+def stream_snapshot(spark, sf_dir):
+    lake = new_lake(spark, "snapshot")
+    store.land_raw(payloads(spark, sf_dir), lake, DATASET, "b1")
+    events = wire.parse_payloads(
+        spark.read.schema(schemas.RAW_SCHEMA).json(lake.path("raw", DATASET)).withColumn("copy", F.col("payload"))
+    )
+    return observability.stream_snapshot(events.withColumnRenamed("copy", "payload"))
+
+
+def counted(spark, lake: Lake) -> DataFrame:
+    """Rows and distinct record numbers of each stored layer."""
+    return drift.union_versions([
+        frame.agg(F.count(F.lit(1)).alias("records"), F.count_distinct("seq").alias("numbers")).select(
+            F.lit(name).alias("layer"), "records", "numbers"
+        )
+        for name, frame in layer_frames(spark, lake).items()
+    ])
+
+
+@query
+def lake_stream_then_batch(spark, sf_dir):
+    """Streams store the events; then all of them come again in a batch."""
+    lake = new_lake(spark, "mixed")
+    for sink in (ingest.landing(wire.to_payload(txn_stream(spark, sf_dir)), lake, DATASET),
+                 ingest.bronze(txn_stream(spark, sf_dir), lake, DATASET),
+                 ingest.quarantine(txn_stream(spark, sf_dir), lake, DATASET),
+                 ingest.silver(txn_stream(spark, sf_dir), lake, DATASET)):
+        ingest.run_available(sink)
+    medallion.write_batch(spark, lake, DATASET, payloads(spark, sf_dir), "again")
+    return counted(spark, lake)
+
+
+@query
+def lake_rebuild_then_batch(spark, sf_dir):
+    lake = new_lake(spark, "rebuilt")
+    first, second = two_batches(spark, sf_dir)
+    medallion.write_batch(spark, lake, DATASET, first, "b0")
+    medallion.rebuild_silver(spark, lake, DATASET)
+    medallion.write_batch(spark, lake, DATASET, second, "b1")
+    return counted(spark, lake)
+
+
+@query
+def lake_shrunk_batch(spark, sf_dir):
+    """A batch of everything, repeated with the first half only."""
+    lake = new_lake(spark, "shrunk")
+    medallion.write_batch(spark, lake, DATASET, payloads(spark, sf_dir), "b0")
+    medallion.write_batch(spark, lake, DATASET, two_batches(spark, sf_dir)[0], "b0")
+    return counted(spark, lake)
+
+
+@query
+def backfill_after_batch(spark, sf_dir):
+    """Half is written by a batch, all is landed, the whole range is backfilled: nothing doubles."""
+    lake = new_lake(spark, "backfill-after")
+    first, second = two_batches(spark, sf_dir)
+    medallion.write_batch(spark, lake, DATASET, first, "b0")
+    store.land_raw(second, lake, DATASET, "b1")
+    start, end = backfill.plan_of(txn(spark, sf_dir)).agg(F.min("day"), F.max("day")).first()
+    backfill.run(spark, lake, DATASET, str(start), str(end))
+    return counted(spark, lake)
+
+
 # --- streams --------------------------------------------------------------------
 
 
@@ -931,21 +1027,28 @@ def stream_silver(spark, sf_dir):
 def stream_window_metrics(spark, sf_dir):
     lake = new_lake(spark, "stream-windows")
     ingest.run_available(metrics.window_totals(txn_stream(spark, sf_dir), lake, DATASET))
-    return spark.read.parquet(lake.path("gold", f"{DATASET}_windows"))
+    return spark.read.parquet(lake.path("gold", f"{DATASET}_windows")).drop("day")
 
 
 @query
 def stream_alerts(spark, sf_dir):
     lake = new_lake(spark, "stream-alerts")
     ingest.run_available(metrics.alerts(txn_stream(spark, sf_dir), lake, DATASET))
-    return spark.read.parquet(lake.path("gold", f"{DATASET}_alerts")).drop("batch")
+    return spark.read.parquet(lake.path("gold", f"{DATASET}_alerts")).drop("day")
 
 
-@query
-def stream_gold(spark, sf_dir):
-    lake = new_lake(spark, "stream-gold")
-    ingest.run_available(ingest.daily_gold(txn_stream(spark, sf_dir), lake, DATASET))
-    return spark.read.parquet(lake.path("gold", "daily_revenue")).drop("part")
+def streamed_gold(name: str) -> Query:
+    def run(spark, sf_dir):
+        lake = new_lake(spark, "stream-gold")
+        ingest.run_available(ingest.daily_gold(txn_stream(spark, sf_dir), lake, DATASET))
+        return store.read_gold(spark, lake, name)
+
+    run.__name__ = "stream_gold" if name == "daily_revenue" else f"stream_gold_{name}"
+    return run
+
+
+for _name in gold.GOLD:
+    query(streamed_gold(_name))
 
 
 @query

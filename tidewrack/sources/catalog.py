@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidewrack import domain
+from tidewrack.sources import lake as store
+from tidewrack.sources.lake import Lake
+
 
 def register(tables: dict[str, DataFrame]) -> None:
     """Register ``layer_dataset`` views and their aliases."""
@@ -20,3 +23,18 @@ def register_gold(gold: dict[str, DataFrame], silver: DataFrame | None = None) -
     if silver is not None:
         tables["silver_transactions"] = silver
     register(tables)
+
+
+def register_lake(spark: SparkSession, lake: Lake, datasets: list[str]) -> list[str]:
+    """Register what a lake has stored as ``bronze_``, ``silver_`` and ``gold_`` views.
+
+    Gold views hold all datasets, told apart by their column ``dataset``.
+    """
+    tables = {
+        f"{layer}_{name}": spark.read.parquet(lake.path(layer, name)).drop("part")
+        for layer in ("bronze", "silver", "gold")
+        for name in (domain.GOLD_DATASETS if layer == "gold" else datasets)
+        if store.exists(spark, lake.path(layer, name))
+    }
+    register(tables)
+    return sorted(tables)

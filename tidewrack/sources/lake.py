@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +53,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(hadoop_path)
 
 
+def folders(spark: SparkSession, pattern: str) -> list:
+    """Stored folders that match a pattern; lists names only."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath() for status in system.globStatus(hadoop_path) or []]
+
+
+def clear(spark: SparkSession, pattern: str) -> None:
+    """Delete the folders that match a pattern."""
+    for path in folders(spark, pattern):
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -75,15 +89,19 @@ def write_batch(
     batch_id: str,
     gather: bool = True,
 ) -> None:
-    """Append one batch so that repeating the batch replaces only its own files.
+    """Append one batch so that repeating the batch replaces its own files, and only these.
 
-    The batch id is the innermost partition and only partitions present in the output
-    are overwritten. ``gather`` brings rows of a partition together first, by a
+    The batch id is the innermost partition. What the batch stored before is deleted, so a
+    repeat with fewer rows leaves none behind; a failure in between is mended by the next
+    repeat. Streams store their micro-batches the same way. ``gather`` brings rows of a partition together first, by a
     rebalance that keeps files near the advisory size: hours with little data share a
     task, a hot hour is split over many. Without it the rows are written where they
     are; right for rows read from a layer that has the same partitions.
     """
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", batch_id):
+        raise ValueError(f"batch id {batch_id!r} is not a plain folder name")
     rows = with_partitions(frame, time_column, lake.partitions).withColumn("batch", F.lit(batch_id))
+    clear(frame.sparkSession, f"{lake.path(layer, dataset)}/{'*/' * len(lake.partitions)}batch={batch_id}")
     if gather:
         rows = rows.hint("rebalance", *lake.partitions)
     (
@@ -110,6 +128,22 @@ def overwrite_partitions(
     )
 
 
+def replace_layer(
+    frame: DataFrame, lake: Lake, layer: str, dataset: str, time_column: str
+) -> None:
+    """Replace a whole layer by rows that bring their ``batch``, in the layout of ``write_batch``."""
+    (
+        with_partitions(frame, time_column, lake.partitions)
+        .hint("rebalance", *lake.partitions)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .options(**layer_options(layer))
+        .partitionBy(*lake.partitions, "batch")
+        .format(layer_format(layer))
+        .save(lake.path(layer, dataset))
+    )
+
+
 def land_raw(payloads: DataFrame, lake: Lake, dataset: str, batch_id: str) -> None:
     """Exact payload text with its arrival stamp, partitioned by arrival."""
     write_batch(
@@ -119,7 +153,10 @@ def land_raw(payloads: DataFrame, lake: Lake, dataset: str, batch_id: str) -> No
 
 
 def read_raw(spark: SparkSession, lake: Lake, dataset: str, only: Column | None = None) -> DataFrame:
-    """Raw layer parsed to typed events. ``only`` filters partition columns first."""
+    """Raw layer parsed to typed events. ``only`` filters partition columns first.
+
+    Batches and streams land in the same layout, so both are read.
+    """
     partitions = ", ".join(f"{name} STRING" for name in (*lake.partitions, "batch"))
     ddl = f"{RAW_SCHEMA.toDDL()}, {partitions}"
     stored = spark.read.schema(ddl).json(lake.path("raw", dataset))
@@ -133,13 +170,27 @@ def read_layer(spark: SparkSession, lake: Lake, layer: str, dataset: str) -> Dat
     return spark.read.json(path) if layer in _JSON_LAYERS else spark.read.parquet(path)
 
 
-def write_gold(tables: dict[str, DataFrame], lake: Lake) -> None:
-    for name, frame in tables.items():
-        frame.write.mode("overwrite").parquet(lake.path("gold", name))
-
+def write_gold(
+    tables: dict[str, DataFrame], lake: Lake, dataset: str, touched_only: bool = False
+) -> None:
+    """Gold tables of one dataset, each in ``gold/table/dataset=``; other datasets stay.
 
-def read_gold(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
-    return spark.read.schema(GOLD_SCHEMAS[dataset]).parquet(lake.path("gold", dataset))
+    Tables by date have a folder ``part`` per date. ``touched_only`` replaces only the
+    dates in the frames, else the dataset's whole table is replaced.
+    """
+    for name, frame in tables.items():
+        writer = frame
+        if "metric_date" in frame.columns:
+            writer = frame.withColumn("part", F.date_format("metric_date", "yyyy-MM-dd")).hint("rebalance", "part")
+        writer = writer.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if touched_only else "static")
+        if "metric_date" in frame.columns:
+            writer = writer.partitionBy("part")
+        writer.parquet(f"{lake.path('gold', name)}/dataset={dataset}")
+
+
+def read_gold(spark: SparkSession, lake: Lake, table: str, dataset: str = "transactions") -> DataFrame:
+    columns = [column.split()[0] for column in GOLD_SCHEMAS[table].split(", ")]
+    return spark.read.schema(GOLD_SCHEMAS[table]).parquet(f"{lake.path('gold', table)}/dataset={dataset}").select(*columns)
 
 
 def write_report(report: DataFrame, lake: Lake, dataset: str) -> None:

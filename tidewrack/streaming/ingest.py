@@ -1,7 +1,8 @@
 """Landing, bronze, quarantine and silver streams.
 
-Bronze and quarantine are two file sinks over one flag: a row goes to exactly one of
-them. Each sink has its own checkpoint, so a restart neither repeats nor loses rows.
+Bronze and quarantine are two sinks over one flag: a row goes to exactly one of them. Each
+sink has its own checkpoint and stores every micro-batch as a batch of the lake, in the
+layout of the batch jobs: a retried micro-batch replaces its own files.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewrack import domain
-from tidewrack.functions.calendar import with_partitions
 from tidewrack.operators import dedupe, enrich, quality
 from tidewrack.operators.gold import GOLD
 from tidewrack.plans import medallion
@@ -55,10 +55,25 @@ def distinct_events(events: DataFrame, dataset: str, horizon: str = domain.DEDUP
     return rows.withWatermark("event_ts", horizon).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def deduplicated(events: DataFrame, lake: Lake, dataset: str, horizon: str = domain.DEDUP_HORIZON) -> DataStreamWriter:
-    """``distinct_events`` to a Parquet table."""
-    rows = distinct_events(events, dataset, horizon)
-    return _file_sink(rows, lake, "bronze", f"{dataset}_distinct", "event_ts", "distinct")
+def deduplicated(events: DataFrame, lake: Lake, dataset: str) -> DataStreamWriter:
+    """Accepted rows, one per id over the whole stored history, to a Parquet table.
+
+    Unlike ``distinct_events``, which forgets ids after its horizon and loses rows later than
+    that, this keeps every valid row however late it is.
+    """
+    table = f"{dataset}_distinct"
+    rows = enrich.derive(quality.accepted_rows(events, dataset), F.col("arrived_at"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, name, unique = batch.sparkSession, f"distinct-{batch_id}", dedupe.keep_first(batch)
+        if store.folders(spark, f"{lake.path('bronze', table)}/{'*/' * len(lake.partitions)}batch=*"):
+            stored = spark.read.parquet(lake.path("bronze", table)).filter(F.col("batch") != name)
+            unique = dedupe.skip_existing(unique, stored)
+        store.write_batch(unique, lake, "bronze", table, "event_ts", name)
+
+    return rows.writeStream.foreachBatch(write).option(
+        "checkpointLocation", lake.checkpoint_path(f"distinct-{dataset}")
+    )
 
 
 def _silver_batch(lake: Lake, dataset: str):
@@ -86,10 +101,11 @@ def silver(events: DataFrame, lake: Lake, dataset: str) -> DataStreamWriter:
 
 
 def daily_gold(events: DataFrame, lake: Lake, dataset: str) -> DataStreamWriter:
-    """Silver plus the date-keyed gold tables, recomputed for the dates a batch touched.
+    """Silver plus all six gold tables.
 
-    A date is recomputed from all of its stored silver rows and replaces its own
-    partition only, so late events correct older dates.
+    Tables by date are recomputed for the dates a micro-batch touched, from all of their stored
+    silver rows, so late events correct older dates. The tables by customer,
+    country and merchant are recomputed from the two or three silver columns they need.
     """
     silver_writer = _silver_batch(lake, dataset)
     rows = enrich.enrich(quality.accepted_rows(events, dataset), F.col("arrived_at"))
@@ -105,16 +121,10 @@ def daily_gold(events: DataFrame, lake: Lake, dataset: str) -> DataStreamWriter:
                 spark.read.parquet(lake.path("silver", dataset))
                 .join(dates, "event_date", "left_semi")
             )
-            for name in ("daily_revenue", "fraud_summary", "system_performance"):
-                (
-                    GOLD[name](touched)
-                    .withColumn("part", F.date_format("metric_date", "yyyy-MM-dd"))
-                    .repartition("part")
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("part")
-                    .parquet(lake.path("gold", name))
-                )
+            by_date = ("daily_revenue", "fraud_summary", "system_performance")
+            store.write_gold({name: GOLD[name](touched) for name in by_date}, lake, dataset, touched_only=True)
+            whole = spark.read.parquet(lake.path("silver", dataset))
+            store.write_gold({name: GOLD[name](whole) for name in GOLD if name not in by_date}, lake, dataset)
         finally:
             batch.unpersist()
 
@@ -126,12 +136,9 @@ def daily_gold(events: DataFrame, lake: Lake, dataset: str) -> DataStreamWriter:
 def _file_sink(
     rows: DataFrame, lake: Lake, layer: str, dataset: str, time_column: str, name: str
 ) -> DataStreamWriter:
-    return (
-        with_partitions(rows, time_column, lake.partitions)
-        .writeStream.format(store.layer_format(layer))
-        .outputMode("append")
-        .options(**store.layer_options(layer))
-        .partitionBy(*lake.partitions)
-        .option("path", lake.path(layer, dataset))
-        .option("checkpointLocation", lake.checkpoint_path(f"{name}-{dataset}"))
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.write_batch(batch, lake, layer, dataset, time_column, f"{name}-{batch_id}")
+
+    return rows.writeStream.foreachBatch(write).option(
+        "checkpointLocation", lake.checkpoint_path(f"{name}-{dataset}")
     )

@@ -2,61 +2,97 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidewrack.operators import anomaly, quality
 from tidewrack.plans.gate import decide
+from tidewrack.sources import lake as store
 from tidewrack.sources.lake import Lake
 
 
-def window_totals(
-    events: DataFrame, lake: Lake, dataset: str, width: str = "5 minutes", delay: str = "10 minutes"
-) -> DataStreamWriter:
-    """Tumbling counters per arrival window, written once the watermark closes it."""
-    totals = anomaly.window_totals(events.withWatermark("arrived_at", delay), dataset, width)
-    return (
-        totals.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", lake.path("gold", f"{dataset}_windows"))
-        .option("checkpointLocation", lake.checkpoint_path(f"windows-{dataset}"))
+def _add_part(batch: DataFrame, path: str, dataset: str, width: str, batch_id: int) -> list[date]:
+    """Store a micro-batch's own window totals; gives the days it touched, from folder names."""
+    part = anomaly.window_totals(batch, dataset, width).withColumns(
+        {"day": F.date_format("window_start", "yyyy-MM-dd"), "batch": F.lit(str(batch_id))}
+    )
+    store.clear(batch.sparkSession, f"{path}/*/batch={batch_id}")
+    _by_day(part, path, "batch")
+    found = store.folders(batch.sparkSession, f"{path}/*/batch={batch_id}")
+    return [date.fromisoformat(f.getParent().getName().removeprefix("day=")) for f in found]
+
+
+def _merged(stored: DataFrame) -> DataFrame:
+    """Windows from their parts, which add up."""
+    merged = stored.groupBy("window_start", "window_end").agg(
+        *[F.sum(c).alias(c) for c in ("events", "identified", "revenue", "errors", "unusual")],
+        F.max("max_lag_micros").alias("max_lag_micros"),
+    )
+    return merged.withColumn("revenue", F.col("revenue").cast("decimal(18,2)"))
+
+
+def _by_day(frame: DataFrame, path: str, *inner: str) -> None:
+    """Write rows that have a ``day``, replacing only the folders in the output."""
+    (
+        frame.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", *inner)
+        .parquet(path)
+    )
+
+
+def _texts(days) -> list[str]:
+    return sorted({str(day) for day in days})
+
+
+def window_totals(events: DataFrame, lake: Lake, dataset: str, width: str = "5 minutes") -> DataStreamWriter:
+    """Tumbling counters per arrival window, right after every micro-batch however late rows are.
+
+    The days a micro-batch touched are summed again over their stored parts.
+    """
+    parts = lake.path("gold", f"{dataset}_windows_parts")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        days = _add_part(batch, parts, dataset, width, batch_id)
+        if days:
+            stored = batch.sparkSession.read.parquet(parts).filter(F.col("day").isin(_texts(days)))
+            merged = _merged(stored).withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+            _by_day(merged, lake.path("gold", f"{dataset}_windows"))
+
+    return events.writeStream.foreachBatch(write).option(
+        "checkpointLocation", lake.checkpoint_path(f"windows-{dataset}")
     )
 
 
 def alerts(
     events: DataFrame, lake: Lake, dataset: str, width: str = "5 minutes", look_back_minutes: int = 10
 ) -> DataStreamWriter:
-    """Alerts per micro-batch over the windows the batch touched.
+    """Alerts, one per window and metric, kept right by every micro-batch.
 
-    Window totals are additive, so each batch stores its own part and the touched
-    windows (plus the look-back before them) are summed over all stored parts.
+    Window totals are additive, so each micro-batch stores its own part. The days it touched, and
+    those whose baselines reach back to them, are judged again from all parts and replaced.
     Duplicate rate needs the history of all ids and stays with the batch job.
     """
-    totals_path = lake.path("gold", f"{dataset}_window_parts")
-    alerts_path = lake.path("gold", f"{dataset}_alerts")
+    parts = lake.path("gold", f"{dataset}_alerts_parts")
+    path = lake.path("gold", f"{dataset}_alerts")
+    reach = [timedelta(days=n) for n in range(look_back_minutes // 1440 + 2)]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        part = anomaly.window_totals(batch, dataset, width)
-        _replace(part, totals_path, batch_id)
-        stored = spark.read.parquet(totals_path)
-        own = stored.filter(F.col("batch") == str(batch_id))
-        first, last = own.agg(F.min("window_start"), F.max("window_start")).first()
-        if first is None:
+        days = _add_part(batch, parts, dataset, width, batch_id)
+        if not days:
             return
-        span = F.expr(f"INTERVAL {look_back_minutes} MINUTES")
-        merged = (
-            stored.filter(F.col("window_start").between(F.lit(first) - span, F.lit(last)))
-            .groupBy("window_start", "window_end")
-            .agg(
-                *[F.sum(c).alias(c) for c in ("events", "identified", "revenue", "errors", "unusual")],
-                F.max("max_lag_micros").alias("max_lag_micros"),
-            )
-        )
-        metrics = anomaly.metrics_of(merged, dataset)
-        found = anomaly.detect(anomaly.with_baseline(metrics, look_back_minutes))
-        _replace(found.filter(F.col("window_start") >= F.lit(first)), alerts_path, batch_id)
+        judged = {day + step for day in days for step in reach}
+        needed = {day - step for day in judged for step in reach}
+        stored = spark.read.parquet(parts).filter(F.col("day").isin(_texts(needed)))
+        found = anomaly.detect(anomaly.with_baseline(anomaly.metrics_of(_merged(stored), dataset), look_back_minutes))
+        found = found.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+        for day in _texts(judged):
+            store.clear(spark, f"{path}/day={day}")
+        _by_day(found.filter(F.col("day").isin(_texts(judged))), path)
 
     return events.writeStream.foreachBatch(write).option(
         "checkpointLocation", lake.checkpoint_path(f"alerts-{dataset}")
