@@ -105,6 +105,20 @@ def test_packing_program():
     assert use.sum() >= (sizes * demand).sum() / 128 - 1e-6
 
 
+def test_added_tokens_keep_their_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["x <|endoftext|> y", "<|endoftext|><|endoftext|>", "日本 <|endoftext|> y", "x <|endoftext| > y", "plain"]
+    encoder = packing.Encoder()
+    for text in texts:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokens.encode(text, add_special_tokens=False).ids
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).placed.collect()
+    want = {i: len(tokens.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["doc_tokens"] for r in rows} == want
+
+
 def test_search_reads_few_exact_vectors():
     rng = np.random.default_rng(5)
     exact = rng.integers(-130, 130, (4000, 64))

@@ -36,7 +36,8 @@ class Encoder:
     """Token ids as little-endian 32-bit numbers, as the tokenizer file ``name`` gives them.
 
     The file's vocabulary also comes as ranks, which a faster library reads; it serves texts in
-    Latin letters, where both cut words alike. All other texts go through the file itself.
+    Latin letters, where both cut words alike. All other texts go through the file itself, and
+    so do those that hold an added token's content, which the file gives an id of its own.
     """
 
     LATIN = re.compile("[^\x00-ɏ‐-‧]")
@@ -47,7 +48,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(public_tokenizers.path(name))
-        self.whole.encode_special_tokens = True
+        self.added = [token.content for token in self.whole.get_added_tokens_decoder().values()]
         self.ranks = None
         if name == VOCABULARY:
             with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
@@ -55,7 +56,7 @@ class Encoder:
             self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        if self.ranks is not None and not self.LATIN.search(text):
+        if self.ranks is not None and not self.LATIN.search(text) and not any(a in text for a in self.added):
             return self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
