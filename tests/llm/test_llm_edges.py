@@ -153,6 +153,34 @@ def test_budgets_pass_shortages_on(spark):
     assert got == {"w": 30, "z": 85, "x": 10, "y": 75}
 
 
+def test_mixture_takes_whole_budgets(spark):
+    rows = [(i, "long " * 5000 if i == 3 else "some words here " * (i % 7 + 1), "en", f"src{i % 3}", i) for i in range(60)]
+    rows += [rows[7], rows[7], (None, "no id", "en", "src1", 0), (None, "no id", "en", "src1", 0), (100, "one very long " * 9000, "de", "src0", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
+    taken = mixing.mix(docs, domain_of(), 0.5, 2, WEIGHTS).toPandas()
+    leaves = taken.groupby(["domain", "lang", "source"]).agg({"tokens": "sum", "budget": "first"})
+    assert (leaves["tokens"] == leaves["budget"]).all()
+    total = sum(len(r[1].split()) for r in rows)
+    assert total // 2 - 10 <= leaves["budget"].sum() <= total // 2  # budgets are rounded down
+    full = [len(r[1].split()) for r in rows]
+    assert sum(t not in full for t in taken["tokens"]) <= 2 * len(leaves)
+
+    def drawn(frame):
+        return sorted(map(tuple, mixing.mix(frame, domain_of(), 0.5, 2, WEIGHTS).fillna(-1, ["doc_id"]).collect()))
+
+    again = spark.createDataFrame(rows[::-1], schema).repartition(5)
+    assert drawn(docs.coalesce(1)) == drawn(again)
+
+    kept = mixing.keep_mixed(docs, domain_of(), 0.5, WEIGHTS).collect()
+    once = mixing.mix(docs, domain_of(), 0.5, 1, WEIGHTS).toPandas()
+    assert sorted(len(r["text"].split()) for r in kept) == sorted(once["tokens"])
+    whole = {r[0]: r[1] for r in rows}
+    for r in kept:
+        assert whole[r["doc_id"]].startswith(r["text"])
+        assert r["text"] == whole[r["doc_id"]] or r["n_chars"] == len(r["text"])
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(2)
     emit, lines, links = rng.normal(size=7), np.array([3, 1, 3]), rng.normal(size=(2, 2))

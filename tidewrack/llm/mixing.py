@@ -4,15 +4,20 @@ A token budget goes down a tree of domains, languages and sources by weight. Whe
 branch has less than its share, its siblings take the shortage in proportion to their
 weights; only what they can't take rises to the branches above. Each leaf then reads its
 documents in seeded epochs: whole passes, and of the last pass a prefix of the epoch's
-own random order that fits what is left of the budget.
+own random order. The prefix is cut by tokens, so a leaf takes exactly its budget: of the
+document at the cut, the first tokens are taken.
 """
 
 from __future__ import annotations
 
+import re
+from itertools import islice
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewrack.llm.tables import stored, unused
+from tidewrack.llm.tables import gapless_ranks, stored, unused
 
 LEVELS = ("domain", "lang", "source")
 #: Rows of a leaf that one window task adds up, on average.
@@ -68,25 +73,55 @@ def words_of(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def first_words(text: Column, words: Column) -> Column:
+    """``text`` up to the end of its word number ``words``."""
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, counts: pd.Series) -> pd.Series:
+        word, out = re.compile(r"[^\x20\x09-\x0D]+"), []
+        for text, count in zip(texts, counts):
+            end = 0
+            for found in islice(word.finditer(text), int(count)):
+                end = found.end()
+            out.append(text[:end])
+        return pd.Series(out, dtype=object)
+
+    return cut(text, words)
+
+
 def mix(docs: DataFrame, domain: Column, share: float = 0.8, epochs: int = 1, weights: dict[str, dict[str, float]] | None = None, seed: int = 17, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """One row per selected document and epoch: id, domain, lang, source, tokens, epoch, budget.
 
-    ``share`` of all tokens is the budget. Null domains, languages and sources are nodes of
-    their own, named ''. A document without tokens belongs to the prefix if it stands before
-    the cut. Weights must be positive. Repeated rows are told apart and may both be taken.
+    ``share`` of all tokens is the budget. ``tokens`` are those taken: fewer than the document
+    has where the cut falls inside it, so that a leaf's tokens add up to its budget. Null
+    domains, languages and sources are nodes of their own, named ''. A document without tokens
+    belongs to the prefix if it stands before the cut. Weights must be positive. Repeated rows
+    are told apart and may both be taken. The draw depends on ids and texts only, not on files.
     """
-    chosen = _chosen(stored(_measured(docs.withColumn(unused(docs, "uid"), F.monotonically_increasing_id()), unused(docs, "uid"), domain, text, id_column), "mix-rows"), share, epochs, weights, seed)
-    return chosen.drop("uid").withColumnRenamed("id", id_column)
+    row = unused(docs, "uid")
+    rows = stored(_measured(docs.withColumn(row, F.monotonically_increasing_id()), row, domain, text, id_column), "mix-rows")
+    chosen = _chosen(rows, share, epochs, weights, seed)
+    return chosen.drop("uid", "whole_tokens").withColumnRenamed("id", id_column)
 
 
 def _measured(docs: DataFrame, row: str, domain: Column, text: str, id_column: str) -> DataFrame:
     return docs.select(
         F.col(row).alias("uid"), F.col(id_column).alias("id"), F.coalesce(domain.cast("string"), F.lit("")).alias("domain"),
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-        words_of(F.col(text)).alias("tokens"),
+        words_of(F.col(text)).alias("tokens"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
     )
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copy``, which tells apart rows with the same id and text in a leaf."""
+    same = [*LEVELS, "id", "text_hash"]
+    repeated = stored(rows.groupBy(*same).count().filter("count > 1").drop("count"), "mix-repeated")
+    match = [F.col(f"r.{name}").eqNullSafe(F.col(f"s.{name}")) for name in same]
+    copies = stored(rows.alias("r").join(repeated.alias("s"), match, "left_semi"), "mix-copies")
+    numbers = stored(gapless_ranks(copies, same, [], "copy", "mix-copy-offsets", null_safe=True).select("uid", F.col("copy").cast("long")), "mix-copy-numbers")
+    return rows.join(numbers, "uid", "left").withColumn("copy", F.coalesce("copy", F.lit(0).cast("long")))
+
+
 def _chosen(rows: DataFrame, share: float, epochs: int, weights: dict[str, dict[str, float]] | None, seed: int) -> DataFrame:
     """``rows`` is a written table of ``_measured`` documents."""
     names = list(LEVELS)
@@ -101,8 +136,8 @@ def _chosen(rows: DataFrame, share: float, epochs: int, weights: dict[str, dict[
         .select(*names, "epoch", "room", "budget", "buckets", F.col("tokens").alias("leaf_tokens")),
         "mix-passes",
     )
-    seeded = F.xxhash64(F.lit(seed), "epoch", F.col("id"), "uid")
-    drawn = rows.join(passes, names).withColumn("draw", seeded)
+    seeded = F.xxhash64(F.lit(seed), "epoch", F.col("id"), "text_hash", "copy")
+    drawn = _numbered(rows).join(passes, names).withColumn("draw", seeded)
     drawn = drawn.withColumn("bucket", F.expr("cast(floor((draw / 18446744073709551616D + 0.5D) * buckets) as long)"))
     drawn = drawn.withColumn("bucket", F.greatest(F.lit(0), F.least(F.col("bucket"), F.col("buckets") - 1)))
     keys = [*names, "epoch"]
@@ -110,15 +145,28 @@ def _chosen(rows: DataFrame, share: float, epochs: int, weights: dict[str, dict[
     sums = drawn.groupBy(*keys, "bucket").agg(F.sum("tokens").alias("bucket_tokens"))
     before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = stored(sums.select(*keys, "bucket", F.coalesce(F.sum("bucket_tokens").over(before), F.lit(0)).alias("start")), "mix-starts")
-    inside = Window.partitionBy(*keys, "bucket").orderBy("draw", "uid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = drawn.join(starts, [*keys, "bucket"]).withColumn("end", F.col("start") + F.sum("tokens").over(inside))
-    return placed.filter("end <= room").select("uid", "id", *names, "tokens", "epoch", "budget")
+    inside = Window.partitionBy(*keys, "bucket").orderBy("draw", "id", "text_hash", "copy").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = drawn.join(starts, [*keys, "bucket"]).withColumn("begin", F.col("start") + F.sum("tokens").over(inside) - F.col("tokens"))
+    taken = placed.filter("begin < room or (tokens = 0 and begin = room)").withColumnRenamed("tokens", "whole_tokens")
+    taken = taken.withColumn("tokens", F.least(F.col("whole_tokens"), F.col("room") - F.col("begin")))
+    return taken.select("uid", "id", *names, "tokens", "epoch", "budget", "whole_tokens")
 
 
-def keep_mixed(docs: DataFrame, domain: Column, share: float, weights: dict[str, dict[str, float]] | None = None, seed: int = 17, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """The documents that one epoch of the mixture takes, with all their columns."""
-    row = unused(docs, "row_number_")
+def keep_mixed(docs: DataFrame, domain: Column, share: float, weights: dict[str, dict[str, float]] | None = None, seed: int = 17, text: str = "text", id_column: str = "doc_id", chars: str = "n_chars") -> DataFrame:
+    """The documents that one epoch of the mixture takes, with all their columns.
+
+    The document at a leaf's cut has the text that was taken, and ``chars``, where there is
+    such a column, counts its characters.
+    """
+    row, some = unused(docs, "row_number_"), unused(docs, "taken_words_")
     whole = stored(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
     rows = stored(_measured(whole, row, domain, text, id_column), "mix-rows")
-    taken = _chosen(rows, share, 1, weights, seed).select(F.col("uid").alias(row))
-    return whole.join(taken, row, "left_semi").select(*docs.columns)
+    cut = F.when(F.col("tokens") < F.col("whole_tokens"), F.col("tokens"))
+    taken = stored(_chosen(rows, share, 1, weights, seed).select(F.col("uid").alias(row), cut.alias(some)), "mix-taken")
+    kept = whole.join(taken, row)
+    # at most one document of a leaf is cut
+    uncut = kept.filter(F.col(some).isNull()).select(*docs.columns)
+    short = kept.filter(F.col(some).isNotNull()).withColumn(text, first_words(F.col(text), F.col(some)))
+    if chars in docs.columns:
+        short = short.withColumn(chars, F.length(text).cast(docs.schema[chars].dataType))
+    return uncut.unionByName(short.select(*docs.columns))

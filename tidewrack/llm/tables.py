@@ -29,12 +29,13 @@ def unused(frame: DataFrame, base: str) -> str:
     return base
 
 
-def gapless_ranks(frame: DataFrame, groups: list[str], order: list, rank: str, label: str, bucket_rows: int = 20_000) -> DataFrame:
+def gapless_ranks(frame: DataFrame, groups: list[str], order: list, rank: str, label: str, bucket_rows: int = 20_000, null_safe: bool = False) -> DataFrame:
     """Add ``rank``, 0, 1, 2 ... inside each group, without one task per group.
 
     ``frame`` must be stable when read again (a written table) and have the unique column
     ``uid``. Groups are dealt over hash buckets of about ``bucket_rows`` rows; a bucket's
     rows follow those of the buckets before it, so only bucket sizes meet in one window.
+    ``null_safe`` keeps rows whose group has nulls.
     """
     buckets = max(1, -(-frame.count() // bucket_rows))
     dealt = frame.withColumn("_bucket", F.pmod(F.xxhash64("uid"), F.lit(buckets)))
@@ -45,7 +46,12 @@ def gapless_ranks(frame: DataFrame, groups: list[str], order: list, rank: str, l
     )
     inside = Window.partitionBy(*groups, "_bucket").orderBy(*order, "uid")
     numbered = dealt.withColumn("_inside", F.row_number().over(inside) - 1)
-    return numbered.join(offsets, [*groups, "_bucket"]).withColumn(rank, F.col("_offset") + F.col("_inside")).drop("_bucket", "_inside", "_offset")
+    if null_safe:
+        match = [F.col(f"n.{name}").eqNullSafe(F.col(f"o.{name}")) for name in [*groups, "_bucket"]]
+        found = numbered.alias("n").join(offsets.alias("o"), match).select("n.*", "o._offset")
+    else:
+        found = numbered.join(offsets, [*groups, "_bucket"])
+    return found.withColumn(rank, F.col("_offset") + F.col("_inside")).drop("_bucket", "_inside", "_offset")
 
 
 def components(edges: DataFrame, label: str, rounds: int = 100) -> DataFrame:
