@@ -75,6 +75,37 @@ def test_near_duplicates_keep_one(docs):
     assert sorted(r["doc_id"] for r in kept if r["doc_id"]) == [1, 3, 5, 7]
 
 
+def test_near_copies_equal_brute_force(spark):
+    draw = np.random.default_rng(11)
+    words = np.array([f"w{i}" for i in range(3000)])
+    common = " ".join(draw.choice(words, 40))  # a passage that many unrelated texts share
+    texts = []
+    for i in range(60):
+        base = draw.choice(words, 120)
+        texts.append(" ".join(base) + " " + common * (i % 2))
+        for _ in range(i % 4 if i else 40):
+            copy = base.copy()
+            copy[draw.choice(120, draw.integers(1, 5), replace=False)] = draw.choice(words, 5)[0]
+            texts.append(" ".join(copy) + " " + common * (i % 2))
+    texts += ["a b", "A  b", "a c", "", None, " ", "x y z"]
+    order = draw.permutation(len(texts))
+    docs = [(int(i), texts[k]) for i, k in enumerate(order)]
+
+    def shingles(text):
+        parts = (text or "").lower().split()
+        return {tuple(parts[i : i + 5]) for i in range(max(1, len(parts) - 4))}
+
+    sets = [shingles(t) for _, t in docs]
+    near = [[b for b in range(len(docs)) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])] for a in range(len(docs))]
+    root = list(range(len(docs)))
+    while (lower := [min(root[b] for b in n) for n in near]) != root:
+        root = lower
+    assert 60 < len(set(root)) < len(docs)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame, "").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(root))
+
+
 def test_thresholds():
     assert sum(simhash.allocate([[0, 5, 9, 20, 50], [0, 1, 2, 3, 4], [0, 50, 60, 70, 80]])) == 1
     groups = simhash.group_bits(np.eye(64), 3)

@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewrack.llm import near_sets
 from tidewrack.llm.tables import components, stored, unused
 
 SHINGLE, DISTANCE, PARTITIONS = 3, 3, 3
@@ -193,20 +194,27 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     return found.select(F.col("id").alias(id_column), digits.alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words: int = near_sets.WORDS, similarity: float = near_sets.SIMILARITY) -> DataFrame:
     """One row of each component stays, with all its columns: that of the smallest id (nulls last).
 
-    Of rows that repeat that id, one stays.
+    Linked are texts whose sets of ``words``-word shingles have a Jaccard similarity of
+    ``similarity`` or more. So similar sets differ by more fingerprint bits than can be
+    probed, so candidates come from the sets themselves, all of them. Texts without words
+    are one component. Of rows that repeat the smallest id, one stays.
     """
 
     @F.pandas_udf("long")
     def digest(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
+        return pd.Series([near_sets.set_key(near_sets.shingle_set(t, words)) for t in texts], dtype="int64")
 
-    row, bits = unused(docs, "row_number_"), unused(docs, "fingerprint_")
+    row, bits = unused(docs, "row_number_"), unused(docs, "shingles_key_")
     whole = stored(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(bits, digest(F.col(text))), "fingerprinted")
     rows = whole.select(F.col(row).alias("uid"), F.col(id_column).alias("id"), F.col(bits).alias("f"))
-    found = rows.join(component_of(rows), "f")
+    node_of = stored(rows.groupBy("f").agg(F.min("uid").alias("node")), "near-nodes")
+    texts = whole.select(F.col(row).alias("node"), F.col(text).alias("text"))
+    nodes = stored(texts.join(node_of.filter("f <> 0").select("node"), "node", "left_semi"), "near-texts")
+    roots = components(stored(near_sets.links(nodes, words, similarity), "near-links"), "near-components")
+    rooted = stored(node_of.join(roots, "node", "left").select("f", F.coalesce("root", "node").alias("root")), "near-roots")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid"))
-    stay = stored(found.groupBy("root").agg(first.alias("first")).select(F.col("first.uid").alias(row)), "near-kept")
+    stay = stored(rows.join(rooted, "f").groupBy("root").agg(first.alias("first")).select(F.col("first.uid").alias(row)), "near-kept")
     return whole.join(stay, row, "left_semi").select(*docs.columns)
