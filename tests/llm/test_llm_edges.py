@@ -127,6 +127,24 @@ def test_chunked_shards_stay_whole(spark):
     assert len(out) == 5 and max(r["b"] for r in out) - min(r["b"] for r in out) <= 97
 
 
+@pytest.mark.parametrize("large", [[0.02], [0.03, 0.02, 0.02, 0.005], [0.09]])
+def test_chunks_fill_the_spread_of_large_groups(spark, large):
+    draw = np.random.default_rng(9)
+    sizes = [int(x) for x in draw.integers(1, 5000, 2400)]
+    total = sum(sizes)
+    sizes += [int(x * total) for x in large]
+    groups = spark.createDataFrame([(i.to_bytes(4, "big"), s) for i, s in enumerate(sizes)], "key binary, bytes long")
+    rows = sharding.balanced_bins(groups, 24, chunk_groups=200).collect()
+    assert sorted(int.from_bytes(r["key"], "big") for r in rows) == list(range(len(sizes)))
+    made = np.zeros(24, np.int64)
+    for r in rows:
+        made[r["bin"]] += sizes[int.from_bytes(r["key"], "big")]
+    if max(sizes) > sum(sizes) / 24:  # then a group is a shard of its own, and the others are level
+        assert made.max() == max(sizes)
+        made = np.delete(made, made.argmax())
+    assert made.max() - made.min() <= 0.02 * made.mean()
+
+
 def test_packing_program():
     rng = np.random.default_rng(3)
     sizes = np.unique(rng.integers(1, 100, 30))

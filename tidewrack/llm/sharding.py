@@ -5,6 +5,11 @@ others. The two partial partitions with the largest spread are combined again an
 the fullest bin of one with the emptiest of the other. Spark runs this in chunks: groups
 are differenced inside hash chunks, the chunks' partial partitions inside chunks of chunks,
 and so on until one is left. Every task has a bounded number of partial partitions.
+
+A group larger than a chunk's mean bin would leave a spread that the chunk can't fill. Such
+groups, fewer than chunks times bins, are differenced first, together. Each chunk starts with
+its part of the bins they make, so the small groups of all chunks fill the spread; the last
+chunk starts with all that the others made.
 """
 
 from __future__ import annotations
@@ -49,15 +54,27 @@ def leaves(members: object):
             yield top
 
 
-def _split_groups(bins: int):
+def _split_groups(bins: int, start: list[int] | None = None, parts: int = 0):
+    """Bins of a chunk's groups. ``start`` has what its bins hold at first; of ``parts`` parts
+    of that, a node counts its own."""
+
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["bytes", "key"], ascending=[False, True], kind="stable").reset_index(drop=True)
         empty = [(0, None)] * (bins - 1)
-        out = difference([[(int(size), i), *empty] for i, size in enumerate(frame["bytes"])])
+        partials = [[(int(size), i), *empty] for i, size in enumerate(frame["bytes"])]
+        if start is not None:
+            held = start
+            if parts:
+                node = int(frame["node"].iloc[0])
+                held = [(node + 1) * s // parts - node * s // parts for s in start]
+            partials.append([(s, -1 - b) for b, s in enumerate(held)])  # below 0: the bin it is
         bin_of = [0] * len(frame)
-        for number, (_, members) in enumerate(out):
-            for i in leaves(members):
-                bin_of[i] = number
+        for number, (_, members) in enumerate(difference(partials)):
+            items = list(leaves(members))
+            number = next((-1 - i for i in items if i < 0), number)
+            for i in items:
+                if i >= 0:
+                    bin_of[i] = number
         return frame.assign(bin=bin_of)[["key", "node", "bytes", "bin"]]
 
     return run
@@ -80,6 +97,10 @@ def balanced_bins(groups: DataFrame, bins: int, chunk_groups: int = CHUNK_GROUPS
     groups = stored(groups.select("key", F.col("bytes").cast("long").alias("bytes")), "shard-groups")
     chunks = max(1, -(-groups.count() // chunk_groups))
     dealt = groups.withColumn("node", F.pmod(F.xxhash64("key"), F.lit(chunks)))
+    if chunks > 1:
+        large = F.col("bytes") > groups.agg(F.sum("bytes")).first()[0] / (chunks * bins)
+        if not groups.filter(large).isEmpty():
+            return _around_large(dealt.filter(large), dealt.filter(~large), bins, chunks)
     placed = stored(dealt.groupBy("node").applyInPandas(_split_groups(bins), "key binary, node long, bytes long, bin int"), "shard-bins")
     sums = stored(placed.groupBy("node", "bin").agg(F.sum("bytes").alias("bytes")), "shard-sums")
     path = placed.select("key", "node", "bin")
@@ -94,6 +115,23 @@ def balanced_bins(groups: DataFrame, bins: int, chunk_groups: int = CHUNK_GROUPS
     return path.select("key", "bin")
 
 
+def _around_large(large: DataFrame, small: DataFrame, bins: int, chunks: int) -> DataFrame:
+    """(key, bin), with the small groups of every chunk filling the spread of the large ones."""
+    shape = "key binary, node long, bytes long, bin int"
+    alone = large.withColumn("node", F.lit(0).cast("long")).groupBy("node")
+    placed = stored(alone.applyInPandas(_split_groups(bins), shape), "shard-large")
+    start = _bin_sums(placed, bins)
+    most = small.filter("node > 0").groupBy("node").applyInPandas(_split_groups(bins, start, chunks), shape)
+    placed = placed.unionByName(stored(most, "shard-bins"))
+    last = small.filter("node = 0").groupBy("node").applyInPandas(_split_groups(bins, _bin_sums(placed, bins)), shape)
+    return placed.unionByName(stored(last, "shard-last")).select("key", "bin")
+
+
+def _bin_sums(placed: DataFrame, bins: int) -> list[int]:
+    sums = {r["bin"]: r["bytes"] for r in placed.groupBy("bin").agg(F.sum("bytes").alias("bytes")).collect()}  # a row per bin
+    return [int(sums.get(b, 0)) for b in range(bins)]
+
+
 def shard(docs: DataFrame, shards: int = 24, text: str = "text", id_column: str = "doc_id", overhead: int = 8, chunk_groups: int = CHUNK_GROUPS, fan_in: int = FAN_IN) -> DataFrame:
     """Per input row: the id, size, text_crc32, shard, slot (gapless from 0 in its shard).
 
