@@ -16,6 +16,7 @@ the square of a group. Equal vectors are joined as one that counts for all of th
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,16 +34,32 @@ RUN = 8
 SMALL = 64
 
 
+def _takes_part(id_column: str, vector: str, label: str) -> Column:
+    """Whether a row can have links. Never null."""
+    odd = F.exists(F.col(vector), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    here = F.col(id_column).isNotNull() & F.col(label).isNotNull()
+    return here & ~F.coalesce(odd, F.lit(True)) & F.coalesce(F.exists(F.col(vector), lambda x: x != 0), F.lit(False))
+
+
 def unit_rows(frame: DataFrame, id_column: str, vector: str, label: str) -> DataFrame:
-    """(id, label, dim, v: unit vector, array<double>) of the rows that can have links."""
-    whole = F.transform(F.col(vector), lambda x: x.cast("double"))
-    finite = ~F.exists(whole, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = frame.select(F.col(id_column).cast("long").alias("id"), F.col(label).alias("label"), F.when(finite, whole).alias("w"))
-    rows = rows.filter("id IS NOT NULL AND label IS NOT NULL AND w IS NOT NULL AND exists(w, x -> x <> 0)")
-    # scaled by the largest component first, so that squares neither vanish nor overflow
-    scaled = rows.withColumn("s", F.expr("aggregate(w, 0D, (m, x) -> greatest(m, abs(x)))")).withColumn("w", F.expr("transform(w, x -> x / s)"))
-    sized = scaled.withColumn("s", F.expr("sqrt(aggregate(w, 0D, (t, x) -> t + x * x))"))
-    return sized.select("id", "label", F.size("w").alias("dim"), F.expr("transform(w, x -> x / s)").alias("v"))
+    """(id, label, dim, key, v) of the rows that can have links: the unit vector and its digest."""
+    rows = frame.filter(_takes_part(id_column, vector, label))
+    rows = rows.select(F.col(id_column).cast("long").alias("id"), F.col(label).alias("label"), F.size(vector).alias("dim"), F.col(vector).cast("array<double>").alias("v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                part = batch.filter(pa.array(dims == dim))
+                v = _matrix(part.column("v"), dim)
+                # by the largest component first, so that squares neither vanish nor overflow
+                v = v / np.abs(v).max(1)[:, None]
+                v /= np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
+                keys = [hashlib.sha256(row.tobytes()).hexdigest() for row in v]
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, dim, dtype=np.int32)), pa.array(v.ravel()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(keys), lists], ["id", "label", "dim", "key", "v"])
+
+    return rows.mapInArrow(run, f"id long, label {rows.schema['label'].dataType.simpleString()}, dim int, key string, v array<double>")
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -289,7 +306,7 @@ def near_vectors(
     A row with a null id has a null component and is kept.
     """
     epsilon = float(np.sqrt(2 - 2 * similarity))
-    rows = unit_rows(frame, id_column, vector, label).withColumn("key", F.sha2(F.col("v").cast("string"), 256))
+    rows = stored(unit_rows(frame, id_column, vector, label), "grid-rows")
     # equal vectors stand as one, under a number of their own
     equal = rows.groupBy("label", "key").agg(F.min("id").alias("least"), F.count("*").alias("copies"), F.first("dim").alias("dim"), F.first("v").alias("v"))
     nodes = stored(equal.withColumn("id", F.monotonically_increasing_id()), "grid-nodes")
@@ -304,12 +321,7 @@ def near_vectors(
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))
     known = known.join(least, "root").select("label", "key", "n_links", "component_id")
     linked_rows = rows.select("id", "label", "key").join(known, ["label", "key"]).select("id", "n_links", "component_id")
-    whole = F.transform(F.col(vector), lambda x: x.cast("double"))
-    usable = (
-        F.col(id_column).isNotNull() & F.col(label).isNotNull() & F.col(vector).isNotNull()
-        & ~F.coalesce(F.exists(whole, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), F.lit(True))
-        & F.coalesce(F.exists(whole, lambda x: x != 0), F.lit(False))
-    )
-    alone = frame.filter(~usable).select(F.col(id_column).cast("long").alias("id"), F.lit(0).cast("long").alias("n_links"), F.col(id_column).cast("long").alias("component_id"))
+    own = F.col(id_column).cast("long")
+    alone = frame.filter(~_takes_part(id_column, vector, label)).select(own.alias("id"), F.lit(0).cast("long").alias("n_links"), own.alias("component_id"))
     every = linked_rows.unionByName(alone)
     return every.select(F.col("id").alias(id_column), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
