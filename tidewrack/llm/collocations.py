@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +26,8 @@ from tidewrack.llm.tables import stored
 
 LONGEST, LEAST, TOP = 5, 100, 2_000
 #: Buckets of the table of counts, as a power of two. A task holds one number for each.
-TABLE_BITS = 22
-#: Rows of the table that are packed into one record.
+TABLE_BITS = 24
+#: Buckets of the table that are packed into one record, as a power of two.
 PAGE_BITS = 16
 #: Text bytes that a task counts at a time.
 AT_ONCE = 8 << 20
@@ -87,40 +88,57 @@ def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[byte
 
 
 def _counted(bits: int):
-    """(page, at, n): how often words and word pairs fall into each bucket of the table, as a task saw them."""
+    """(page, counts): a page of the table as a task saw it, a byte for each bucket.
+
+    A byte holds 255 at most, which is over any sum of interest.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << bits, np.int64)
+        table, pack = np.zeros(1 << bits, np.int32), zstandard.ZstdCompressor(level=1).compress
         for lang, texts in _by_lang(batches):
             different, at = _numbered(words_of(texts))
             h = _hashes(lang, different)
             counts = np.bincount(at, minlength=len(different))
             counts[0] = 0
-            np.add.at(table, (h >> np.uint64(64 - bits)).astype(np.int64), counts)
+            np.add.at(table, (h >> np.uint64(64 - bits)).astype(np.int64), counts.astype(np.int32))
             pairs = np.flatnonzero((at[:-1] != 0) & (at[1:] != 0))
-            np.add.at(table, _pair_buckets(h[at[pairs]], h[at[pairs + 1]], bits), 1)
-        used = np.flatnonzero(table)
-        for start in range(0, len(used), 100_000):
-            part = used[start : start + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array((part >> PAGE_BITS).astype(np.int32)), pa.array((part & ((1 << PAGE_BITS) - 1)).astype(np.int32)), pa.array(table[part])], ["page", "at", "n"])
+            np.add.at(table, _pair_buckets(h[at[pairs]], h[at[pairs + 1]], bits), np.int32(1))
+        size = min(1 << bits, 1 << PAGE_BITS)
+        for page in range(len(table) // size):
+            part = table[page * size : (page + 1) * size]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([page], pa.int32()), pa.array([pack(np.minimum(part, 255).astype(np.uint8).tobytes())], pa.binary())], ["page", "counts"])
 
     return run
 
 
-def _page(table: pa.Table) -> pa.Table:
-    bits = np.zeros(1 << PAGE_BITS, bool)
-    bits[table["at"].to_numpy()] = True
-    return pa.table({"page": table["page"].slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+def _summed(least: int):
+    """(page, bits): whether the buckets of the pages in a task sum up to ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, sums = zstandard.ZstdDecompressor().decompress, {}
+        for batch in batches:
+            for page, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                part = np.frombuffer(unpack(counts.as_py()), np.uint8)
+                # as large as need be: sums stop growing where they can't be told from larger ones
+                sums[page] = np.minimum(sums[page] + part, least) if page in sums else np.minimum(part.astype(np.int32), least)
+        for page, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([page], pa.int32()), pa.array([np.packbits(total >= least).tobytes()], pa.binary())], ["page", "bits"])
+
+    return run
 
 
 def frequent_buckets(rows: DataFrame, least: int, bits: int) -> np.ndarray:
     """Whether each bucket's count reaches ``least``: 2^bits truth values, gathered as packed pages."""
-    counts = rows.mapInArrow(_counted(bits), "page int, at int, n long").groupBy("page", "at").agg(F.sum("n").alias("n"))
-    pages = counts.filter(F.col("n") >= least).groupBy("page").applyInArrow(_page, "page int, bits binary").collect()  # 2^bits bits at most
-    table = np.zeros((max(1, 1 << (bits - PAGE_BITS)), 1 << PAGE_BITS >> 3), np.uint8)
+    if least > 255:  # a task's byte can't show it
+        return np.ones(1 << bits, bool)
+    counts = rows.mapInArrow(_counted(bits), "page int, counts binary").repartition("page")
+    pages = counts.mapInArrow(_summed(least), "page int, bits binary").collect()  # 2^bits bits
+    size = min(1 << bits, 1 << PAGE_BITS)
+    table = np.zeros(((1 << bits) // size, size >> 3), np.uint8)
     for row in pages:
         table[row["page"]] = np.frombuffer(row["bits"], np.uint8)
-    return np.unpackbits(table.ravel())[: 1 << bits].astype(bool)
+    return np.unpackbits(table.ravel()).astype(bool)
 
 
 def _windows(longest: int, frequent: np.ndarray, bits: int):
