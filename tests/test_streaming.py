@@ -46,12 +46,12 @@ def test_bronze_and_quarantine_survive_a_restart(spark, sf, landed):
     # started once more with nothing new
     ingest.run_available(ingest.bronze(stream(spark, folder), lake, DATASET))
     events = txn(spark, sf)
-    bronze = spark.read.parquet(lake.path("bronze", DATASET))
+    bronze = store.read_layer(spark, lake, "bronze", DATASET)
     wanted = medallion.bronze(events, DATASET, F.col("arrived_at"))
     columns = ["seq", "event_id", "amount_gbp", "event_ts", "country_name", "is_fraud"]
     assert bronze.select(columns).exceptAll(wanted.select(columns)).count() == 0
     assert bronze.count() == wanted.count()
-    rejected = spark.read.json(lake.path("quarantine", DATASET))
+    rejected = store.read_layer(spark, lake, "quarantine", DATASET)
     assert rejected.count() == quality.rejected_rows(events, DATASET).count()
     assert {r[0] for r in rejected.select("quarantine_reason").distinct().collect()} == {"schema_or_quality"}
 
@@ -64,7 +64,7 @@ def test_silver_and_gold_over_batches_equal_batch(spark, sf, landed):
     query = ingest.run_available(ingest.daily_gold(stream(spark, folder), lake, DATASET))
     assert query.lastProgress["batchId"] >= 3
     core = medallion.silver_core(txn(spark, sf), DATASET, F.col("arrived_at"))
-    silver = spark.read.parquet(lake.path("silver", DATASET)).select("seq", "event_id", "amount_gbp")
+    silver = store.read_layer(spark, lake, "silver", DATASET).select("seq", "event_id", "amount_gbp")
     assert silver.exceptAll(core.select("seq", "event_id", "amount_gbp")).count() == 0
     assert silver.count() == core.count()
     for name in gold.GOLD:
@@ -80,7 +80,7 @@ def test_repeats_across_batches_are_dropped(spark, sf, landed):
     land(2)
     lake = Lake(shared_folder(spark, "test-stream-dedup"), "day")
     ingest.run_available(ingest.deduplicated(stream(spark, folder), lake, DATASET))
-    ids = spark.read.parquet(lake.path("bronze", f"{DATASET}_distinct")).select("event_id")
+    ids = store.read_layer(spark, lake, "bronze", f"{DATASET}_distinct").select("event_id")
     want = quality.accepted_rows(txn(spark, sf), DATASET).filter(F.col("seq") < 3 * STEP)
     assert ids.count() == ids.distinct().count() == want.select("event_id").distinct().count()
 
@@ -105,12 +105,12 @@ def test_late_rows(spark):
     )
     lake = Lake(shared_folder(spark, "test-late"), "day")
     ingest.run_available(ingest.bronze(stream(spark, folder), lake, DATASET))
-    bronze = spark.read.parquet(lake.path("bronze", DATASET))
+    bronze = store.read_layer(spark, lake, "bronze", DATASET)
     assert {(r["event_id"], r["day"]) for r in bronze.collect()} == {
         ("a", "02"), ("b", "02"), ("c", "02"), ("d", "01")
     }
     ingest.run_available(ingest.deduplicated(stream(spark, folder), lake, DATASET))
-    kept = spark.read.parquet(lake.path("bronze", f"{DATASET}_distinct"))
+    kept = store.read_layer(spark, lake, "bronze", f"{DATASET}_distinct")
     assert {r["event_id"] for r in kept.collect()} == {"a", "b", "c", "d"}
     bounded = ingest.distinct_events(stream(spark, folder), DATASET).select("event_id", "event_ts")
     query = ingest.run_available(

@@ -20,6 +20,37 @@ def distribute(events: DataFrame, dataset: str, partitions: int, salts: int = 1)
     return events.repartition(partitions, stream_key(dataset), F.pmod(F.xxhash64("seq"), F.lit(salts)))
 
 
+#: Parts of a mean partition that a hot key is cut into, and the most keys a sketch tracks for each partition.
+SALTS_PER_PARTITION, TRACKED = 32, 16
+
+
+def heavy_keys(events: DataFrame, dataset: str, partitions: int) -> dict[str, int]:
+    """Stream keys with about half a mean partition of records or more, and their approximate counts.
+
+    Found by Spark's mergeable sketch of frequent items: tasks send sketches of bounded size. A key with
+    that many records is never missed, and there are at most twice as many as partitions.
+    """
+    tracked = partitions * TRACKED
+    found = events.agg(
+        F.count(F.lit(1)).alias("records"),
+        F.call_function("approx_top_k", stream_key(dataset), F.lit(2 * partitions), F.lit(tracked)).alias("top"),
+    ).first()
+    least = found["records"] / (2 * partitions)
+    return {row["item"]: row["count"] for row in found["top"] if row["count"] >= least and row["item"] is not None}
+
+
+def distribute_adaptively(events: DataFrame, dataset: str, partitions: int) -> DataFrame:
+    """Spread records over partitions by stream key; hot keys get salts by their share, other keys stay whole."""
+    mean = max(1.0, events.count() / partitions)
+    salts = {key: max(2, round(count / mean * SALTS_PER_PARTITION)) for key, count in heavy_keys(events, dataset, partitions).items()}
+    salt = F.lit(0)
+    if salts:
+        # two entries a partition at most
+        known = F.create_map(*[F.lit(part) for pair in salts.items() for part in pair])
+        salt = F.coalesce(F.pmod(F.xxhash64("seq"), F.try_element_at(known, stream_key(dataset))).cast("int"), F.lit(0))
+    return events.repartition(partitions, stream_key(dataset), salt)
+
+
 def key_distribution(events: DataFrame, dataset: str, k: int = 20) -> DataFrame:
     """The k heaviest stream keys and their record counts."""
     return (

@@ -12,23 +12,25 @@ from tidewrack.functions.values import money
 def trace(raw: DataFrame, bronze: DataFrame, silver: DataFrame, quarantine: DataFrame) -> DataFrame:
     """Per raw record: bronze, silver and quarantine presence and its reasons.
 
-    Joined on arrival time and number, which together are unique per record.
+    Layers are stacked and brought together once, by arrival time and number, which together are unique per record.
     """
-    def mark(layer: DataFrame, name: str, *extra: str) -> DataFrame:
-        return layer.select("arrived_at", "seq", F.lit(True).alias(name), *extra)
-
-    traced = (
-        raw.select("seq", "event_id", "arrived_at")
-        .join(mark(bronze, "in_bronze"), ["arrived_at", "seq"], "left")
-        .join(mark(silver, "in_silver"), ["arrived_at", "seq"], "left")
-        .join(mark(quarantine, "in_quarantine", "reasons"), ["arrived_at", "seq"], "left")
-    )
-    return traced.withColumns(
-        {
-            name: F.coalesce(F.col(name), F.lit(False))
-            for name in ("in_bronze", "in_silver", "in_quarantine")
-        }
+    none = F.lit(None).cast("array<string>")
+
+    def rows(layer: DataFrame, name: str, event_id: Column, reasons: Column) -> DataFrame:
+        return layer.select("arrived_at", "seq", F.lit(name).alias("layer"), event_id.alias("event_id"), reasons.alias("reasons"))
+
+    empty = F.lit(None).cast("string")
+    stacked = rows(raw, "raw", F.col("event_id"), none)
+    for layer, name in ((bronze, "bronze"), (silver, "silver")):
+        stacked = stacked.unionByName(rows(layer, name, empty, none))
+    stacked = stacked.unionByName(rows(quarantine, "quarantine", empty, F.col("reasons")))
+    traced = stacked.groupBy("arrived_at", "seq").agg(
+        F.max("event_id").alias("event_id"),
+        F.bool_or(F.col("layer") == "raw").alias("in_raw"),
+        *[F.bool_or(F.col("layer") == name).alias(f"in_{name}") for name in ("bronze", "silver", "quarantine")],
+        F.max("reasons").alias("reasons"),
     )
+    return traced.filter("in_raw").select("arrived_at", "seq", "event_id", "in_bronze", "in_silver", "in_quarantine", "reasons")
 
 
 def lineage_summary(traced: DataFrame) -> DataFrame:

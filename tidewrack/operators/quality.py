@@ -204,6 +204,11 @@ def quality_report(events: DataFrame, dataset: str) -> DataFrame:
             }.items()
         ]
     )
+    return scorecard(totals, dataset)
+
+
+def scorecard(totals: DataFrame, dataset: str) -> DataFrame:
+    """The report from its six counts."""
     n = F.col("records")
     weighted = F.col("complete") * 40 + F.col("valid") * 40 + F.col("unique") * 20
     return totals.select(
@@ -221,6 +226,42 @@ def quality_report(events: DataFrame, dataset: str) -> DataFrame:
     )
 
 
+def row_counts(dataset: str) -> dict[str, Column]:
+    """The report's counts that need no look at other rows; fit for ``observe``."""
+    return {
+        "records": F.count(F.lit(1)),
+        "complete": F.count_if(is_complete(dataset)),
+        "valid": F.count_if(is_valid()),
+        "good": F.count_if(F.coalesce(is_accepted(dataset), F.lit(False))),
+    }
+
+
+def report_of_counts(ids: DataFrame, counts: dict[str, int], dataset: str) -> DataFrame:
+    """The same report as ``quality_report`` from observed ``row_counts`` and the ids alone.
+
+    ``ids`` has event_id, arrived_at, seq and good, whether the record was accepted.
+    """
+    identified = has("event_id")
+    per_id = ids.groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("copies"), F.count_if("good").alias("good"), F.min(F.struct("arrived_at", "seq", "good")).alias("first_record")
+    )
+    good_repeats = F.when(identified, F.col("good") - F.col("first_record.good").cast("int")).otherwise(F.lit(0))
+
+    def total(column: Column, name: str) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0)).cast("bigint").alias(name)
+
+    summed = per_id.agg(
+        total(identified.cast("int"), "unique"),
+        total(F.when(identified, F.col("copies") - 1).otherwise(F.lit(0)), "duplicates"),
+        total(good_repeats, "good_repeats"),
+    )
+    totals = summed.select(
+        *[F.lit(counts[name]).cast("bigint").alias(name) for name in ("records", "complete", "valid")],
+        "unique", "duplicates", (F.lit(counts["records"] - counts["good"]) + F.col("good_repeats")).cast("bigint").alias("quarantined"),
+    )
+    return scorecard(totals, dataset)
+
+
 def quality_issues(events: DataFrame, dataset: str) -> DataFrame:
     """Issue counts by code, most frequent first; only codes that occur.
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewrack.functions.values import has
 from tidewrack.operators.enrich import with_country_name
+from tidewrack.sources.commits import CommitLog, Conflict, Entry, new_attempt
 
 KEY_BUCKET_DIGITS = 3
 
@@ -138,25 +139,79 @@ def fact_orphans(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame
     )
 
 
+#: Natural key columns and key column of the dimensions that have surrogate keys.
+KEYED = {
+    "customer": (("customer_id",), "customer_key"),
+    "merchant": (("merchant_id", "merchant_category"), "merchant_key"),
+    "country": (("country",), "country_key"),
+}
+
+
+def _naturals(silver: DataFrame, dimension: str) -> DataFrame:
+    columns, _ = KEYED[dimension]
+    seen = silver.filter(has(columns[0]))
+    return seen.select(columns[0], *[F.coalesce(c, F.lit("")).alias(c) for c in columns[1:]]).distinct()
+
+
+class KeyRegistry:
+    """Natural keys and the numbers they were given, below ``root``. Numbers are never changed or given twice.
+
+    A load appends the naturals it is the first to see, numbered after the largest number given so far. It
+    is published only if no other load was meanwhile, else made anew. A repeated load finds its
+    naturals registered and appends nothing.
+    """
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, f"{root.rstrip('/')}/_keys"
+
+    def _read(self, dimension: str, entries: list[Entry]) -> DataFrame:
+        columns, key = KEYED[dimension]
+        ddl = ", ".join([f"{key} bigint", *[f"{c} string" for c in columns]])
+        paths = [f"{self.root}/{dimension}/{entry.path}" for entry in entries if entry.path]
+        return self.spark.read.schema(ddl).parquet(*paths) if paths else self.spark.createDataFrame([], ddl)
+
+    def keys(self, dimension: str) -> DataFrame:
+        """(key, naturals ...) given so far."""
+        return self._read(dimension, list(CommitLog(self.spark, f"{self.root}/_log/{dimension}").live().values()))
+
+    def register(self, dimension: str, naturals: DataFrame) -> DataFrame:
+        """Give numbers to naturals that have none; the keys of all."""
+        columns, key = KEYED[dimension]
+        log = CommitLog(self.spark, f"{self.root}/_log/{dimension}")
+        while True:
+            version, live = log.state()
+            known = self._read(dimension, list(live.values()))
+            # the largest number lies in the log; loads number without gaps, so it is the number of keys
+            start = sum(entry.rows or 0 for entry in live.values())
+            fresh = naturals.join(known.select(*columns), list(columns), "left_anti") if live else naturals
+            numbered = dense_key(fresh, F.concat_ws("|", *columns), key).withColumn(key, F.col(key) + start)
+            attempt, seen = new_attempt(), Observation()
+            numbered.select(key, *columns).observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.root}/{dimension}/attempt={attempt}")
+            if not seen.get["rows"]:
+                return known
+            try:
+                log.commit([Entry(attempt, f"attempt={attempt}", rows=seen.get["rows"])], expected=version)
+            except Conflict:
+                continue
+            return self.keys(dimension)
+
+
 def load_star(spark: SparkSession, silver: DataFrame, profile: DataFrame, root: str) -> str:
-    """Write the five star tables. The fact joins the stored dimensions, so keys agree.
+    """Write the five star tables. Keys come from the registry below ``root``, so later loads keep them.
 
     ``silver`` is read once per table: pass a stored table, not a plan that would
     repeat its de-duplication.
     """
+    registry = KeyRegistry(spark, root)
+    keys = {dimension: registry.register(dimension, _naturals(silver, dimension)) for dimension in KEYED}
     tables = {
         "dim_time": dim_time(silver),
-        "dim_customer": dim_customer(silver, profile),
-        "dim_merchant": dim_merchant(silver),
-        "dim_country": dim_country(silver),
+        "dim_customer": keys["customer"].join(profile, "customer_id", "left").select("customer_key", "customer_id", "customer_segment", "country"),
+        "dim_merchant": keys["merchant"],
+        "dim_country": with_country_name(keys["country"]).select("country_key", "country", "country_name"),
     }
     for name, frame in tables.items():
         frame.write.mode("overwrite").parquet(f"{root}/{name}")
-    fact = fact_transaction(
-        silver,
-        spark.read.parquet(f"{root}/dim_customer"),
-        spark.read.parquet(f"{root}/dim_merchant"),
-        spark.read.parquet(f"{root}/dim_country"),
-    )
+    fact = fact_transaction(silver, keys["customer"], keys["merchant"], keys["country"])
     fact.write.mode("overwrite").parquet(f"{root}/fact_transaction")
     return root

@@ -8,11 +8,13 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewrack import domain
 from tidewrack.functions.calendar import expand_days
 from tidewrack.operators import dedupe, quality
 from tidewrack.plans import medallion
 from tidewrack.session import shared_folder
 from tidewrack.sources import lake as store
+from tidewrack.sources.commits import PUBLISHED, QUARANTINED
 from tidewrack.sources.lake import Lake
 
 LEDGER_SCHEMA = "dataset string, day date, records bigint, skipped bigint, run string"
@@ -66,14 +68,16 @@ def status(days: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def run(
-    spark: SparkSession, lake: Lake, dataset: str, start: str, end: str, dry_run: bool = False
+    spark: SparkSession, lake: Lake, dataset: str, start: str, end: str, dry_run: bool = False,
+    gate: float = domain.PUBLISH_GATE_SCORE,
 ) -> DataFrame:
     """Process the days of the range that the ledger lacks, as one distributed job.
 
     All layers are brought up to raw: records that bronze or quarantine lacks are stored,
     silver, gold and the quality report follow. Records another batch or
     stream has stored stay where they are, so nothing is doubled. Raw folders outside the
-    range are not read. The ledger is written last: after a failure the range is replayed,
+    range are not read. A range that scores below ``gate`` is quarantined like any batch, and rows of
+    quarantined batches stay out. The ledger is written last: after a failure the range is replayed,
     also under other dates.
     """
     days = plan(spark, start, end)
@@ -83,7 +87,7 @@ def run(
     todo = pending(days, ledger)
     span = todo.agg(F.min("day").alias("a"), F.max("day").alias("b")).first()
     if span["a"] is not None:
-        _run_days(spark, lake, dataset, todo, str(span["a"]), str(span["b"]))
+        _run_days(spark, lake, dataset, todo, str(span["a"]), str(span["b"]), gate)
     return status(days, read_ledger(spark, lake, dataset))
 
 
@@ -93,17 +97,18 @@ def _between(first: str, last: str) -> Column:
     )
 
 
-def _arrived(spark: SparkSession, lake: Lake, layer: str, dataset: str, first: str, last: str) -> DataFrame:
-    """Arrival time, number and batch of a layer's rows that arrived in the range."""
-    names = ", ".join(f"{name} STRING" for name in (*lake.partitions, "batch"))
-    reader = spark.read.schema(f"arrived_at TIMESTAMP, seq BIGINT, {names}").format(store.layer_format(layer))
-    return reader.load(lake.path(layer, dataset)).filter(_between(first, last))
+def _arrived(spark: SparkSession, lake: Lake, layer: str, dataset: str, first: str, last: str, without: str) -> DataFrame:
+    """Arrival time and number of a layer's rows that arrived in the range, of all batches but one."""
+    entries = [e for e in store.live_entries(spark, lake, layer, dataset) if e.batch != without]
+    rows = store.read_entries(spark, lake, layer, dataset, entries, "arrived_at TIMESTAMP, seq BIGINT")
+    return rows.filter(_between(first, last)).select("arrived_at", "seq")
 
 
 def _run_days(
-    spark: SparkSession, lake: Lake, dataset: str, todo: DataFrame, first: str, last: str
+    spark: SparkSession, lake: Lake, dataset: str, todo: DataFrame, first: str, last: str, gate: float
 ) -> None:
-    events = store.read_raw(spark, lake, dataset, store.partition_hours(first, last))
+    # raw is stored by arrival, so its batches' day ranges say which to open
+    events = store.read_raw(spark, lake, dataset, store.partition_hours(first, last), first, last)
     # one row per calendar day of the range, so the broadcast is bounded by its length
     events = events.join(
         F.broadcast(todo.select(F.col("day").alias("_day"))),
@@ -114,9 +119,7 @@ def _run_days(
     batch_id = f"backfill-{first}-{last}"
     missing = events
     for layer in ("bronze", "quarantine"):
-        if store.exists(spark, lake.path(layer, dataset)):
-            held = _arrived(spark, lake, layer, dataset, first, last).filter(F.col("batch") != batch_id)
-            missing = missing.join(held.select("arrived_at", "seq"), ["arrived_at", "seq"], "left_anti")
+        missing = missing.join(_arrived(spark, lake, layer, dataset, first, last, batch_id), ["arrived_at", "seq"], "left_anti")
     # what is missing is stored first: both layers below are decided by it
     folder = f"{shared_folder(spark, 'backfill')}/missing"
     missing.write.parquet(folder)
@@ -127,17 +130,26 @@ def _run_days(
     store.write_batch(
         quality.rejected_rows(missing, dataset), lake, "quarantine", dataset, "arrived_at", batch_id
     )
-    # of all bronze rows of the days: a batch may have failed between bronze and silver
-    fresh = spark.read.parquet(lake.path("bronze", dataset)).filter(_between(first, last))
-    fresh = fresh.join(
-        F.broadcast(todo.select(F.col("day").alias("_day"))), F.to_date("arrived_at") == F.col("_day"), "left_semi"
-    ).drop("year", "month", "day", "hour", "batch")
-    medallion.add_to_silver(spark, lake, dataset, dedupe.keep_first(fresh), "ingested_at", batch_id)
-    store.write_report(quality.quality_report(events, dataset), lake, dataset)
+    report = quality.quality_report(events, dataset)
+    store.write_report(report, lake, dataset)
+    score = spark.read.schema(report.schema).json(lake.report_path(dataset)).first()["score"]
+    state = PUBLISHED if score >= gate else QUARANTINED
+    # of all bronze rows of the days: a batch may have failed between bronze and silver. What the
+    # gate has turned away stays away
+    silver = lake.log(spark, "silver", dataset).live()
+    barred = {name for name, entry in silver.items() if entry.state == QUARANTINED and name != batch_id}
+    entries = [e for e in store.live_entries(spark, lake, "bronze", dataset) if e.batch not in barred]
+    if entries:
+        fresh = store.read_entries(spark, lake, "bronze", dataset, entries).filter(_between(first, last))
+        fresh = medallion.without_folders(fresh.join(
+            F.broadcast(todo.select(F.col("day").alias("_day"))), F.to_date("arrived_at") == F.col("_day"), "left_semi"
+        ))
+        medallion.add_to_silver(spark, lake, dataset, dedupe.keep_first(fresh), "ingested_at", batch_id, state)
     medallion.publish_gold(spark, lake, dataset)
 
     def stored_per_day(layer: str, name: str) -> DataFrame:
-        stored = spark.read.parquet(lake.path(layer, dataset)).filter(_between(first, last))
+        entries = store.live_entries(spark, lake, layer, dataset)
+        stored = store.read_entries(spark, lake, layer, dataset, entries, "arrived_at TIMESTAMP").filter(_between(first, last))
         return stored.groupBy(F.to_date("arrived_at").alias("day")).agg(
             F.count(F.lit(1)).alias(name)
         )

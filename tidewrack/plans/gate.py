@@ -9,6 +9,7 @@ from tidewrack import domain
 from tidewrack.operators import quality
 from tidewrack.plans import medallion
 from tidewrack.sources import lake as store
+from tidewrack.sources.commits import PUBLISHED, QUARANTINED
 from tidewrack.sources.lake import Lake
 
 
@@ -28,22 +29,26 @@ def gated_publish(
     spark: SparkSession, lake: Lake, dataset: str, events: DataFrame, batch_id: str,
     gate: float = domain.PUBLISH_GATE_SCORE,
 ) -> str:
-    """Score the batch, then publish gold or store its defective rows.
+    """Score a batch that silver holds, then publish it to gold, or quarantine it and store its defective rows.
 
-    One report row reaches the driver. A failure while publishing also quarantines,
-    and is raised again.
+    One report row reaches the driver. A failure while publishing also quarantines the defective rows,
+    and is raised again. A quarantined batch leaves silver and gold, also if it was published before.
     """
     report = decide(quality.quality_report(events, dataset), gate)
     store.write_report(report, lake, dataset)
     decision = spark.read.schema(report.schema).json(lake.report_path(dataset)).first()["decision"]
     if decision == "PUBLISH":
         try:
+            medallion.set_state(spark, lake, dataset, batch_id, PUBLISHED)
             medallion.publish_gold(spark, lake, dataset)
         except Exception:
             _quarantine(events, lake, dataset, batch_id)
             raise
     else:
         _quarantine(events, lake, dataset, batch_id)
+        if batch_id in lake.log(spark, "silver", dataset).live():
+            medallion.set_state(spark, lake, dataset, batch_id, QUARANTINED)
+            medallion.publish_gold(spark, lake, dataset)
     return decision
 
 

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewrack import domain
 from tidewrack.operators import dedupe, enrich, gold, pii, quality
+from tidewrack.plans import increments
+from tidewrack.schemas import RAW_SCHEMA
 from tidewrack.sources import lake as store
+from tidewrack.sources import wire
+from tidewrack.sources.commits import PUBLISHED, QUARANTINED, Conflict, Entry
+from tidewrack.sources.id_index import IdIndex
 from tidewrack.sources.lake import Lake
 
 
@@ -53,69 +60,155 @@ def silver_from_bronze(stored: DataFrame) -> DataFrame:
     return pii.apply_policy(kept, "analyst")
 
 
+def stage(
+    events: DataFrame, lake: Lake, dataset: str, batch_id: str, ingested_at: Column | None = None
+) -> tuple[Entry, Entry, dict[str, int]]:
+    """One read of raw for both sinks and the report: the batch's accepted and rejected rows, enriched, in one write.
+
+    Gives the entries of both, not yet published, and the counts observed while writing. The write
+    follows raw's partitions without a shuffle unless a stamp of its own is asked for.
+    """
+    stamp = F.col("arrived_at") if ingested_at is None else ingested_at
+    good = F.coalesce(quality.is_accepted(dataset), F.lit(False))
+    flagged = events.withColumns(
+        {"batch": F.when(good, F.lit(batch_id)).otherwise(F.lit(f"{batch_id}.rejected")), "reasons": quality.reasons(dataset), "_risk": F.col("risk_score")}
+    )
+    counted = Observation()
+    seen = flagged.observe(counted, *[count.alias(name) for name, count in quality.row_counts(dataset).items()])
+    # a rejected row keeps the risk it came with
+    risk = F.when(F.col("batch") == batch_id, F.col("risk_score")).otherwise(F.col("_risk"))
+    rows = enrich.enrich(seen, stamp).withColumn("risk_score", risk).drop("_risk")
+    names = [batch_id, f"{batch_id}.rejected"]
+    entries = store.store_rows(rows, lake, "bronze", dataset, "ingested_at", ingested_at is not None, batches=names)
+    return entries[names[0]], entries[names[1]], counted.get
+
+
 def write_batch(
     spark: SparkSession, lake: Lake, dataset: str, payloads: DataFrame, batch_id: str,
     ingested_at: Column | None = None, gate: float = domain.PUBLISH_GATE_SCORE,
 ) -> DataFrame:
     """Store one batch in all layers; repeating it gives the same lake.
 
-    Gold is published only if the batch's score reaches ``gate``; the batch stays in silver
-    and reaches gold with the next one that passes.
+    A batch whose score is below ``gate`` is quarantined in silver: neither its readers nor gold see it, and
+    its ids count as not stored. Repeating the batch with better rows publishes it.
 
     Each stage reads what the previous stage stored, so a lost executor costs a
     stage's tasks and never the whole chain. Returns the batch's quality report.
     """
-    store.land_raw(payloads, lake, dataset, batch_id)
-    events = store.read_raw(spark, lake, dataset, F.col("batch") == batch_id)
-    stamp = F.col("arrived_at") if ingested_at is None else ingested_at
-
-    # bronze by arrival has raw's partitions: a map-only job, no shuffle
-    store.write_batch(
-        bronze(events, dataset, stamp), lake, "bronze", dataset, "ingested_at", batch_id,
-        gather=ingested_at is not None,
-    )
-    store.write_batch(
-        quality.rejected_rows(events, dataset),
-        lake, "quarantine", dataset, "arrived_at", batch_id,
-    )
-    append_silver(spark, lake, dataset, batch_id)
-    report = quality.quality_report(events, dataset)
+    landed = store.land_raw(payloads, lake, dataset, batch_id)
+    raw = store.read_entry(spark, lake, "raw", dataset, landed, RAW_SCHEMA.toDDL())
+    events = wire.parse_payloads(raw.select("payload", "arrived_at", "seq"))
+    accepted, rejected, counts = stage(events, lake, dataset, batch_id, ingested_at)
+    both = None
+    for entry, good in ((accepted, True), (rejected, False)):
+        if entry.path:
+            part = store.read_entry(spark, lake, "bronze", dataset, entry).withColumn("good", F.lit(good))
+            both = part if both is None else both.unionByName(part)
+    lake.log(spark, "bronze", dataset).commit([accepted])
+    refused = events.limit(0).withColumn("reasons", F.array().cast("array<string>"))
+    if rejected.path:
+        refused = store.read_entry(spark, lake, "bronze", dataset, rejected).select(*refused.columns)
+    store.write_batch(refused, lake, "quarantine", dataset, "arrived_at", batch_id)
+    ids = ["event_id", "arrived_at", "seq", "good"]
+    report = quality.report_of_counts(events.limit(0).withColumn("good", F.lit(True)).select(ids) if both is None else both.select(ids), counts, dataset)
     store.write_report(report, lake, dataset)
     stored_report = spark.read.schema(report.schema).json(lake.report_path(dataset))
-    if stored_report.first()["score"] >= gate:
-        publish_gold(spark, lake, dataset)
+    state = PUBLISHED if stored_report.first()["score"] >= gate else QUARANTINED
+    append_silver(spark, lake, dataset, batch_id, state)
+    increments.publish(spark, lake, dataset)
     return stored_report
 
 
-def append_silver(spark: SparkSession, lake: Lake, dataset: str, batch_id: str) -> None:
+def without_folders(rows: DataFrame) -> DataFrame:
+    return rows.drop("year", "month", "day", "hour", "batch", "reasons")
+
+
+def append_silver(spark: SparkSession, lake: Lake, dataset: str, batch_id: str, state: str = PUBLISHED) -> None:
     """Add a bronze batch's new ids to silver; ids stored by other batches are skipped."""
-    fresh = spark.read.parquet(lake.path("bronze", dataset)).filter(F.col("batch") == batch_id)
-    fresh = fresh.drop("year", "month", "day", "hour", "batch")
-    add_to_silver(spark, lake, dataset, dedupe.keep_first(fresh), "ingested_at", batch_id)
+    entry = lake.log(spark, "bronze", dataset).live()[batch_id]
+    if not entry.path:
+        lake.log(spark, "silver", dataset).commit([Entry(batch_id, "", state, 0)])
+        return
+    fresh = without_folders(store.read_entry(spark, lake, "bronze", dataset, entry))
+    add_to_silver(spark, lake, dataset, dedupe.keep_first(fresh), "ingested_at", batch_id, state)
 
 
 def add_to_silver(
-    spark: SparkSession, lake: Lake, dataset: str, unique: DataFrame, time_column: str, batch_id: str
+    spark: SparkSession, lake: Lake, dataset: str, unique: DataFrame, time_column: str, batch_id: str, state: str = PUBLISHED
 ) -> None:
     """Mask and store rows (one per id) whose id no other batch has stored."""
-    path = lake.path("silver", dataset)
-    if store.exists(spark, path):
-        stored = spark.read.parquet(path).filter(F.col("batch") != batch_id).select("event_id")
-        unique = dedupe.skip_existing(unique, stored)
-    store.write_batch(pii.apply_policy(unique, "analyst"), lake, "silver", dataset, time_column, batch_id)
+    add_new_ids(spark, lake, "silver", dataset, pii.apply_policy(unique, "analyst"), time_column, batch_id, state)
+
+
+def add_new_ids(
+    spark: SparkSession, lake: Lake, layer: str, dataset: str, unique: DataFrame, time_column: str, batch_id: str, state: str = PUBLISHED
+) -> Entry:
+    """Publish the rows (one per id) whose id no other live batch of the layer has stored.
+
+    The publication holds only if no other writer has published since the ids were looked up; else they are looked
+    up again. So writers of one layer never store an id twice.
+    """
+    log, index = lake.log(spark, layer, dataset), IdIndex(spark, lake, layer, dataset)
+    store.checked_name(batch_id)
+    while True:
+        version, live = log.state()
+        fresh = index.unseen(unique, live, batch_id).withColumn("batch", F.lit(batch_id))
+        entry = store.store_rows(fresh, lake, layer, dataset, time_column, batches=[batch_id])[batch_id]
+        add = [replace(entry, state=state)]
+        if entry.path:
+            others = sum(e.rows or 0 for e in live.values() if e.batch != batch_id)
+            add.append(index.add(store.read_entry(spark, lake, layer, dataset, entry), entry.attempt, live, others + entry.rows))
+        try:
+            log.commit(add, expected=version)
+        except Conflict:
+            continue
+        index.fold()
+        return add[0]
+
+
+def set_state(spark: SparkSession, lake: Lake, dataset: str, batch_id: str, state: str) -> None:
+    """Publish or quarantine a silver batch. Only names change; gold follows with its next publication."""
+    log = lake.log(spark, "silver", dataset)
+    while True:
+        version, live = log.state()
+        if batch_id not in live:
+            raise LookupError(f"silver/{dataset} has no batch {batch_id!r}")
+        try:
+            log.commit([replace(live[batch_id], state=state)], expected=version)
+            return
+        except Conflict:
+            continue
+
+
+def batch_states(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
+    """The ledger of silver's batches: batch, state, rows and day range."""
+    entries = [e for e in lake.log(spark, "silver", dataset).live().values() if not e.batch.startswith("_")]
+    rows = [(e.batch, e.state, e.rows, e.first_day, e.last_day) for e in entries]
+    return spark.createDataFrame(rows, "batch string, state string, rows long, first_day string, last_day string")
 
 
 def rebuild_silver(spark: SparkSession, lake: Lake, dataset: str) -> None:
-    """Full batch job bronze to silver, replacing the whole layer.
+    """Full batch job bronze to silver, replacing the whole layer; quarantined batches stay out.
 
     Each row keeps the batch that brought it, so batches can be added or repeated afterwards.
     """
-    stored = spark.read.parquet(lake.path("bronze", dataset))
-    kept = silver_from_bronze(stored.drop("year", "month", "day", "hour"))
-    store.replace_layer(kept, lake, "silver", dataset, "ingested_at")
+    log = lake.log(spark, "silver", dataset)
+    version, live = log.state()
+    barred = {name: entry for name, entry in live.items() if entry.state == QUARANTINED}
+    entries = [entry for entry in store.live_entries(spark, lake, "bronze", dataset) if entry.batch not in barred]
+    stored = store.read_entries(spark, lake, "bronze", dataset, entries)
+    kept = silver_from_bronze(stored.drop("year", "month", "day", "hour", "reasons"))
+    rebuilt = store.store_rows(kept, lake, "silver", dataset, "ingested_at")
+    pages = []
+    if rebuilt:
+        written = store.read_entries(spark, lake, "silver", dataset, list(rebuilt.values()))
+        sizes = {row["batch"]: row["count"] for row in written.groupBy("batch").count().collect()}  # one row per batch
+        rebuilt = {name: replace(entry, rows=sizes[name]) for name, entry in rebuilt.items()}
+        attempt = next(iter(rebuilt.values())).attempt
+        pages = [IdIndex(spark, lake, "silver", dataset).add(written, attempt, live, sum(sizes.values()))]
+    log.commit([*rebuilt.values(), *pages, *barred.values()], live.keys() - barred.keys(), version)
 
 
 def publish_gold(spark: SparkSession, lake: Lake, dataset: str) -> None:
-    """Stored silver to the six gold tables; each reads only the columns it needs."""
-    stored = spark.read.parquet(lake.path("silver", dataset))
-    store.write_gold(gold.gold_tables(stored), lake, dataset)
+    """Published silver batches to the six gold tables."""
+    increments.publish(spark, lake, dataset)

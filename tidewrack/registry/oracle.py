@@ -516,6 +516,46 @@ ORACLE: dict[str, str] = {
     "lake_rebuild_then_batch": _counts("count(*)", "true"),
     "lake_shrunk_batch": _counts("count(*)", _FIRST_HALF),
     "backfill_after_batch": _counts("count(*)", "true"),
+    "active_customers_sketch": _with(SILVER, """SELECT event_date AS metric_date, count(DISTINCT customer_id) AS active_customers, true AS within_bound
+        FROM silver GROUP BY event_date"""),
+    "key_distribution_adaptive": "SELECT count(*) AS records, CAST(16 AS BIGINT) AS partitions, true AS below_twice_the_mean FROM events",
+    "expired_partitions": """SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day, 0 AS seen FROM events
+        WHERE CAST(ts AS DATE) < (SELECT CAST(max(ts) AS DATE) - 10 FROM events)""",
+    "live_after_expiry": _with(SILVER, """SELECT 'raw' AS layer, count(*) AS records, min(arrived_at) AS first FROM flags
+          WHERE CAST(arrived_at AS DATE) >= (SELECT CAST(max(ts) AS DATE) - 10 FROM events)
+        UNION ALL SELECT 'silver', count(*), min(arrived_at) FROM silver"""),
+    "stream_progress": """SELECT count(*) AS input_rows, CAST(0 AS BIGINT) AS dropped_by_watermark, true AS lag_known
+        FROM events GROUP BY event_id % 3""",
+    "failing_batch_stays_out": _with(SILVER, f"""SELECT event_date AS metric_date, count(*) AS transactions,
+        CAST(sum(coalesce(amount_gbp, amount, 0)) AS DECIMAL(18,2)) AS volume, count(*) FILTER (WHERE is_fraud) AS fraud FROM (
+          SELECT * FROM bronze f WHERE NOT ({_FIRST_HALF})
+          QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY arrived_at, seq) = 1) GROUP BY 1"""),
+    "batch_ledger": _with(SILVER, f"""SELECT 'b0' AS batch, 'quarantined' AS state, (SELECT count(*) FROM silver f WHERE {_FIRST_HALF}) AS rows
+        UNION ALL SELECT 'b1', 'published', count(DISTINCT event_id) FROM bronze f WHERE NOT ({_FIRST_HALF})
+        UNION ALL SELECT 'b2', 'published', count(DISTINCT event_id) FROM bronze f WHERE {_FIRST_HALF}
+          AND event_id NOT IN (SELECT event_id FROM bronze f WHERE NOT ({_FIRST_HALF}))"""),
+    "two_streams_one_lake": _with(SILVER, """SELECT 'raw' AS layer, 2 * count(*) AS records, count(DISTINCT event_id) AS ids FROM flags
+        UNION ALL SELECT 'silver', count(*), count(DISTINCT event_id) FROM silver"""),
+    "killed_write_resumes": _with(SILVER, f"""SELECT * FROM (VALUES ('before', false, false, false), ('between', true, true, false),
+          ('after', true, true, true)) t(step, raw_all, bronze_all, rest_all), LATERAL (
+        SELECT 'raw' AS layer, count(*) AS records, count(*) AS numbers FROM flags f WHERE raw_all OR {_FIRST_HALF}
+        UNION ALL SELECT 'bronze', count(*), count(*) FROM flags f WHERE (bronze_all OR {_FIRST_HALF}) AND is_complete AND is_valid
+        UNION ALL SELECT 'quarantine', count(*), count(*) FROM flags f WHERE (rest_all OR {_FIRST_HALF}) AND NOT (is_complete AND is_valid)
+        UNION ALL SELECT 'silver', count(*), count(*) FROM silver f WHERE rest_all OR {_FIRST_HALF})""").replace("SELECT * FROM (VALUES", "SELECT step, layer, records, numbers FROM (VALUES"),
+    "id_index_skip_existing": _with(SILVER, """SELECT event_id, seq,
+        'b' || CAST(CAST(floor(extract(day FROM arrived_at) / 8) AS INTEGER) AS VARCHAR) AS batch FROM silver"""),
+    **{
+        f"incremental_{name}": _with(GOLD, f"SELECT * FROM {name}").replace(
+            "FROM bronze\n  ) WHERE rn = 1", f"FROM bronze f WHERE ({_FIRST_HALF}) OR seq % 2 = 0\n  ) WHERE rn = 1"
+        )
+        for name in ("customer_activity", "country_performance", "merchant_statistics", "fraud_summary")
+    },
+    "warehouse_keys_stable": _with(SILVER, """SELECT dimension, count(*) AS keys, count(*) AS distinct_keys, count(*) AS largest,
+        count(*) FILTER (WHERE early) AS old_keys, CAST(0 AS BIGINT) AS moved, CAST(sum(n) AS BIGINT) AS facts FROM (
+          SELECT 'customer' AS dimension, customer_id AS natural, count(*) AS n, bool_or(seq % 7 < 3 AND customer_id > 'CUS-2') AS early FROM silver GROUP BY ALL
+          UNION ALL SELECT 'merchant', merchant_id || '|' || merchant_category, count(*), bool_or(seq % 7 < 3 AND customer_id > 'CUS-2') FROM silver GROUP BY ALL
+          UNION ALL SELECT 'country', country, count(*), bool_or(seq % 7 < 3 AND customer_id > 'CUS-2') FROM silver WHERE country IS NOT NULL GROUP BY ALL
+        ) GROUP BY dimension"""),
     "stream_quality": _with(REPORT, """SELECT *, CASE WHEN score >= 95 THEN 'PUBLISH' ELSE 'QUARANTINE' END AS decision, score < 97 AS warning,
         '0' AS batch FROM report"""),
 }

@@ -24,12 +24,12 @@ from tidewrack.operators import (
     quality,
     warehouse,
 )
-from tidewrack.plans import backfill, gate, medallion, observability
+from tidewrack.plans import backfill, gate, increments, medallion, observability
 from tidewrack.session import configure, shared_folder
 from tidewrack.sources import catalog, fixtures, streams, wire
 from tidewrack.sources import lake as store
 from tidewrack.sources.lake import Lake
-from tidewrack.streaming import ingest, metrics
+from tidewrack.streaming import ingest, metrics, progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,11 +97,11 @@ def loaded_lake(spark: SparkSession, sf_dir: str, label: str) -> Lake:
 
 def layer_frames(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     """The stored layers' rows (raw typed; quarantine by number, arrival and reasons)."""
-    rejected = spark.read.schema("seq BIGINT, arrived_at TIMESTAMP, reasons ARRAY<STRING>")
+    rejected = "seq BIGINT, arrived_at TIMESTAMP, reasons ARRAY<STRING>"
     return {
         "raw": store.read_raw(spark, lake, DATASET),
         "bronze": store.read_layer(spark, lake, "bronze", DATASET),
-        "quarantine": rejected.json(lake.path("quarantine", DATASET)),
+        "quarantine": store.read_layer(spark, lake, "quarantine", DATASET, rejected),
         "silver": store.read_layer(spark, lake, "silver", DATASET),
     }
 
@@ -160,22 +160,21 @@ def quarantine_roundtrip(spark, sf_dir):
     lake = new_lake(spark, "quarantine")
     rejected = quality.rejected_rows(txn(spark, sf_dir), DATASET)
     store.write_batch(rejected, lake, "quarantine", DATASET, "arrived_at", "b1")
-    stored = spark.read.schema("seq BIGINT, event_id STRING, amount_raw STRING, reasons ARRAY<STRING>")
-    return stored.json(lake.path("quarantine", DATASET)).select("seq", "event_id", "amount_raw", joined_reasons())
+    stored = store.read_layer(spark, lake, "quarantine", DATASET, "seq BIGINT, event_id STRING, amount_raw STRING, reasons ARRAY<STRING>")
+    return stored.select("seq", "event_id", "amount_raw", joined_reasons())
 
 
 @query
 def silver_overwrite(spark, sf_dir):
     lake = new_lake(spark, "silver")
-    path = lake.path("silver", DATASET)
     rows = medallion.silver(txn(spark, sf_dir), DATASET, F.col("arrived_at"))
     store.overwrite_partitions(rows, lake, "silver", DATASET, "ingested_at")
     # replacing one day must leave the others alone
-    day = spark.read.parquet(path).filter("month = '01' AND day = '05'")
+    day = store.read_layer(spark, lake, "silver", DATASET).filter("month = '01' AND day = '05'")
     one_day = new_lake(spark, "silver-day").path("silver", DATASET)
-    day.drop("year", "month", "day").write.parquet(one_day)
+    day.drop("year", "month", "day", "batch").write.parquet(one_day)
     store.overwrite_partitions(spark.read.parquet(one_day), lake, "silver", DATASET, "ingested_at")
-    return spark.read.parquet(path).select("event_id", "amount_gbp", "email", "year", "month", "day")
+    return store.read_layer(spark, lake, "silver", DATASET).select("event_id", "amount_gbp", "email", "year", "month", "day")
 
 
 @query
@@ -201,12 +200,11 @@ def partition_counts(spark, sf_dir):
 @query
 def partition_pruned(spark, sf_dir):
     lake = new_lake(spark, "pruned", "hour")
-    path = lake.path("bronze", DATASET)
     rows = bronze(spark, sf_dir).select("seq", "event_ts", "amount_gbp")
     store.write_batch(rows, lake, "bronze", DATASET, "event_ts", "b1")
     hours = F.col("hour").between("06", "11")
     return (
-        spark.read.parquet(path)
+        store.read_layer(spark, lake, "bronze", DATASET, first="2024-01-10", last="2024-01-19")
         .filter(store.partition_hours("2024-01-10", "2024-01-19") & hours)
         .groupBy("day", "hour")
         .agg(F.count(F.lit(1)).alias("records"), F.sum("amount_gbp").cast("decimal(18,2)").alias("volume"))
@@ -893,7 +891,7 @@ def bronze_to_silver_job(spark, sf_dir):
     lake = new_lake(spark, "rebuild")
     store.write_batch(bronze(spark, sf_dir), lake, "bronze", DATASET, "ingested_at", "b1")
     medallion.rebuild_silver(spark, lake, DATASET)
-    return spark.read.parquet(lake.path("silver", DATASET)).select(
+    return store.read_layer(spark, lake, "silver", DATASET).select(
         "event_id", "seq", "email", "country_name", "amount_gbp", "is_fraud"
     )
 
@@ -912,7 +910,7 @@ def stream_snapshot(spark, sf_dir):
     lake = new_lake(spark, "snapshot")
     store.land_raw(payloads(spark, sf_dir), lake, DATASET, "b1")
     events = wire.parse_payloads(
-        spark.read.schema(schemas.RAW_SCHEMA).json(lake.path("raw", DATASET)).withColumn("copy", F.col("payload"))
+        store.read_layer(spark, lake, "raw", DATASET, schemas.RAW_SCHEMA.toDDL()).withColumn("copy", F.col("payload"))
     )
     return observability.stream_snapshot(events.withColumnRenamed("copy", "payload"))
 
@@ -971,9 +969,204 @@ def backfill_after_batch(spark, sf_dir):
     return counted(spark, lake)
 
 
+@query
+def failing_batch_stays_out(spark, sf_dir):
+    """The first half fails the gate. A later batch, a backfill and a stream over everything after it don't let it into gold."""
+    lake = new_lake(spark, "failing")
+    first, second = two_batches(spark, sf_dir)
+    medallion.write_batch(spark, lake, DATASET, first, "b0", gate=101)
+    medallion.write_batch(spark, lake, DATASET, second, "b1")
+    start, end = backfill.plan_of(txn(spark, sf_dir)).agg(F.min("day"), F.max("day")).first()
+    backfill.run(spark, lake, DATASET, str(start), str(end))
+    events = txn_stream(spark, sf_dir)
+    middle = store.read_raw(spark, lake, DATASET, F.col("batch") == "b1").agg(F.min("arrived_at")).scalar()
+    ingest.run_available(ingest.daily_gold(events.filter(F.col("arrived_at") >= F.lit(middle)), lake, DATASET))
+    return store.read_gold(spark, lake, "daily_revenue")
+
+
+@query
+def batch_ledger(spark, sf_dir):
+    """State and rows of a failing batch, a passing one, and one that failed and was repeated with a lower gate."""
+    lake = new_lake(spark, "ledger")
+    first, second = two_batches(spark, sf_dir)
+    for name, rows, gate_score in (("b0", first, 101), ("b1", second, 95), ("b2", first, 101), ("b2", first, 95)):
+        medallion.write_batch(spark, lake, DATASET, rows, name, gate=gate_score)
+    return medallion.batch_states(spark, lake, DATASET).select("batch", "state", "rows")
+
+
+@query
+def two_streams_one_lake(spark, sf_dir):
+    """Two streams of their own write silver, and two land the same records: no batch takes another's place."""
+    lake = new_lake(spark, "two-streams")
+    half = txn_stream(spark, sf_dir)
+    ingest.run_available(ingest.silver(half.filter("seq % 2 = 0"), lake, DATASET))
+    ingest.run_available(ingest.daily_gold(half, lake, DATASET))
+    other = Lake(lake.root, lake.grain)
+    for run in ("a", "b"):
+        writer = ingest.landing(wire.to_payload(txn_stream(spark, sf_dir)), other, DATASET)
+        ingest.run_available(writer.option("checkpointLocation", lake.checkpoint_path(f"landing-{run}")))
+    layers = {"raw": store.read_raw(spark, lake, DATASET), "silver": store.read_layer(spark, lake, "silver", DATASET)}
+    return drift.union_versions([
+        frame.agg(F.count(F.lit(1)).alias("records"), F.count_distinct("event_id").alias("ids")).select(F.lit(name).alias("layer"), "records", "ids")
+        for name, frame in layers.items()
+    ])
+
+
+@query
+def killed_write_resumes(spark, sf_dir):
+    """A batch is stored; its repeat is lost after each step that it takes, then runs through. Readers look in between."""
+    lake = new_lake(spark, "killed")
+    first, _ = two_batches(spark, sf_dir)
+    medallion.write_batch(spark, lake, DATASET, first, "b0")
+    rows = payloads(spark, sf_dir)
+    # lost before anything is published, then with raw published, then with bronze published as well
+    store.store_rows(rows.withColumn("batch", F.lit("b0")), lake, "raw", DATASET, "arrived_at")
+    before = counted(spark, lake)
+    store.land_raw(rows, lake, DATASET, "b0")
+    accepted, _, _ = medallion.stage(store.read_raw(spark, lake, DATASET), lake, DATASET, "b0")
+    lake.log(spark, "bronze", DATASET).commit([accepted])
+    between = counted(spark, lake)
+    medallion.write_batch(spark, lake, DATASET, rows, "b0")
+    steps = {"before": before, "between": between, "after": counted(spark, lake)}
+    return drift.union_versions([frame.select(F.lit(step).alias("step"), "*") for step, frame in steps.items()])
+
+
+@query
+def id_index_skip_existing(spark, sf_dir):
+    """Batches that each bring the days before again: ids stored already are found through the index."""
+    lake = new_lake(spark, "id-index")
+    path = f"{shared_folder(spark, 'id-index-rows')}/rows"
+    medallion.bronze(txn(spark, sf_dir), DATASET, F.col("arrived_at")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    part = F.floor(F.dayofmonth("arrived_at") / 8)
+    for number in range(4):
+        again = dedupe.keep_first(rows.filter(part.between(number - 1, number)))
+        medallion.add_new_ids(spark, lake, "silver", DATASET, again, "ingested_at", f"b{number}")
+    return store.read_layer(spark, lake, "silver", DATASET).select("event_id", "seq", "batch")
+
+
+def repeated_and_shrunk(name: str) -> Query:
+    def run(spark, sf_dir):
+        """Two batches; the second is repeated, then shrunk to every other record. Gold follows by sums alone."""
+        lake = new_lake(spark, "increments")
+        first, second = two_batches(spark, sf_dir)
+        for batch, rows in (("b0", first), ("b1", second), ("b0", first), ("b1", second.filter("seq % 2 = 0"))):
+            medallion.write_batch(spark, lake, DATASET, rows, batch)
+        return store.read_gold(spark, lake, name)
+
+    run.__name__ = f"incremental_{name}"
+    return run
+
+
+for _name in ("customer_activity", "country_performance", "merchant_statistics", "fraud_summary"):
+    query(repeated_and_shrunk(_name))
+
+
+@query
+def warehouse_keys_stable(spark, sf_dir):
+    """Two loads with new customers between them: keys given by the first stay, none is given twice, and the fact finds all."""
+    folder = shared_folder(spark, "stable-keys")
+    core(spark, sf_dir).write.parquet(f"{folder}/silver")
+    silver = spark.read.parquet(f"{folder}/silver")
+    profile = fixtures.customer_profile(spark, sf_dir)
+    early = silver.filter("seq % 7 < 3 AND customer_id > 'CUS-2'")
+    warehouse.load_star(spark, early, profile, folder)
+    dimensions = {"customer": ("customer_id",), "merchant": ("merchant_id", "merchant_category"), "country": ("country",)}
+    for name in dimensions:
+        spark.read.parquet(f"{folder}/dim_{name}").write.parquet(f"{folder}/first/{name}")
+    for _ in range(2):  # the repeat gives no keys
+        warehouse.load_star(spark, silver, profile, folder)
+    fact = spark.read.parquet(f"{folder}/fact_transaction")
+    parts = []
+    for name, natural in dimensions.items():
+        key = f"{name}_key"
+        now = spark.read.parquet(f"{folder}/dim_{name}").select(key, *natural)
+        first = spark.read.parquet(f"{folder}/first/{name}").select(F.col(key).alias("old_key"), *natural)
+        found = now.join(first, list(natural), "left").agg(
+            F.count(F.lit(1)).alias("keys"), F.count_distinct(key).alias("distinct_keys"), F.max(key).alias("largest"),
+            F.count("old_key").alias("old_keys"), F.count_if(F.col("old_key") != F.col(key)).alias("moved"),
+        )
+        used = fact.select(F.count(key).alias("facts"))
+        parts.append(found.select(F.lit(name).alias("dimension"), "*").join(used))
+    return drift.union_versions(parts)
+
+
+@query
+def active_customers_sketch(spark, sf_dir):
+    """Sketches of two batches, one of them repeated, merged and held against exact counts of silver."""
+    lake = loaded_lake(spark, sf_dir, "sketches")
+    increments.active_customers(spark, lake, DATASET)
+    medallion.write_batch(spark, lake, DATASET, two_batches(spark, sf_dir)[1], "b1")
+    estimated = increments.active_customers(spark, lake, DATASET).withColumnRenamed("active_customers", "estimate")
+    exact = gold.active_customers(store.read_layer(spark, lake, "silver", DATASET))
+    close = F.abs(F.col("estimate") - F.col("active_customers")) <= F.lit(0.08) * F.col("active_customers") + 1
+    return exact.join(estimated, "metric_date", "full").select("metric_date", "active_customers", close.alias("within_bound"))
+
+
+@query
+def key_distribution_adaptive(spark, sf_dir):
+    """Log records, nine tenths of which share one key, over 16 partitions: salts set by a sketch even them out."""
+    spread = layout.distribute_adaptively(txn(spark, sf_dir), "logs", 16)
+    loads = spread.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("records"))
+    return loads.agg(
+        F.sum("records").alias("records"), F.count(F.lit(1)).alias("partitions"),
+        (F.max("records") < 2 * F.sum("records") / 16).alias("below_twice_the_mean"),
+    )
+
+
+def expired_lake(spark, sf_dir) -> tuple[Lake, str]:
+    """A lake of two batches whose raw layer has just lost the days past retention, ten days kept."""
+    lake = loaded_lake(spark, sf_dir, "expiry")
+    last = backfill.plan_of(txn(spark, sf_dir)).agg(F.max("day")).scalar()
+    limit = spark.range(1).select(F.date_sub(last, 10).cast("string")).first()[0]
+    store.expire(spark, lake, "raw", DATASET, limit)
+    return lake, limit
+
+
+@query
+def expired_partitions(spark, sf_dir):
+    """Days dropped from raw, and how many of them later reads still see."""
+    lake, _ = expired_lake(spark, sf_dir)
+    left = store.read_raw(spark, lake, DATASET).select(F.to_date("arrived_at").cast("string").alias("day")).distinct().withColumn("seen", F.lit(1))
+    days = store.expired_partitions(spark, lake, "raw", DATASET).select("day").distinct()
+    return days.join(left, "day", "left").select("day", F.coalesce("seen", F.lit(0)).alias("seen"))
+
+
+@query
+def live_after_expiry(spark, sf_dir):
+    """What an expiry leaves in raw and, untouched, in silver."""
+    lake, _ = expired_lake(spark, sf_dir)
+    layers = {"raw": store.read_raw(spark, lake, DATASET), "silver": store.read_layer(spark, lake, "silver", DATASET)}
+    return drift.union_versions([
+        frame.agg(F.count(F.lit(1)).alias("records"), F.min("arrived_at").alias("first")).select(F.lit(name).alias("layer"), "records", "first")
+        for name, frame in layers.items()
+    ])
+
+
 # --- streams --------------------------------------------------------------------
 
 
+@query
+def stream_progress(spark, sf_dir):
+    """Progress rows that a listener stored of a stream over three files, one a batch."""
+    lake = new_lake(spark, "progress")
+    folder = f"{shared_folder(spark, 'progress-in')}/files"
+    rows = payloads(spark, sf_dir)
+    for part in range(3):
+        rows.filter(F.col("seq") % 3 == part).coalesce(1).write.mode("append").options(**store.JSON_OPTIONS).json(folder)
+    listener = progress.ProgressLog(spark, lake)
+    spark.streams.addListener(listener)
+    try:
+        source = streams.payload_files(spark, folder, max_files=1)
+        ingest.run_available(ingest.landing(source, lake, DATASET).queryName(f"landing-{lake.root.rsplit('-', 1)[-1]}"))
+        progress.wait_for(spark, lake, 3)
+    finally:
+        spark.streams.removeListener(listener)
+    found = progress.read_progress(spark, lake).filter("input_rows > 0")
+    return found.select("input_rows", "dropped_by_watermark", (F.col("offsets_behind") >= 0).alias("lag_known"))
+
+
+
 def txn_stream(spark, sf_dir) -> DataFrame:
     events = streams.table_stream(spark, sf_dir, "events")
     return fixtures.shape_transactions(events, fixtures.table(spark, sf_dir, "customer"))
@@ -983,7 +1176,7 @@ def txn_stream(spark, sf_dir) -> DataFrame:
 def stream_landing(spark, sf_dir):
     lake = new_lake(spark, "stream-landing")
     ingest.run_available(ingest.landing(wire.to_payload(txn_stream(spark, sf_dir)), lake, DATASET))
-    rows = spark.read.schema(schemas.RAW_SCHEMA).json(lake.path("raw", DATASET))
+    rows = store.read_layer(spark, lake, "raw", DATASET, schemas.RAW_SCHEMA.toDDL())
     return wire.parse_payloads(rows).select("seq", "arrived_at", "event_id", "amount", "event_ts")
 
 
@@ -991,7 +1184,7 @@ def stream_landing(spark, sf_dir):
 def stream_bronze(spark, sf_dir):
     lake = new_lake(spark, "stream-bronze")
     ingest.run_available(ingest.bronze(txn_stream(spark, sf_dir), lake, DATASET))
-    return spark.read.parquet(lake.path("bronze", DATASET)).select(
+    return store.read_layer(spark, lake, "bronze", DATASET).select(
         "seq", "event_id", "amount_gbp", "country_name", "event_ts", "is_fraud",
         "year", "month", "day",
     )
@@ -1001,8 +1194,8 @@ def stream_bronze(spark, sf_dir):
 def stream_quarantine(spark, sf_dir):
     lake = new_lake(spark, "stream-quarantine")
     ingest.run_available(ingest.quarantine(txn_stream(spark, sf_dir), lake, DATASET))
-    stored = spark.read.schema("seq BIGINT, event_id STRING, reasons ARRAY<STRING>, quarantine_reason STRING")
-    return stored.json(lake.path("quarantine", DATASET)).select(
+    stored = store.read_layer(spark, lake, "quarantine", DATASET, "seq BIGINT, event_id STRING, reasons ARRAY<STRING>, quarantine_reason STRING")
+    return stored.select(
         "seq", "event_id", joined_reasons(), "quarantine_reason"
     )
 
@@ -1011,14 +1204,14 @@ def stream_quarantine(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     lake = new_lake(spark, "stream-dedup")
     ingest.run_available(ingest.deduplicated(txn_stream(spark, sf_dir), lake, DATASET))
-    return spark.read.parquet(lake.path("bronze", f"{DATASET}_distinct")).select("event_id")
+    return store.read_layer(spark, lake, "bronze", f"{DATASET}_distinct").select("event_id")
 
 
 @query
 def stream_silver(spark, sf_dir):
     lake = new_lake(spark, "stream-silver")
     ingest.run_available(ingest.silver(txn_stream(spark, sf_dir), lake, DATASET))
-    return spark.read.parquet(lake.path("silver", DATASET)).select(
+    return store.read_layer(spark, lake, "silver", DATASET).select(
         "event_id", "seq", "amount_gbp", "email", "year", "month", "day"
     )
 

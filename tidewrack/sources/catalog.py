@@ -31,10 +31,14 @@ def register_lake(spark: SparkSession, lake: Lake, datasets: list[str]) -> list[
     Gold views hold all datasets, told apart by their column ``dataset``.
     """
     tables = {
-        f"{layer}_{name}": spark.read.parquet(lake.path(layer, name)).drop("part")
-        for layer in ("bronze", "silver", "gold")
-        for name in (domain.GOLD_DATASETS if layer == "gold" else datasets)
-        if store.exists(spark, lake.path(layer, name))
+        f"{layer}_{name}": store.read_layer(spark, lake, layer, name)
+        for layer in ("bronze", "silver")
+        for name in datasets
+        if store.stored_layer(spark, lake, layer, name)
     }
+    for name in domain.GOLD_DATASETS:
+        frame = store.read_gold_datasets(spark, lake, name)
+        if frame is not None:
+            tables[f"gold_{name}"] = frame
     register(tables)
     return sorted(tables)

@@ -13,9 +13,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewrack import domain
 from tidewrack.operators import dedupe, enrich, quality
-from tidewrack.operators.gold import GOLD
 from tidewrack.plans import medallion
 from tidewrack.sources import lake as store
+from tidewrack.sources.commits import PUBLISHED, QUARANTINED
 from tidewrack.sources.lake import Lake
 
 
@@ -55,6 +55,15 @@ def distinct_events(events: DataFrame, dataset: str, horizon: str = domain.DEDUP
     return rows.withWatermark("event_ts", horizon).dropDuplicatesWithinWatermark(["event_id"])
 
 
+def batch_name(batch: DataFrame, name: str, batch_id: int) -> str:
+    """A micro-batch's name in the lake: the query's name, the id that its checkpoint gives it, and its number.
+
+    The same after a restart, another for a second query or a new checkpoint.
+    """
+    run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{name}-{run}-{batch_id}"
+
+
 def deduplicated(events: DataFrame, lake: Lake, dataset: str) -> DataStreamWriter:
     """Accepted rows, one per id over the whole stored history, to a Parquet table.
 
@@ -65,70 +74,55 @@ def deduplicated(events: DataFrame, lake: Lake, dataset: str) -> DataStreamWrite
     rows = enrich.derive(quality.accepted_rows(events, dataset), F.col("arrived_at"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, name, unique = batch.sparkSession, f"distinct-{batch_id}", dedupe.keep_first(batch)
-        if store.folders(spark, f"{lake.path('bronze', table)}/{'*/' * len(lake.partitions)}batch=*"):
-            stored = spark.read.parquet(lake.path("bronze", table)).filter(F.col("batch") != name)
-            unique = dedupe.skip_existing(unique, stored)
-        store.write_batch(unique, lake, "bronze", table, "event_ts", name)
+        name = batch_name(batch, "distinct", batch_id)
+        medallion.add_new_ids(batch.sparkSession, lake, "bronze", table, dedupe.keep_first(batch), "event_ts", name)
 
     return rows.writeStream.foreachBatch(write).option(
         "checkpointLocation", lake.checkpoint_path(f"distinct-{dataset}")
     )
 
 
-def _silver_batch(lake: Lake, dataset: str):
-    """Writer of one micro-batch of accepted, enriched rows to masked silver."""
+def _silver_batch(lake: Lake, dataset: str, name: str, gate: float | None):
+    """Writer of one micro-batch of events: valid rows, enriched, to masked silver."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        unique = dedupe.keep_first(batch)
+        spark, state = batch.sparkSession, PUBLISHED
+        if gate is not None:
+            score = quality.quality_report(batch, dataset).first()["score"]
+            state = PUBLISHED if score >= gate else QUARANTINED
+        rows = enrich.enrich(quality.accepted_rows(batch, dataset), F.col("arrived_at"))
         medallion.add_to_silver(
-            batch.sparkSession, lake, dataset, unique, "event_ts", f"stream-{batch_id}"
+            spark, lake, dataset, dedupe.keep_first(rows), "event_ts", batch_name(batch, name, batch_id), state
         )
 
     return write
 
 
-def silver(events: DataFrame, lake: Lake, dataset: str) -> DataStreamWriter:
+def silver(events: DataFrame, lake: Lake, dataset: str, gate: float | None = None) -> DataStreamWriter:
     """Masked silver, one row per id over the whole history.
 
-    Inside a micro-batch the first copy wins; ids stored by earlier batches are
-    skipped. A retried micro-batch replaces its own files.
+    Inside a micro-batch the first copy wins; ids stored by other batches, of this or
+    any other writer, are skipped. A retried micro-batch replaces its own rows. With ``gate``, micro-batches
+    that score below it are quarantined.
     """
-    rows = enrich.enrich(quality.accepted_rows(events, dataset), F.col("arrived_at"))
-    return rows.writeStream.foreachBatch(_silver_batch(lake, dataset)).option(
+    write = _silver_batch(lake, dataset, "silver", gate)
+    return events.writeStream.foreachBatch(write).option(
         "checkpointLocation", lake.checkpoint_path(f"silver-{dataset}")
     )
 
 
-def daily_gold(events: DataFrame, lake: Lake, dataset: str) -> DataStreamWriter:
-    """Silver plus all six gold tables.
+def daily_gold(events: DataFrame, lake: Lake, dataset: str, gate: float | None = None) -> DataStreamWriter:
+    """Silver plus all six gold tables, kept up by the sums of each micro-batch.
 
-    Tables by date are recomputed for the dates a micro-batch touched, from all of their stored
-    silver rows, so late events correct older dates. The tables by customer,
-    country and merchant are recomputed from the two or three silver columns they need.
+    Late events correct older dates. Stored silver is not read again.
     """
-    silver_writer = _silver_batch(lake, dataset)
-    rows = enrich.enrich(quality.accepted_rows(events, dataset), F.col("arrived_at"))
+    write_silver = _silver_batch(lake, dataset, "gold", gate)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            silver_writer(batch, batch_id)
-            # calendar dates of one micro-batch: bounded by time, not by rows
-            dates = F.broadcast(batch.select("event_date").distinct())
-            touched = (
-                spark.read.parquet(lake.path("silver", dataset))
-                .join(dates, "event_date", "left_semi")
-            )
-            by_date = ("daily_revenue", "fraud_summary", "system_performance")
-            store.write_gold({name: GOLD[name](touched) for name in by_date}, lake, dataset, touched_only=True)
-            whole = spark.read.parquet(lake.path("silver", dataset))
-            store.write_gold({name: GOLD[name](whole) for name in GOLD if name not in by_date}, lake, dataset)
-        finally:
-            batch.unpersist()
+        write_silver(batch, batch_id)
+        medallion.publish_gold(batch.sparkSession, lake, dataset)
 
-    return rows.writeStream.foreachBatch(write).option(
+    return events.writeStream.foreachBatch(write).option(
         "checkpointLocation", lake.checkpoint_path(f"gold-{dataset}")
     )
 
@@ -137,7 +131,7 @@ def _file_sink(
     rows: DataFrame, lake: Lake, layer: str, dataset: str, time_column: str, name: str
 ) -> DataStreamWriter:
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(batch, lake, layer, dataset, time_column, f"{name}-{batch_id}")
+        store.write_batch(batch, lake, layer, dataset, time_column, batch_name(batch, name, batch_id))
 
     return rows.writeStream.foreachBatch(write).option(
         "checkpointLocation", lake.checkpoint_path(f"{name}-{dataset}")
