@@ -5,15 +5,16 @@ piece ends. Only these windows are counted. An occurrence of a shorter phrase is
 beginning of exactly one window, so Spark's ROLLUP over the window's columns sums the counts
 of all shorter phrases, and of all words, from those of the windows.
 
-Most windows are rare. A first scan adds up, in a table of fixed size, the counts of words and of
-word pairs by their hash. What shares a bucket can only make a count larger, so where a bucket is
-below the least frequency, no phrase reaches across: windows are padded from there on as
-well, and become equal. That loses nothing, whatever the size of the table.
+Most windows are rare. Two scans before add up, in tables of fixed size, counts by hash: first of words and
+word pairs, then of longer stretches all of whose pairs may be frequent. What shares a bucket can
+only make a count larger, so where a bucket is below the least frequency, no phrase reaches across:
+windows are padded from there on as well, and become equal. That loses nothing, whatever
+the size of the tables; counts come from the windows alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ TABLE_BITS = 24
 PAGE_BITS = 16
 #: Text bytes that a task counts at a time.
 AT_ONCE = 8 << 20
+#: Different windows of a language that a task gathers before it hands them on.
+HELD = 2_000_000
 #: ASCII characters that end a piece; blank and tab part words.
 ENDS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(bytes(range(65, 91)) + ENDS + b"\t", bytes(range(97, 123)) + b"." * len(ENDS) + b" ")
@@ -54,9 +57,13 @@ def _hashes(lang: str, different: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in different), np.uint64, len(different))
 
 
-def _pair_buckets(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
-    h = (first * _MIX) ^ (second + (first >> np.uint64(29)))
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+def _longer(stretch: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of a stretch and the word after it."""
+    h = (stretch * _MIX) ^ (word + (stretch >> np.uint64(29)))
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _buckets(h: np.ndarray, bits: int) -> np.ndarray:
     return (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
@@ -87,27 +94,68 @@ def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[byte
     yield from held.items()
 
 
-def _counted(bits: int):
-    """(page, counts): a page of the table as a task saw it, a byte for each bucket.
+def _pages(table: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(page, counts): the table's pages with anything in them, a byte for each bucket.
 
     A byte holds 255 at most, which is over any sum of interest.
     """
+    pack, size = zstandard.ZstdCompressor(level=1).compress, min(len(table), 1 << PAGE_BITS)
+    for page in range(len(table) // size):
+        part = table[page * size : (page + 1) * size]
+        if part.any():
+            yield pa.RecordBatch.from_arrays([pa.array([page], pa.int32()), pa.array([pack(np.minimum(part, 255).astype(np.uint8).tobytes())], pa.binary())], ["page", "counts"])
+
+
+def _counted(bits: int):
+    """Counts of words and word pairs by bucket, as a task sees them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, pack = np.zeros(1 << bits, np.int32), zstandard.ZstdCompressor(level=1).compress
+        table = np.zeros(1 << bits, np.int32)
         for lang, texts in _by_lang(batches):
             different, at = _numbered(words_of(texts))
             h = _hashes(lang, different)
             counts = np.bincount(at, minlength=len(different))
             counts[0] = 0
-            np.add.at(table, (h >> np.uint64(64 - bits)).astype(np.int64), counts.astype(np.int32))
+            np.add.at(table, _buckets(h, bits), counts.astype(np.int32))
             pairs = np.flatnonzero((at[:-1] != 0) & (at[1:] != 0))
-            np.add.at(table, _pair_buckets(h[at[pairs]], h[at[pairs + 1]], bits), np.int32(1))
-        size = min(1 << bits, 1 << PAGE_BITS)
-        for page in range(len(table) // size):
-            part = table[page * size : (page + 1) * size]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([page], pa.int32()), pa.array([pack(np.minimum(part, 255).astype(np.uint8).tobytes())], pa.binary())], ["page", "counts"])
+            np.add.at(table, _buckets(_longer(h[at[pairs]], h[at[pairs + 1]]), bits), np.int32(1))
+        yield from _pages(table)
+
+    return run
+
+
+def _stretched(lang: str, different: list[bytes], at: np.ndarray, longest: int, bits: int, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, Callable[[np.ndarray], None]]]:
+    """Lengths 1, 2 ... ``longest`` with the positions that lead a stretch of this many words which ``words`` (the
+    table of words and pairs) doesn't rule out, and the stretches' hashes. The last item says which of them go on.
+    """
+    h = _hashes(lang, different)
+    known = words[_buckets(h, bits)]
+    known[0] = False
+    pairs = np.flatnonzero(known[at[:-1]] & known[at[1:]]) if len(at) else np.zeros(0, np.int64)
+    joined = np.zeros(len(at) + 1, bool)
+    joined[pairs] = words[_buckets(_longer(h[at[pairs]], h[at[pairs + 1]]), bits)]
+    lead = np.flatnonzero(known[at])
+    stretch = h[at[lead]]
+    for length in range(1, longest + 1):
+        if length > 1:
+            on = joined[lead + length - 2]
+            lead, stretch = lead[on], stretch[on]
+            stretch = _longer(stretch, h[at[lead + length - 1]])
+        going = np.ones(len(lead), bool)
+        yield length, lead, stretch, lambda keep, going=going: np.copyto(going, keep)
+        lead, stretch = lead[going], stretch[going]
+
+
+def _counted_further(longest: int, bits: int, packed: np.ndarray):
+    """Counts of stretches of three words and more by bucket, as a task sees them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, table = np.unpackbits(packed).astype(bool), np.zeros(1 << bits, np.int32)
+        for lang, texts in _by_lang(batches):
+            for length, _, stretch, _ in _stretched(lang, *_numbered(words_of(texts)), longest, bits, words):
+                if length > 2:
+                    np.add.at(table, _buckets(stretch, bits), np.int32(1))
+        yield from _pages(table)
 
     return run
 
@@ -128,52 +176,71 @@ def _summed(least: int):
     return run
 
 
-def frequent_buckets(rows: DataFrame, least: int, bits: int) -> np.ndarray:
-    """Whether each bucket's count reaches ``least``: 2^bits truth values, gathered as packed pages."""
+def frequent_buckets(counts: DataFrame, least: int, bits: int) -> np.ndarray:
+    """Whether each bucket's count reaches ``least``: 2^bits truth values as bits, gathered in pages."""
     if least > 255:  # a task's byte can't show it
-        return np.ones(1 << bits, bool)
-    counts = rows.mapInArrow(_counted(bits), "page int, counts binary").repartition("page")
-    pages = counts.mapInArrow(_summed(least), "page int, bits binary").collect()  # 2^bits bits
+        return np.full(max(1, 1 << (bits - 3)), 255, np.uint8)
+    pages = counts.repartition("page").mapInArrow(_summed(least), "page int, bits binary").collect()  # 2^bits bits
     size = min(1 << bits, 1 << PAGE_BITS)
     table = np.zeros(((1 << bits) // size, size >> 3), np.uint8)
     for row in pages:
         table[row["page"]] = np.frombuffer(row["bits"], np.uint8)
-    return np.unpackbits(table.ravel()).astype(bool)
+    return table.ravel()
+
+
+def _united(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal rows as one, with the sum of their counts."""
+    order = np.lexsort(rows.T[::-1])
+    rows, counts = rows[order], counts[order]
+    start = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(1)]) if len(rows) else np.zeros(0, np.int64)
+    return rows[start], np.add.reduceat(counts, start) if len(start) else counts
+
 
+class _Windows:
+    """Padded windows of one language and their counts, as a task gathers them."""
 
-def _windows(longest: int, frequent: np.ndarray, bits: int):
-    """(lang, w1 ... , c): padded windows and their counts, as far as a task has them at once."""
-    packed = np.packbits(frequent)
+    def __init__(self, longest: int) -> None:
+        self.number = {b"": 0}
+        self.rows, self.counts = np.zeros((0, longest), np.int32), np.zeros(0, np.int64)
+
+    def add(self, different: list[bytes], lead: np.ndarray, counts: np.ndarray) -> None:
+        used = np.unique(lead)
+        renumbered = np.zeros(len(different), np.int32)
+        renumbered[used] = [self.number.setdefault(different[i] if i else b"", len(self.number)) for i in used.tolist()]
+        self.rows, self.counts = _united(np.concatenate([self.rows, renumbered[lead]]), np.concatenate([self.counts, counts]))
+
+    def batches(self, lang: str, names: list[str]) -> Iterator[pa.RecordBatch]:
+        vocabulary = pa.array([w.decode(errors="replace") for w in self.number])
+        for first in range(0, len(self.rows), 50_000):
+            part = self.rows[first : first + 50_000]
+            columns = [vocabulary.take(pa.array(part[:, i])) for i in range(part.shape[1])]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), *columns, pa.array(self.counts[first : first + 50_000])], names)
+
+
+def _windows(longest: int, bits: int, words_packed: np.ndarray, further_packed: np.ndarray):
+    """(lang, w1 ... , c): different padded windows of a task and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(packed).astype(bool)
+        words, further = (np.unpackbits(packed).astype(bool) for packed in (words_packed, further_packed))
         names = ["lang", *[f"w{i + 1}" for i in range(longest)], "c"]
+        gathered: dict[str, _Windows] = {}
         for lang, texts in _by_lang(batches):
             different, at = _numbered(words_of(texts))
-            h = _hashes(lang, different)
-            known = table[(h >> np.uint64(64 - bits)).astype(np.int64)]
-            known[0] = False
-            counted = np.flatnonzero(at != 0)
-            lead = np.zeros((len(counted), longest), np.int32)  # 0 pads
-            padded = np.r_[at, np.zeros(longest, np.int32)]
-            goes_on = known[at[counted]]
-            lead[:, 0] = np.where(goes_on, at[counted], 0)
-            for i in range(1, longest):
-                last, this = padded[counted + i - 1], padded[counted + i]
-                goes_on = goes_on & known[this]
-                on = np.flatnonzero(goes_on)
-                goes_on[on] = table[_pair_buckets(h[last[on]], h[this[on]], bits)]
-                lead[:, i] = np.where(goes_on, this, 0)
-            order = np.lexsort(lead.T[::-1])
-            lead = lead[order]
-            start = np.flatnonzero(np.r_[True, (lead[1:] != lead[:-1]).any(1)]) if len(lead) else np.zeros(0, np.int64)
-            counts = np.diff(np.r_[start, len(lead)])
-            lead = lead[start]
-            vocabulary = pa.array(["", *(w.decode(errors="replace") for w in different[1:])])
-            for first in range(0, len(lead), 50_000):
-                part = lead[first : first + 50_000]
-                columns = [vocabulary.take(pa.array(part[:, i])) for i in range(longest)]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), *columns, pa.array(counts[first : first + 50_000].astype(np.int64))], names)
+            windows = np.zeros((len(at), longest), np.int32)  # 0 pads
+            for length, lead, stretch, go_on in _stretched(lang, different, at, longest, bits, words):
+                if length > 2:
+                    known = further[_buckets(stretch, bits)]
+                    go_on(known)
+                    lead = lead[known]
+                windows[lead, length - 1] = at[lead + length - 1]
+            rows, counts = _united(windows[at != 0], np.ones(int((at != 0).sum()), np.int64))
+            if len(rows):
+                own = gathered.setdefault(lang, _Windows(longest))
+                own.add(different, rows, counts)
+                if len(own.rows) > HELD:
+                    yield from gathered.pop(lang).batches(lang, names)
+        for lang, own in gathered.items():
+            yield from own.batches(lang, names)
 
     return run
 
@@ -183,7 +250,9 @@ def phrase_counts(docs: DataFrame, text: str, lang: str, longest: int, least: in
     rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).cast("binary").alias("body")).filter(F.length("body") > 0)
     columns = [f"w{i + 1}" for i in range(longest)]
     shape = ", ".join(["lang string", *[f"{c} string" for c in columns], "c long"])
-    windows = rows.mapInArrow(_windows(longest, frequent_buckets(rows, least, bits), bits), shape)
+    words = frequent_buckets(rows.mapInArrow(_counted(bits), "page int, counts binary"), least, bits)
+    further = frequent_buckets(rows.mapInArrow(_counted_further(longest, bits, words), "page int, counts binary"), least, bits)
+    windows = rows.mapInArrow(_windows(longest, bits, words, further), shape)
     sums = windows.rollup("lang", *columns).agg(F.grouping_id().alias("g"), F.sum("c").alias("f")).filter("lang IS NOT NULL")
     # grouping_id has a bit for each column that is summed over, so k words are left where it is 2^(longest - k) - 1
     k = F.lit(0)
