@@ -123,35 +123,73 @@ def _scan(buckets: int):
     return run
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """Positions of a bucket's anchors that occur in more than one text, with those known before."""
-    unpack = zstandard.ZstdDecompressor().decompress
-    keys, places, hashes, marks, done_key, done = [], [], [], [], [], []
-    for key, body in zip(table.column("key").to_pylist(), table.column("body")):
-        data = body.as_py()
-        if key is not None:
-            done_key.append(key), done.append(data)
-            continue
-        data = unpack(data)
-        rows, n = struct.unpack("<qq", data[:16])
-        own = np.frombuffer(data, "<i8", rows, 16)
-        at = 16 + 8 * rows
-        keys.append(own[np.frombuffer(data, "<u4", n, at)])
-        places.append(np.frombuffer(data, "<i4", n, at + 4 * n))
-        hashes.append(np.frombuffer(data, "<u4", n, at + 8 * n))
-        marks.append(np.unpackbits(np.frombuffer(data, np.uint8, offset=at + 12 * n), count=n).astype(bool))
-    if keys:
-        key, place, h, mark = map(np.concatenate, (keys, places, hashes, marks))
-        order = np.argsort(h, kind="stable")
-        start = np.flatnonzero(np.r_[True, np.diff(h[order]) != 0])
-        sorted_key = key[order]
-        shared = (np.maximum.reduceat(sorted_key, start) != np.minimum.reduceat(sorted_key, start)) | np.logical_or.reduceat(mark[order], start)
-        hit = order[np.repeat(shared, np.diff(np.r_[start, len(h)]))]
-        hit = hit[np.lexsort((place[hit], key[hit]))]
-        if len(hit):
-            for part in np.split(hit, np.flatnonzero(np.diff(key[hit])) + 1):
-                done_key.append(int(key[part[0]])), done.append(place[part].astype("<i4").tobytes())
-    return pa.table({"key": pa.array(done_key, pa.int64()), "places": pa.array(done, pa.binary())})
+def _packed_places(key: np.ndarray, place: np.ndarray) -> bytes:
+    """Places by key: the keys, how many places each has, the places."""
+    order = np.lexsort((place, key))
+    key, place = key[order], place[order]
+    start = _starts(key)
+    body = struct.pack("<qq", len(start), len(key)) + key[start].astype("<i8").tobytes() + np.diff(np.r_[start, len(key)]).astype("<i4").tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(body + place.astype("<i4").tobytes())
+
+
+def _unpacked_places(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    body = zstandard.ZstdDecompressor().decompress(packed)
+    keys, n = struct.unpack("<qq", body[:16])
+    key = np.frombuffer(body, "<i8", keys, 16)
+    return np.repeat(key, np.frombuffer(body, "<i4", keys, 16 + 8 * keys)), np.frombuffer(body, "<i4", n, 16 + 12 * keys)
+
+
+def _meet(groups: int):
+    """Positions of a bucket's anchors that occur in more than one text, with those known before.
+
+    One record per group of texts, so that records don't grow with texts times buckets.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        unpack = zstandard.ZstdDecompressor().decompress
+        keys, places, hashes, marks, done_key, done = [], [], [], [], [], []
+        for key, body in zip(table.column("key").to_pylist(), table.column("body")):
+            data = body.as_py()
+            if key is not None:
+                done.append(np.frombuffer(data, "<i4"))
+                done_key.append(np.full(len(done[-1]), key, np.int64))
+                continue
+            data = unpack(data)
+            rows, n = struct.unpack("<qq", data[:16])
+            own = np.frombuffer(data, "<i8", rows, 16)
+            at = 16 + 8 * rows
+            keys.append(own[np.frombuffer(data, "<u4", n, at)])
+            places.append(np.frombuffer(data, "<i4", n, at + 4 * n))
+            hashes.append(np.frombuffer(data, "<u4", n, at + 8 * n))
+            marks.append(np.unpackbits(np.frombuffer(data, np.uint8, offset=at + 12 * n), count=n).astype(bool))
+        if keys:
+            key, place, h, mark = map(np.concatenate, (keys, places, hashes, marks))
+            order = np.argsort(h, kind="stable")
+            start = np.flatnonzero(np.r_[True, np.diff(h[order]) != 0])
+            sorted_key = key[order]
+            shared = (np.maximum.reduceat(sorted_key, start) != np.minimum.reduceat(sorted_key, start)) | np.logical_or.reduceat(mark[order], start)
+            hit = order[np.repeat(shared, np.diff(np.r_[start, len(h)]))]
+            done_key.append(key[hit])
+            done.append(place[hit])
+        key, place = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (done_key, done))
+        group = key % groups
+        order = np.argsort(group, kind="stable")
+        cuts = _starts(group[order])
+        out = [(int(group[part[0]]), _packed_places(key[part], place[part])) for part in (np.split(order, cuts[1:]) if len(order) else [])]
+        return pa.table({"part": pa.array([o[0] for o in out], pa.int64()), "body": pa.array([o[1] for o in out], pa.binary())})
+
+    return run
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """(key, places) of a group's texts from its records of all buckets."""
+    pairs = [_unpacked_places(body.as_py()) for body in table.column("body")]
+    key, place = (np.concatenate(c) for c in zip(*pairs))
+    order = np.lexsort((place, key))
+    key, place = key[order], place[order]
+    start = _starts(key)
+    ends = np.r_[start[1:], len(key)]
+    return pa.table({"key": pa.array(key[start]), "places": pa.array([place[a:b].astype("<i4").tobytes() for a, b in zip(start, ends)], pa.binary())})
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +215,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = np.frombuffer(text.as_py() or b"", np.uint8)
             if len(data) < WINDOW:
                 continue
-            every = np.unique(np.frombuffer(b"".join(found.as_py()), "<i4"))
+            every = np.unique(np.frombuffer(found.as_py(), "<i4"))
             every = every[every + GRAM <= len(data)]
             hashes = _gram_hashes(data)
             for start in range(0, len(every), 20_000):
@@ -348,8 +386,8 @@ def repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     buckets = max(1, -(-size // (18 * BUCKET_ANCHORS)))
     records = taking_part.select("key", "data").mapInArrow(_scan(buckets), "bucket long, key long, body binary")
-    places = records.groupBy("bucket").applyInArrow(_meet, "key long, places binary")
-    gathered = places.groupBy("key").agg(F.collect_list("places").alias("places"))
+    places = records.groupBy("bucket").applyInArrow(_meet(buckets), "part long, body binary")
+    gathered = places.groupBy("part").applyInArrow(_gathered, "key long, places binary")
     # of equal texts only the smallest id looks for repeats: the others lose everything
     texts = stored(taking_part.select("id", "key", F.sha2("data", 256).alias("sha"), F.length("data").alias("n")), "repeat-texts")
     firsts = stored(texts.groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("sha", "first"), "repeat-firsts")
