@@ -199,22 +199,26 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "
 
     Linked are texts whose sets of ``words``-word shingles have a Jaccard similarity of
     ``similarity`` or more. So similar sets differ by more fingerprint bits than can be
-    probed, so candidates come from the sets themselves, all of them. Texts without words
-    are one component. Of rows that repeat the smallest id, one stays.
+    probed, so pairs meet over lists of shingles; fingerprints of 128 bits then tell
+    those that may be similar from those that only share a passage, and sets decide. Texts without words
+    are one component. Of rows that repeat the smallest id, one stays: that of the longest text, then the least one.
     """
 
-    @F.pandas_udf("long")
-    def digest(texts: pd.Series) -> pd.Series:
-        return pd.Series([near_sets.set_key(near_sets.shingle_set(t, words)) for t in texts], dtype="int64")
+    @F.pandas_udf("f long, p long, q long")
+    def digest(texts: pd.Series) -> pd.DataFrame:
+        sets = [near_sets.shingle_set(t, words) for t in texts]
+        return pd.DataFrame([(near_sets.set_key(s), *near_sets.set_print(s)) for s in sets], columns=["f", "p", "q"], dtype="int64")
 
     row, bits = unused(docs, "row_number_"), unused(docs, "shingles_key_")
     whole = stored(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(bits, digest(F.col(text))), "fingerprinted")
-    rows = whole.select(F.col(row).alias("uid"), F.col(id_column).alias("id"), F.col(bits).alias("f"))
-    node_of = stored(rows.groupBy("f").agg(F.min("uid").alias("node")), "near-nodes")
-    texts = whole.select(F.col(row).alias("node"), F.col(text).alias("text"))
-    nodes = stored(texts.join(node_of.filter("f <> 0").select("node"), "node", "left_semi"), "near-texts")
-    roots = components(stored(near_sets.links(nodes, words, similarity), "near-links"), "near-components")
+    rows = whole.select(F.col(row).alias("uid"), F.col(id_column).alias("id"), F.col(bits).getField("f").alias("f"), F.length(text).alias("n"), F.xxhash64(text).alias("h"))
+    first_of = F.min(F.struct("uid", F.col("p").alias("p"), F.col("q").alias("q"))).alias("x")
+    prints = whole.select(F.col(row).alias("uid"), F.col(bits).getField("f").alias("f"), F.col(bits).getField("p").alias("p"), F.col(bits).getField("q").alias("q"))
+    node_of = stored(prints.groupBy("f").agg(first_of).select("f", F.col("x.uid").alias("node"), "x.p", "x.q"), "near-nodes")
+    real = node_of.filter("f <> 0")
+    nodes = whole.select(F.col(row).alias("node"), F.col(text).alias("text")).join(real.select("node"), "node", "left_semi")
+    roots = components(near_sets.links(nodes, real.select("node", "p", "q"), words, similarity), "near-components")
     rooted = stored(node_of.join(roots, "node", "left").select("f", F.coalesce("root", "node").alias("root")), "near-roots")
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", F.negative(F.coalesce("n", F.lit(0))).alias("n"), "h", "uid"))
     stay = stored(rows.join(rooted, "f").groupBy("root").agg(first.alias("first")).select(F.col("first.uid").alias(row)), "near-kept")
     return whole.join(stay, row, "left_semi").select(*docs.columns)

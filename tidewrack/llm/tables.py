@@ -22,6 +22,14 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of ``stored`` frames that nothing reads any more."""
+    for frame in frames:
+        for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
+            path = frame.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(frame.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def unused(frame: DataFrame, base: str) -> str:
     """A column name that ``frame`` doesn't have."""
     while base.lower() in {c.lower() for c in frame.columns}:
