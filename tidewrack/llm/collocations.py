@@ -202,27 +202,70 @@ class _Windows:
     def __init__(self, longest: int) -> None:
         self.number = {b"": 0}
         self.rows, self.counts = np.zeros((0, longest), np.int32), np.zeros(0, np.int64)
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = 0
 
     def add(self, different: list[bytes], lead: np.ndarray, counts: np.ndarray) -> None:
         used = np.unique(lead)
         renumbered = np.zeros(len(different), np.int32)
-        renumbered[used] = [self.number.setdefault(different[i] if i else b"", len(self.number)) for i in used.tolist()]
-        self.rows, self.counts = _united(np.concatenate([self.rows, renumbered[lead]]), np.concatenate([self.counts, counts]))
+        renumbered[used] = [self.number.setdefault(different[i], len(self.number)) for i in used.tolist()]
+        self.waiting.append((renumbered[lead], counts))
+        self.held += len(lead)
+        if self.held > max(200_000, len(self.rows)):  # so that each row is sorted a few times only
+            self.unite()
+
+    def unite(self) -> None:
+        rows, counts = zip(*self.waiting) if self.waiting else ((), ())
+        self.rows, self.counts = _united(np.concatenate([self.rows, *rows]), np.concatenate([self.counts, *counts]))
+        self.waiting, self.held = [], 0
 
     def batches(self, lang: str, names: list[str]) -> Iterator[pa.RecordBatch]:
+        self.unite()
         vocabulary = pa.array([w.decode(errors="replace") for w in self.number])
         for first in range(0, len(self.rows), 50_000):
             part = self.rows[first : first + 50_000]
             columns = [vocabulary.take(pa.array(part[:, i])) for i in range(part.shape[1])]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), *columns, pa.array(self.counts[first : first + 50_000])], names)
 
+    def records(self, lang: str, parts: int) -> Iterator[pa.RecordBatch]:
+        """One record for each part that the windows are dealt to by their words' hash."""
+        self.unite()
+        words = list(self.number)
+        h, mixed = _hashes(lang, words), np.zeros(len(self.rows), np.uint64)
+        for i in range(self.rows.shape[1]):
+            mixed = _longer(mixed, h[self.rows[:, i]])
+        part = ((mixed >> np.uint64(17)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+            used, rows = np.unique(self.rows[some], return_inverse=True)
+            own = b" ".join(words[i] for i in used.tolist())  # no word has a blank; padding, if there, is first and empty
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(part[some[0]])], pa.int32()), pa.array([lang]), pa.array([own], pa.binary()), pa.array([rows.astype("<i4").tobytes()], pa.binary()), pa.array([self.counts[some].astype("<i8").tobytes()], pa.binary())],
+                ["part", "lang", "words", "rows", "counts"],
+            )
+
+
+def _gathered(longest: int):
+    """(lang, w1 ... , c): the different windows of the parts that a task gets, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["lang", *[f"w{i + 1}" for i in range(longest)], "c"]
+        gathered: dict[str, _Windows] = {}
+        for batch in batches:
+            for _, lang, words, rows, counts in zip(*(column.to_pylist() for column in batch.columns)):
+                own = gathered.setdefault(lang, _Windows(longest))
+                own.add(words.split(b" "), np.frombuffer(rows, "<i4").reshape(-1, longest), np.frombuffer(counts, "<i8"))
+        for lang, own in gathered.items():
+            yield from own.batches(lang, names)
+
+    return run
 
-def _windows(longest: int, bits: int, words_packed: np.ndarray, further_packed: np.ndarray):
-    """(lang, w1 ... , c): different padded windows of a task and their counts."""
+
+def _windows(longest: int, bits: int, words_packed: np.ndarray, further_packed: np.ndarray, parts: int):
+    """(part, lang, words, rows, counts): different padded windows of a task and their counts, packed by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, further = (np.unpackbits(packed).astype(bool) for packed in (words_packed, further_packed))
-        names = ["lang", *[f"w{i + 1}" for i in range(longest)], "c"]
         gathered: dict[str, _Windows] = {}
         for lang, texts in _by_lang(batches):
             different, at = _numbered(words_of(texts))
@@ -236,11 +279,11 @@ def _windows(longest: int, bits: int, words_packed: np.ndarray, further_packed:
             rows, counts = _united(windows[at != 0], np.ones(int((at != 0).sum()), np.int64))
             if len(rows):
                 own = gathered.setdefault(lang, _Windows(longest))
-                own.add(different, rows, counts)
+                own.add([b"", *different[1:]], rows, counts)
                 if len(own.rows) > HELD:
-                    yield from gathered.pop(lang).batches(lang, names)
+                    yield from gathered.pop(lang).records(lang, parts)
         for lang, own in gathered.items():
-            yield from own.batches(lang, names)
+            yield from own.records(lang, parts)
 
     return run
 
@@ -252,7 +295,9 @@ def phrase_counts(docs: DataFrame, text: str, lang: str, longest: int, least: in
     shape = ", ".join(["lang string", *[f"{c} string" for c in columns], "c long"])
     words = frequent_buckets(rows.mapInArrow(_counted(bits), "page int, counts binary"), least, bits)
     further = frequent_buckets(rows.mapInArrow(_counted_further(longest, bits, words), "page int, counts binary"), least, bits)
-    windows = rows.mapInArrow(_windows(longest, bits, words, further), shape)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = rows.mapInArrow(_windows(longest, bits, words, further, parts), "part int, lang string, words binary, rows binary, counts binary")
+    windows = packed.repartition("part").mapInArrow(_gathered(longest), shape)
     sums = windows.rollup("lang", *columns).agg(F.grouping_id().alias("g"), F.sum("c").alias("f")).filter("lang IS NOT NULL")
     # grouping_id has a bit for each column that is summed over, so k words are left where it is 2^(longest - k) - 1
     k = F.lit(0)
