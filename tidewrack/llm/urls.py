@@ -68,10 +68,21 @@ def _share(text: Column, pattern: str) -> Column:
 
 
 def _entropy(text: Column) -> Column:
+    """Bits per character: log2 n less the mean of log2 of each character's count, from runs of the sorted characters."""
     signs = F.split(text, "")
+
+    def bits(run: Column) -> Column:
+        return F.when(run > 0, run * F.log2(run.cast("double"))).otherwise(0.0)
+
+    def step(state: Column, sign: Column) -> Column:
+        again = F.struct(state["sign"].alias("sign"), (state["run"] + 1).alias("run"), state["total"].alias("total"))
+        new = F.struct(sign.alias("sign"), F.lit(1).alias("run"), (state["total"] + bits(state["run"])).alias("total"))
+        return F.when(state["sign"] == sign, again).otherwise(new)
+
+    start = F.struct(F.lit("").alias("sign"), F.lit(0).alias("run"), F.lit(0.0).alias("total"))
+    total = F.aggregate(F.array_sort(signs), start, step, lambda state: state["total"] + bits(state["run"]))
     size = F.greatest(F.size(signs), F.lit(1)).cast("double")
-    share = F.transform(F.array_distinct(signs), lambda c: F.size(F.filter(signs, lambda x: x == c)) / size)
-    return F.aggregate(share, F.lit(0.0), lambda total, p: total - p * F.log2(p))
+    return F.log2(size) - total / size
 
 
 def lexical(pages: DataFrame) -> DataFrame:
@@ -84,7 +95,7 @@ def lexical(pages: DataFrame) -> DataFrame:
         F.length("path").cast("double").alias("path_length"), F.regexp_count("path", F.lit("/")).cast("double").alias("depth"),
         F.size(labels).cast("double").alias("labels"), _share(url, "[0-9]").alias("digits"), _share(url, "[A-Z]").alias("capitals"),
         _share(url, "[-_]").alias("hyphens"), F.regexp_count(url, F.lit("[?&][^=&#]+=")).cast("double").alias("parameters"),
-        _entropy(F.substring(url, 1, 256)).alias("entropy"), F.regexp_count(url, F.lit("%[0-9A-Fa-f]{2}")).cast("double").alias("escaped"),
+        _entropy(url).alias("entropy"), F.regexp_count(url, F.lit("%[0-9A-Fa-f]{2}")).cast("double").alias("escaped"),
         F.contains(url, F.lit("#")).cast("double").alias("fragment"), F.startswith(url, F.lit("https://")).cast("double").alias("secure"),
         F.rlike("path", F.lit(r"\.[A-Za-z0-9]{1,5}$")).cast("double").alias("dotted_end"),
         F.element_at(labels, -1).alias("last_label"), F.concat_ws(".", F.slice(labels, -F.least(F.size(labels), F.lit(2)), 2)).alias("site"),
@@ -92,9 +103,9 @@ def lexical(pages: DataFrame) -> DataFrame:
 
 
 def _suffix_table(known: DataFrame, column: str, name: str) -> DataFrame:
-    """Smoothed blocked share and seen count (log) of each host suffix among labelled URLs."""
-    found = known.groupBy(column).agg(F.sum("label").alias("b"), F.count("*").alias("n"))
-    return stored(found.select(column, ((F.col("b") + 0.5) / (F.col("n") + 1)).alias(f"{name}_blocked"), F.log1p("n").alias(f"{name}_seen")), f"suffix-{name}")
+    """Blocked and seen counts of each host suffix among labelled URLs."""
+    found = known.groupBy(column).agg(F.sum("label").alias(f"{name}_b"), F.count("*").cast("double").alias(f"{name}_n"))
+    return stored(found, f"suffix-{name}")
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_column: str = "page_id", url: str = "url", trees: int = 10, depth: int = 4, max_labelled: int = MAX_LABELLED) -> DataFrame:
@@ -115,10 +126,14 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_column: str = "p
     last, site = _suffix_table(known, "last_label", "last"), _suffix_table(known, "site", "site")
 
     def described(frame: DataFrame) -> DataFrame:
+        """Features; a labelled row's own label has no part in its suffix statistics."""
         joined = frame.join(last, "last_label", "left").join(site, "site", "left")
-        return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
-            joined.fillna({"last_blocked": 0.5, "last_seen": 0.0, "site_blocked": 0.5, "site_seen": 0.0})
-        )
+        own = F.col("label").isNotNull().cast("double")
+        for name in ("last", "site"):
+            seen = F.coalesce(f"{name}_n", F.lit(0.0)) - own
+            blocked = F.coalesce(f"{name}_b", F.lit(0.0)) - F.coalesce("label", F.lit(0.0))
+            joined = joined.withColumns({f"{name}_blocked": (blocked + 0.5) / (seen + 1), f"{name}_seen": F.log1p(seen)})
+        return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(joined)
 
     share = min(1.0, max_labelled / sum(counts.values()))
     sample = known.filter(F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < share * 1_000_000)
@@ -126,7 +141,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_column: str = "p
     # a bounded number of rows, in an order that does not depend on how they were read
     learnt = learnt.repartitionByRange(4, F.hash(vector_to_array("features")), "label").sortWithinPartitions(F.hash(vector_to_array("features")), "label")
     model: GBTClassificationModel = GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=32, stepSize=0.3, seed=7, labelCol="label").fit(learnt)
-    rest = model.transform(described(rows.filter("by_rule is null"))).select(
+    rest = model.transform(described(rows.filter("by_rule is null").withColumn("label", F.lit(None).cast("double")))).select(
         "id", "host", "path", "rule", F.col("by_rule").alias("verdict"), F.element_at(vector_to_array("probability"), 2).alias("score")
     )
     decided = ruled.filter("by_rule is not null").select("id", "host", "path", "rule", F.col("by_rule").alias("verdict"), F.lit(None).cast("double").alias("score"))
