@@ -22,7 +22,7 @@ def texts(sf):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
