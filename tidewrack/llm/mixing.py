@@ -100,29 +100,41 @@ def mix(docs: DataFrame, domain: Column, share: float = 0.8, epochs: int = 1, we
     """
     row = unused(docs, "uid")
     rows = stored(_measured(docs.withColumn(row, F.monotonically_increasing_id()), row, domain, text, id_column), "mix-rows")
-    chosen = _chosen(rows, share, epochs, weights, seed)
-    return chosen.drop("uid", "whole_tokens").withColumnRenamed("id", id_column)
+    chosen = _chosen(rows, _copy_numbers(rows), share, epochs, weights, seed)
+    return chosen.drop("uid", "whole_tokens", "draw", "text_hash", "copy").withColumnRenamed("id", id_column)
 
 
-def _measured(docs: DataFrame, row: str, domain: Column, text: str, id_column: str) -> DataFrame:
-    return docs.select(
+def _leaf_columns(row: str, domain: Column, text: str, id_column: str) -> list[Column]:
+    """What places a document: uid, id, its leaf and a hash of its text."""
+    return [
         F.col(row).alias("uid"), F.col(id_column).alias("id"), F.coalesce(domain.cast("string"), F.lit("")).alias("domain"),
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-        words_of(F.col(text)).alias("tokens"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
-    )
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
+    ]
+
+
+def _measured(docs: DataFrame, row: str, domain: Column, text: str, id_column: str) -> DataFrame:
+    return docs.select(*_leaf_columns(row, domain, text, id_column), words_of(F.col(text)).alias("tokens"))
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``copy``, which tells apart rows with the same id and text in a leaf."""
+def _copy_numbers(rows: DataFrame) -> DataFrame:
+    """(uid, copy) of the rows that repeat another's id and text in a leaf; ``copy`` tells them apart."""
     same = [*LEVELS, "id", "text_hash"]
     repeated = stored(rows.groupBy(*same).count().filter("count > 1").drop("count"), "mix-repeated")
     match = [F.col(f"r.{name}").eqNullSafe(F.col(f"s.{name}")) for name in same]
     copies = stored(rows.alias("r").join(repeated.alias("s"), match, "left_semi"), "mix-copies")
-    numbers = stored(gapless_ranks(copies, same, [], "copy", "mix-copy-offsets", null_safe=True).select("uid", F.col("copy").cast("long")), "mix-copy-numbers")
+    return stored(gapless_ranks(copies, same, [], "copy", "mix-copy-offsets", null_safe=True).select("uid", F.col("copy").cast("long")), "mix-copy-numbers")
+
+
+def _numbered(rows: DataFrame, numbers: DataFrame) -> DataFrame:
     return rows.join(numbers, "uid", "left").withColumn("copy", F.coalesce("copy", F.lit(0).cast("long")))
 
 
-def _chosen(rows: DataFrame, share: float, epochs: int, weights: dict[str, dict[str, float]] | None, seed: int) -> DataFrame:
+def _draw(seed: int, epoch: Column) -> Column:
+    return F.xxhash64(F.lit(seed), epoch, F.col("id"), "text_hash", "copy")
+
+
+def _chosen(rows: DataFrame, numbers: DataFrame, share: float, epochs: int, weights: dict[str, dict[str, float]] | None, seed: int) -> DataFrame:
     """``rows`` is a written table of ``_measured`` documents."""
     names = list(LEVELS)
     leaves = stored(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows")), "mix-leaves")
@@ -136,8 +148,7 @@ def _chosen(rows: DataFrame, share: float, epochs: int, weights: dict[str, dict[
         .select(*names, "epoch", "room", "budget", "buckets", F.col("tokens").alias("leaf_tokens")),
         "mix-passes",
     )
-    seeded = F.xxhash64(F.lit(seed), "epoch", F.col("id"), "text_hash", "copy")
-    drawn = _numbered(rows).join(passes, names).withColumn("draw", seeded)
+    drawn = _numbered(rows, numbers).join(passes, names).withColumn("draw", _draw(seed, F.col("epoch")))
     drawn = drawn.withColumn("bucket", F.expr("cast(floor((draw / 18446744073709551616D + 0.5D) * buckets) as long)"))
     drawn = drawn.withColumn("bucket", F.greatest(F.lit(0), F.least(F.col("bucket"), F.col("buckets") - 1)))
     keys = [*names, "epoch"]
@@ -149,7 +160,7 @@ def _chosen(rows: DataFrame, share: float, epochs: int, weights: dict[str, dict[
     placed = drawn.join(starts, [*keys, "bucket"]).withColumn("begin", F.col("start") + F.sum("tokens").over(inside) - F.col("tokens"))
     taken = placed.filter("begin < room or (tokens = 0 and begin = room)").withColumnRenamed("tokens", "whole_tokens")
     taken = taken.withColumn("tokens", F.least(F.col("whole_tokens"), F.col("room") - F.col("begin")))
-    return taken.select("uid", "id", *names, "tokens", "epoch", "budget", "whole_tokens")
+    return taken.select("uid", "id", *names, "tokens", "epoch", "budget", "whole_tokens", "draw", "text_hash", "copy")
 
 
 def keep_mixed(docs: DataFrame, domain: Column, share: float, weights: dict[str, dict[str, float]] | None = None, seed: int = 17, text: str = "text", id_column: str = "doc_id", chars: str = "n_chars") -> DataFrame:
@@ -158,15 +169,23 @@ def keep_mixed(docs: DataFrame, domain: Column, share: float, weights: dict[str,
     The document at a leaf's cut has the text that was taken, and ``chars``, where there is
     such a column, counts its characters.
     """
-    row, some = unused(docs, "row_number_"), unused(docs, "taken_words_")
+    row = unused(docs, "row_number_")
     whole = stored(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
     rows = stored(_measured(whole, row, domain, text, id_column), "mix-rows")
-    cut = F.when(F.col("tokens") < F.col("whole_tokens"), F.col("tokens"))
-    taken = stored(_chosen(rows, share, 1, weights, seed).select(F.col("uid").alias(row), cut.alias(some)), "mix-taken")
-    kept = whole.join(taken, row)
+    numbers = _copy_numbers(rows)
+    # a leaf's documents are a prefix of its draw, so its last one tells for each document whether it is taken:
+    # texts stay where they are, only the leaves' ends and the numbers of repeated rows move
+    place = F.struct("draw", "id", "text_hash", "copy")
+    chosen = _chosen(rows, numbers, share, 1, weights, seed).select(*LEVELS, place.alias("place"), "tokens", "whole_tokens")
+    ends = stored(chosen.groupBy(*LEVELS).agg(F.max(F.struct("place", "tokens", "whole_tokens")).alias("end")), "mix-ends")
+    known = whole.select(F.struct(*docs.columns).alias("doc"), *_leaf_columns(row, domain, text, id_column))
+    placed = _numbered(known, numbers).withColumn("draw", _draw(seed, F.lit(0))).select("doc", *LEVELS, place.alias("place"))
+    kept = placed.join(ends, list(LEVELS)).filter(F.col("place") <= F.col("end.place"))
     # at most one document of a leaf is cut
-    uncut = kept.filter(F.col(some).isNull()).select(*docs.columns)
-    short = kept.filter(F.col(some).isNotNull()).withColumn(text, first_words(F.col(text), F.col(some)))
+    is_cut = (F.col("place") == F.col("end.place")) & (F.col("end.tokens") < F.col("end.whole_tokens"))
+    uncut = kept.filter(~is_cut).select("doc.*")
+    short = kept.filter(is_cut).select("doc.*", F.col("end.tokens").alias(row))
+    short = short.withColumn(text, first_words(F.col(text), F.col(row)))
     if chars in docs.columns:
         short = short.withColumn(chars, F.length(text).cast(docs.schema[chars].dataType))
     return uncut.unionByName(short.select(*docs.columns))
