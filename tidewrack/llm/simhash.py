@@ -216,9 +216,13 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "
     prints = whole.select(F.col(row).alias("uid"), F.col(bits).getField("f").alias("f"), F.col(bits).getField("p").alias("p"), F.col(bits).getField("q").alias("q"))
     node_of = stored(prints.groupBy("f").agg(first_of).select("f", F.col("x.uid").alias("node"), "x.p", "x.q"), "near-nodes")
     real = node_of.filter("f <> 0")
-    nodes = whole.select(F.col(row).alias("node"), F.col(text).alias("text")).join(real.select("node"), "node", "left_semi")
+    # texts stay where they are: what leaves are the few rows that repeat a set or have none
+    repeats = stored(rows.join(node_of, "f").filter("uid <> node or f = 0").select(F.col("uid").alias("node")), "near-repeats")
+    nodes = whole.select(F.col(row).alias("node"), F.col(text).alias("text")).join(repeats, "node", "left_anti")
     roots = components(near_sets.links(nodes, real.select("node", "p", "q"), words, similarity), "near-components")
     rooted = stored(node_of.join(roots, "node", "left").select("f", F.coalesce("root", "node").alias("root")), "near-roots")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", F.negative(F.coalesce("n", F.lit(0))).alias("n"), "h", "uid"))
-    stay = stored(rows.join(rooted, "f").groupBy("root").agg(first.alias("first")).select(F.col("first.uid").alias(row)), "near-kept")
-    return whole.join(stay, row, "left_semi").select(*docs.columns)
+    of_root = stored(rows.join(rooted, "f").select("uid", "root", "id", "n", "h"), "near-rows")
+    stay = of_root.groupBy("root").agg(first.alias("first")).select("root", F.col("first.uid").alias("stays"))
+    gone = stored(of_root.join(stay, "root").filter("uid <> stays").select(F.col("uid").alias(row)), "near-gone")
+    return whole.join(gone, row, "left_anti").select(*docs.columns)
