@@ -129,7 +129,7 @@ def test_window_totals_and_quality_per_batch(spark, sf, landed):
         land(number)
     lake = Lake(shared_folder(spark, "test-stream-metrics"), "day")
     ingest.run_available(metrics.window_totals(stream(spark, folder), lake, DATASET))
-    found = spark.read.parquet(lake.path("gold", f"{DATASET}_windows")).drop("day")
+    found = metrics.read_table(spark, lake, f"{DATASET}_windows")
     want = anomaly.window_totals(txn(spark, sf), DATASET)
     assert found.exceptAll(want).count() == 0 and want.count() == found.count()
     ingest.run_available(metrics.batch_quality(stream(spark, folder), lake, DATASET))
@@ -143,7 +143,7 @@ def test_alerts_over_batches(spark, sf, landed):
         land(number)
     lake = Lake(shared_folder(spark, "test-stream-alerts"), "day")
     ingest.run_available(metrics.alerts(stream(spark, folder), lake, DATASET))
-    found = spark.read.parquet(lake.path("gold", f"{DATASET}_alerts"))
+    found = metrics.read_table(spark, lake, f"{DATASET}_alerts")
     batch = anomaly.detect(anomaly.with_baseline(anomaly.anomaly_metrics(txn(spark, sf), DATASET)))
     want = batch.filter("metric <> 'duplicate_rate'").select("metric", "window_start", "severity")
     assert found.select("metric", "window_start", "severity").exceptAll(want).count() == 0

@@ -524,7 +524,7 @@ ORACLE: dict[str, str] = {
     "live_after_expiry": _with(SILVER, """SELECT 'raw' AS layer, count(*) AS records, min(arrived_at) AS first FROM flags
           WHERE CAST(arrived_at AS DATE) >= (SELECT CAST(max(ts) AS DATE) - 10 FROM events)
         UNION ALL SELECT 'silver', count(*), min(arrived_at) FROM silver"""),
-    "stream_progress": """SELECT count(*) AS input_rows, CAST(0 AS BIGINT) AS dropped_by_watermark, true AS lag_known
+    "stream_progress": """SELECT count(*) AS input_rows, CAST(0 AS BIGINT) AS dropped_by_watermark, true AS in_order
         FROM events GROUP BY event_id % 3""",
     "failing_batch_stays_out": _with(SILVER, f"""SELECT event_date AS metric_date, count(*) AS transactions,
         CAST(sum(coalesce(amount_gbp, amount, 0)) AS DECIMAL(18,2)) AS volume, count(*) FILTER (WHERE is_fraud) AS fraud FROM (

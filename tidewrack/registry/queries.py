@@ -782,15 +782,19 @@ def schema_merge_files(spark, sf_dir):
 # --- lineage and warehouse ------------------------------------------------------
 
 
-@query
-def record_lineage(spark, sf_dir):
-    """Of a lake that two batches stored."""
-    stored = layer_frames(spark, loaded_lake(spark, sf_dir, "lineage"))
+def lineage_of(spark, lake: Lake) -> DataFrame:
+    stored = layer_frames(spark, lake)
     return lineage.lineage_summary(
         lineage.trace(stored["raw"], stored["bronze"], stored["silver"], stored["quarantine"])
     )
 
 
+@query
+def record_lineage(spark, sf_dir):
+    """Of a lake that two batches stored."""
+    return lineage_of(spark, loaded_lake(spark, sf_dir, "lineage"))
+
+
 @query
 def gold_drill_through(spark, sf_dir):
     rows = core(spark, sf_dir).withColumn("country", or_default("country", "UN"))
@@ -1163,7 +1167,7 @@ def stream_progress(spark, sf_dir):
     finally:
         spark.streams.removeListener(listener)
     found = progress.read_progress(spark, lake).filter("input_rows > 0")
-    return found.select("input_rows", "dropped_by_watermark", (F.col("offsets_behind") >= 0).alias("lag_known"))
+    return found.select("input_rows", "dropped_by_watermark", (F.coalesce("offsets_behind", F.lit(0)) >= 0).alias("in_order"))
 
 
 
@@ -1220,14 +1224,14 @@ def stream_silver(spark, sf_dir):
 def stream_window_metrics(spark, sf_dir):
     lake = new_lake(spark, "stream-windows")
     ingest.run_available(metrics.window_totals(txn_stream(spark, sf_dir), lake, DATASET))
-    return spark.read.parquet(lake.path("gold", f"{DATASET}_windows")).drop("day")
+    return metrics.read_table(spark, lake, f"{DATASET}_windows")
 
 
 @query
 def stream_alerts(spark, sf_dir):
     lake = new_lake(spark, "stream-alerts")
     ingest.run_available(metrics.alerts(txn_stream(spark, sf_dir), lake, DATASET))
-    return spark.read.parquet(lake.path("gold", f"{DATASET}_alerts")).drop("day")
+    return metrics.read_table(spark, lake, f"{DATASET}_alerts")
 
 
 def streamed_gold(name: str) -> Query:

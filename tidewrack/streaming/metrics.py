@@ -4,25 +4,52 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from tidewrack.operators import anomaly, quality
 from tidewrack.plans.gate import decide
 from tidewrack.sources import lake as store
+from tidewrack.sources.commits import CommitLog, Conflict, Entry, new_attempt
 from tidewrack.sources.lake import Lake
 
 
-def _add_part(batch: DataFrame, path: str, dataset: str, width: str, batch_id: int) -> list[date]:
-    """Store a micro-batch's own window totals; gives the days it touched, from folder names."""
-    part = anomaly.window_totals(batch, dataset, width).withColumns(
-        {"day": F.date_format("window_start", "yyyy-MM-dd"), "batch": F.lit(str(batch_id))}
-    )
-    store.clear(batch.sparkSession, f"{path}/*/batch={batch_id}")
-    _by_day(part, path, "batch")
-    found = store.folders(batch.sparkSession, f"{path}/*/batch={batch_id}")
-    return [date.fromisoformat(f.getParent().getName().removeprefix("day=")) for f in found]
+def _table(lake: Lake, name: str) -> str:
+    return lake.path("gold", name)
+
+
+def _days(log: CommitLog) -> tuple[int, dict[str, Entry], dict[str, Entry]]:
+    """(version, entry of each stored day, entry of the last micro-batch of each stream)."""
+    version, live = log.state()
+    return version, {n: e for n, e in live.items() if not n.startswith("_")}, {n: e for n, e in live.items() if n.startswith("_")}
+
+
+def _read_days(spark: SparkSession, lake: Lake, name: str, entries: list[Entry], schema: StructType | None = None) -> DataFrame | None:
+    if not entries:
+        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(*[f"{_table(lake, name)}/{entry.path}" for entry in entries])
+
+
+def read_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    """A stored table by day (``{dataset}_windows``, ``{dataset}_alerts``) as last published."""
+    _, days, _ = _days(lake.log(spark, "gold", name))
+    found = _read_days(spark, lake, name, list(days.values()))
+    if found is None:
+        raise FileNotFoundError(f"nothing is published in gold/{name}")
+    return found
+
+
+def _write_days(frame: DataFrame, lake: Lake, name: str) -> dict[str, Entry]:
+    """Write rows by their window's day; gives the entries of the days, not yet published."""
+    attempt = new_attempt()
+    folder = f"{_table(lake, name)}/attempt={attempt}"
+    by_day = frame.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+    by_day.hint("rebalance", "day").write.partitionBy("day").parquet(folder)
+    days = [path.getName().removeprefix("day=") for path in store.folders(frame.sparkSession, f"{folder}/day=*")]
+    return {day: Entry(day, f"attempt={attempt}/day={day}") for day in days}
 
 
 def _merged(stored: DataFrame) -> DataFrame:
@@ -34,33 +61,39 @@ def _merged(stored: DataFrame) -> DataFrame:
     return merged.withColumn("revenue", F.col("revenue").cast("decimal(18,2)"))
 
 
-def _by_day(frame: DataFrame, path: str, *inner: str) -> None:
-    """Write rows that have a ``day``, replacing only the folders in the output."""
-    (
-        frame.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", *inner)
-        .parquet(path)
-    )
-
+def _add_windows(batch: DataFrame, lake: Lake, name: str, dataset: str, width: str, batch_id: int) -> list[date]:
+    """Add a micro-batch's window totals to those of the days it touches; gives these days.
 
-def _texts(days) -> list[str]:
-    return sorted({str(day) for day in days})
+    The days' new totals and the number of the micro-batch are published together, so a
+    micro-batch that comes again after that is known and adds nothing.
+    """
+    spark = batch.sparkSession
+    log, stream = lake.log(spark, "gold", name), f"_{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}"
+    part_entries = _write_days(anomaly.window_totals(batch, dataset, width), lake, f"{name}_parts")
+    part = _read_days(spark, lake, f"{name}_parts", list(part_entries.values()))
+    touched = [date.fromisoformat(day) for day in part_entries]
+    while part is not None:
+        version, days, streams = _days(log)
+        if stream in streams and int(streams[stream].path) >= batch_id:
+            return touched
+        held = _read_days(spark, lake, name, [days[day] for day in part_entries if day in days], part.schema)
+        new = _write_days(_merged(part if held is None else held.unionByName(part)), lake, name)
+        try:
+            log.commit([*new.values(), Entry(stream, str(batch_id))], expected=version)
+        except Conflict:
+            continue
+        break
+    return touched
 
 
 def window_totals(events: DataFrame, lake: Lake, dataset: str, width: str = "5 minutes") -> DataStreamWriter:
     """Tumbling counters per arrival window, right after every micro-batch however late rows are.
 
-    The days a micro-batch touched are summed again over their stored parts.
+    A micro-batch reads the windows of the days it touches, not the parts that earlier ones brought.
     """
-    parts = lake.path("gold", f"{dataset}_windows_parts")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        days = _add_part(batch, parts, dataset, width, batch_id)
-        if days:
-            stored = batch.sparkSession.read.parquet(parts).filter(F.col("day").isin(_texts(days)))
-            merged = _merged(stored).withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
-            _by_day(merged, lake.path("gold", f"{dataset}_windows"))
+        _add_windows(batch, lake, f"{dataset}_windows", dataset, width, batch_id)
 
     return events.writeStream.foreachBatch(write).option(
         "checkpointLocation", lake.checkpoint_path(f"windows-{dataset}")
@@ -72,27 +105,33 @@ def alerts(
 ) -> DataStreamWriter:
     """Alerts, one per window and metric, kept right by every micro-batch.
 
-    Window totals are additive, so each micro-batch stores its own part. The days it touched, and
-    those whose baselines reach back to them, are judged again from all parts and replaced.
+    Each micro-batch adds its window totals. The days it touched, and those whose baselines reach
+    back to them, are judged again from the totals and replaced at once.
     Duplicate rate needs the history of all ids and stays with the batch job.
     """
-    parts = lake.path("gold", f"{dataset}_alerts_parts")
-    path = lake.path("gold", f"{dataset}_alerts")
+    windows, name = f"{dataset}_alerts_windows", f"{dataset}_alerts"
     reach = [timedelta(days=n) for n in range(look_back_minutes // 1440 + 2)]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        days = _add_part(batch, parts, dataset, width, batch_id)
+        days = _add_windows(batch, lake, windows, dataset, width, batch_id)
         if not days:
             return
         judged = {day + step for day in days for step in reach}
-        needed = {day - step for day in judged for step in reach}
-        stored = spark.read.parquet(parts).filter(F.col("day").isin(_texts(needed)))
-        found = anomaly.detect(anomaly.with_baseline(anomaly.metrics_of(_merged(stored), dataset), look_back_minutes))
-        found = found.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
-        for day in _texts(judged):
-            store.clear(spark, f"{path}/day={day}")
-        _by_day(found.filter(F.col("day").isin(_texts(judged))), path)
+        needed = {str(day - step) for day in judged for step in reach}
+        log = lake.log(spark, "gold", name)
+        while True:
+            version, alerted, _ = _days(log)
+            _, stored, _ = _days(lake.log(spark, "gold", windows))
+            totals = _read_days(spark, lake, windows, [entry for day, entry in stored.items() if day in needed])
+            found = anomaly.detect(anomaly.with_baseline(anomaly.metrics_of(totals, dataset), look_back_minutes))
+            mine = sorted(str(day) for day in judged)
+            new = _write_days(found.filter(F.date_format("window_start", "yyyy-MM-dd").isin(mine)), lake, name)
+            try:
+                log.commit(new.values(), [day for day in mine if day in alerted and day not in new], version)
+                return
+            except Conflict:
+                continue
 
     return events.writeStream.foreachBatch(write).option(
         "checkpointLocation", lake.checkpoint_path(f"alerts-{dataset}")

@@ -19,7 +19,10 @@ PROGRESS_SCHEMA = (
 
 def _offsets(text: str | dict | None) -> dict[str, int]:
     """Positions in a source, by partition: of topics, or the one of a file source."""
-    found = json.loads(text) if isinstance(text, str) and text else text
+    try:
+        found = json.loads(text) if isinstance(text, str) else text
+    except ValueError:  # a source that doesn't tell writes no JSON
+        return {}
     if isinstance(found, int):
         return {"": found}
     positions = {}
@@ -33,9 +36,9 @@ def _offsets(text: str | dict | None) -> dict[str, int]:
 
 def offsets_behind(latest: str | dict | None, reached: str | dict | None) -> int | None:
     """Records (or files) between what a source has and what was read; None where it doesn't say."""
-    if not latest:
-        return None
     newest, read = _offsets(latest), _offsets(reached)
+    if not newest:
+        return None
     return sum(max(0, at - read.get(name, 0)) for name, at in newest.items())
 
 
