@@ -8,7 +8,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewrack import domain
 from tidewrack.functions.calendar import expand_days
 from tidewrack.operators import dedupe, quality
 from tidewrack.plans import medallion
@@ -69,15 +68,15 @@ def status(days: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def run(
     spark: SparkSession, lake: Lake, dataset: str, start: str, end: str, dry_run: bool = False,
-    gate: float = domain.PUBLISH_GATE_SCORE,
+    gate: float | None = None,
 ) -> DataFrame:
     """Process the days of the range that the ledger lacks, as one distributed job.
 
     All layers are brought up to raw: records that bronze or quarantine lacks are stored,
     silver, gold and the quality report follow. Records another batch or
     stream has stored stay where they are, so nothing is doubled. Raw folders outside the
-    range are not read. A range that scores below ``gate`` is quarantined like any batch, and rows of
-    quarantined batches stay out. The ledger is written last: after a failure the range is replayed,
+    range are not read. Rows of batches that the gate has quarantined stay out. With ``gate``, a range that
+    scores below it is quarantined like any batch. The ledger is written last: after a failure the range is replayed,
     also under other dates.
     """
     days = plan(spark, start, end)
@@ -105,7 +104,7 @@ def _arrived(spark: SparkSession, lake: Lake, layer: str, dataset: str, first: s
 
 
 def _run_days(
-    spark: SparkSession, lake: Lake, dataset: str, todo: DataFrame, first: str, last: str, gate: float
+    spark: SparkSession, lake: Lake, dataset: str, todo: DataFrame, first: str, last: str, gate: float | None
 ) -> None:
     # raw is stored by arrival, so its batches' day ranges say which to open
     events = store.read_raw(spark, lake, dataset, store.partition_hours(first, last), first, last)
@@ -133,7 +132,7 @@ def _run_days(
     report = quality.quality_report(events, dataset)
     store.write_report(report, lake, dataset)
     score = spark.read.schema(report.schema).json(lake.report_path(dataset)).first()["score"]
-    state = PUBLISHED if score >= gate else QUARANTINED
+    state = PUBLISHED if gate is None or score >= gate else QUARANTINED
     # of all bronze rows of the days: a batch may have failed between bronze and silver. What the
     # gate has turned away stays away
     silver = lake.log(spark, "silver", dataset).live()
