@@ -1,5 +1,7 @@
 """Nulls, empty and repeated rows, clashing columns, empty tables, and the methods' own parts."""
 
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -233,7 +235,7 @@ def test_mixture_takes_whole_budgets(spark):
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(2)
     emit, lines, links = rng.normal(size=7), np.array([3, 1, 3]), rng.normal(size=(2, 2))
-    good, _ = line_quality._messages(emit, lines, links)
+    good = line_quality.chain(line_quality.line_scores(emit), lines, links).good
     at = 0
     for n in lines:
         weight, total = np.zeros(n), 0.0
@@ -266,3 +268,91 @@ def test_repeats_of_periodic_and_touching_texts(spark):
         want.append((own, sum(gone), len([x for x in bytes(gone).split(b"\0") if x]), bytes(x for x, g in zip(data, gone) if not g)))
     found = suffixes.without_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
     assert sorted((r["doc_id"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found) == sorted(want)
+
+
+def test_line_field_gradient_is_the_slope_of_its_loss():
+    draw = np.random.default_rng(3)
+    lines, y = np.array([4, 1, 6, 2]), np.array([1, 0, 0, 1])
+    x, weight, flat = draw.normal(size=(13, 5)), draw.random(4), draw.normal(size=9)
+    _, slope = line_quality.objective(flat, x, lines, y, weight)
+    for i in range(9):
+        step = np.eye(9)[i] * 1e-5
+        rise = line_quality.objective(flat + step, x, lines, y, weight)[0] - line_quality.objective(flat - step, x, lines, y, weight)[0]
+        assert abs(rise / 2e-5 - slope[i]) < 1e-6
+
+
+def test_line_likelihood_equals_enumeration():
+    draw = np.random.default_rng(4)
+    x, flat, lines = draw.normal(size=(4, 2)), draw.normal(size=6), np.array([4])
+    loss, _ = line_quality.objective(flat, x, lines, np.array([1]), np.array([1.0]), noise=0.2, decay=0.0)
+    seen = total = 0.0
+    for code in range(16):
+        z = np.array([(code >> i) & 1 for i in range(4)])
+        p = np.exp((x @ flat[:2]) @ z + sum(flat[2:].reshape(2, 2)[a, b] for a, b in zip(z, z[1:])))
+        total += p
+        seen += p * np.prod(np.where(z == 1, 0.8, 0.2))
+    assert np.isclose(loss, -np.log(seen / total))
+
+
+GOOD, BAD = "The committee met in spring and wrote a long, careful report.", "BUY $$$ NOW!!! buy buy buy ### 50% @@@"
+
+
+def test_lines_of_a_mixed_document_differ_and_long_documents_are_learnt_from(spark):
+    rows = [(i, "\n".join([f"{GOOD} {i}" if i % 2 else f"{BAD} {i}"] * (3 + i % 5))) for i in range(120)]
+    rows += [(1001, "\n".join(f"{GOOD} {i}" for i in range(20_000))), (1002, "\n".join(f"{BAD} {i}" for i in range(20_000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in rows], LABELS)
+    for sampled in (docs, docs.filter("doc_id > 1000")):  # long documents alone teach as well
+        field = line_quality.fit(sampled, labels, F.lit(True), max_lines=5_000)
+        assert field.prior is None
+        own, _, lines = line_quality.line_table(["\n".join([GOOD] * 6 + [BAD] * 6)])
+        good = field.marginals(line_quality.with_neighbours(own, lines), lines)
+        assert good[:5].min() > 0.7 > 0.3 > good[7:].max()
+
+
+def _votes(draw, toxic, rates):
+    return (draw.random((len(toxic), rates.shape[1])) < rates[toxic]).astype(float)
+
+
+def test_label_model_recovers_voters_and_prior():
+    """Posteriors without labels, of voters of known accuracy, two of them echoes of a third."""
+    draw = np.random.default_rng(6)
+    toxic = (draw.random(20_000) < 0.1).astype(int)
+    rates = np.vstack([np.full(12, 0.02), np.full(12, 0.6)])
+    v = _votes(draw, toxic, rates)
+    v[:, 1] = v[:, 2] = v[:, 0]
+    post = toxicity.label_model(v, 0.3)
+    assert ((post > 0.5) == toxic).mean() > 0.98 and abs(post.mean() - toxic.mean()) < 0.015
+    for j in range(3, 5):
+        assert abs(post @ v[:, j] / post.sum() - 0.6) < 0.05 and abs((1 - post) @ v[:, j] / (1 - post).sum() - 0.02) < 0.01
+    parents = toxicity.forest(v, post, np.ones(len(v)), 0.15)
+    assert sum(parents[j] >= 0 for j in (0, 1, 2)) == 2  # one tree of the three echoes
+    assert all(parents[j] < 0 for j in range(3, 12))
+    # a sample with as many toxic rows as others, weighted, gives what all rows give
+    few = np.r_[np.flatnonzero(toxic), np.flatnonzero(toxic == 0)[: toxic.sum()]]
+    weight = np.where(toxic[few] == 1, 1.0, (toxic == 0).sum() / toxic.sum())
+    part = toxicity.label_model(v[few], 0.3, weight)
+    assert abs(weight @ part / weight.sum() - toxic.mean()) < 0.02 and np.abs(part - post[few]).mean() < 0.02
+
+
+def test_sample_weights_stand_for_all_labels(spark):
+    labels = spark.range(20_000).selectExpr("id as doc_id", "int(id % 10 = 0) as toxic")
+    found = {r["y"]: (r["n"], r["w"]) for r in toxicity.label_sample(labels, "toxic", F.lit(True), 1_000).groupBy("y").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
+    assert all(400 < n < 600 for n, _ in found.values())
+    assert abs(found[1][1] / 2_000 - 1) < 0.2 and abs(found[0][1] / 18_000 - 1) < 0.2
+    assert {r["weight"] for r in toxicity.label_sample(labels, "toxic", F.lit(True), 100_000).select("weight").distinct().collect()} == {1.0}
+
+
+def test_values_of_odd_rows(spark, docs, labels):
+    """Null and empty texts score alike, repeated rows too; sizes, shards and spans of odd rows hold."""
+    for run, modulus, held_at in ((toxicity.toxicity, 5, 0), (line_quality.quality, 4, 2)):
+        rows = run(docs, labels).collect()
+        by_id = {r["doc_id"]: r for r in rows}
+        assert by_id[3]["score"] == by_id[4]["score"] and by_id[None]["held_out"] is False
+        assert len({r["score"] for r in rows if r["doc_id"] == 1}) == 1
+        assert all(0 <= r["score"] <= 1 for r in rows)
+        assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % modulus == held_at) for r in rows if r["doc_id"] is not None)
+    placed = [r for r in sharding.shard(docs).collect()]
+    assert {r["size"] for r in placed if r["doc_id"] in (3, 4)} == {8}
+    assert len({r["shard"] for r in placed if r["doc_id"] in (3, 4)}) == 1  # null and empty texts are one group
+    assert len({(r["shard"], r["slot"]) for r in placed}) == len(ROWS)

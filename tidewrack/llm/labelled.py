@@ -15,8 +15,9 @@ def remainder(id_column: str, modulus: int) -> Column:
 
 
 def label_sample(labels: DataFrame, label: str, learn: Column, bound: int, id_column: str = "doc_id", balanced: bool = True) -> DataFrame:
-    """(id, y) of at most about ``bound`` labelled rows, chosen by a hash of the id; if ``balanced``,
-    at most half of the bound is taken from each class.
+    """(id, y, weight) of at most about ``bound`` labelled rows, chosen by a hash of the id; if ``balanced``,
+    at most half of the bound is taken from each class. The weight is the number of usable labelled
+    rows that a sampled one stands for: weighted sums estimate those of all, whatever the bound.
 
     Rows with a null id, a null label or ``learn`` not true are left out; an id labelled
     more than once counts once, with its largest label. The result is small enough to broadcast.
@@ -26,14 +27,15 @@ def label_sample(labels: DataFrame, label: str, learn: Column, bound: int, id_co
     sizes = {row["y"]: row["count"] for row in usable.groupBy("y").count().collect()}  # two rows
     share = F.lit(0.0)
     for y, count in sizes.items():
-        share = F.when(F.col("y") == y, F.lit(bound / (2 * count if balanced else sum(sizes.values())))).otherwise(share)
-    return usable.filter(F.pmod(F.xxhash64(id_column), F.lit(1_000_000)) < share * 1_000_000)
+        share = F.when(F.col("y") == y, F.lit(min(1.0, bound / (2 * count if balanced else sum(sizes.values()))))).otherwise(share)
+    taken = usable.withColumn("_share", share).filter(F.pmod(F.xxhash64(id_column), F.lit(1_000_000)) < F.col("_share") * 1_000_000)
+    return taken.withColumn("weight", 1 / F.col("_share")).drop("_share")
 
 
 def labelled_texts(docs: DataFrame, sample: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """(text, y) of the sampled documents; the sample's bound makes it fit for broadcasting."""
-    right = sample.select(F.col(id_column).alias("_id"), "y")
-    return docs.join(F.broadcast(right), docs[id_column] == right["_id"]).select(F.coalesce(docs[text], F.lit("")).alias("text"), "y")
+    """(text, y, weight) of the sampled documents; the sample's bound makes it fit for broadcasting."""
+    right = sample.select(F.col(id_column).alias("_id"), "y", "weight")
+    return docs.join(F.broadcast(right), docs[id_column] == right["_id"]).select(F.coalesce(docs[text], F.lit("")).alias("text"), "y", "weight")
 
 
 def scored(docs: DataFrame, scores: Callable[[list[str]], np.ndarray], text: str = "text", id_column: str = "doc_id", at_once: int = 500) -> DataFrame:

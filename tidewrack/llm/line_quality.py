@@ -1,13 +1,15 @@
 """Document quality from a linear-chain conditional random field over lines.
 
 Every line is good or bad. A line's features are its own and its neighbours' letter, sign
-and repetition statistics; links between neighbouring labels make them agree. The field is
-trained on a bounded sample of labelled documents, whose lines take the document's label.
+and repetition statistics; links between neighbouring labels make them agree. Which lines of
+a labelled document are good is not known: its label is taken as a noisy sight of every
+line's label, and the field maximises the likelihood of these sights, so a good document may hold bad lines.
 A document's score is the mean of its lines' forward-backward marginals, weighted by length.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
@@ -19,9 +21,13 @@ from pyspark.sql import functions as F
 
 from tidewrack.llm.labelled import label_sample, labelled_texts, remainder, scored
 
-#: Bounds of the fit: documents sampled, and lines of a document that may be learnt from.
+#: Bounds of the fit: about how many documents and lines are sampled. Lines are drawn in stretches
+#: of neighbours, so that a long document counts by an even sample of its lines.
 MAX_LABELLED = 6_000
-MAX_LEARNT_LINES = 5_000
+MAX_LEARNT_LINES = 300_000
+STRETCH = 200
+#: Probability that a line differs from its document's label.
+NOISE = 0.1
 #: Byte classes: line break, blank, lower, capital, digit, ! ?, clutter, quiet signs, other, above 127.
 CLASSES = np.full(256, 8, np.uint8)
 CLASSES[10] = 0
@@ -93,7 +99,7 @@ class Field:
 
     def marginals(self, x: np.ndarray, lines: np.ndarray) -> np.ndarray:
         """Probability that each line is good."""
-        return _messages(x @ self.weights, lines, self.links)[0]
+        return chain(line_scores(x @ self.weights), lines, self.links).good
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.prior is not None or not texts:
@@ -104,15 +110,27 @@ class Field:
         return np.add.reduceat(good * length, first) / np.add.reduceat(length, first)
 
 
-def _messages(emit: np.ndarray, lines: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward-backward over all texts at once: marginals, and summed pair marginals.
+def line_scores(emit: np.ndarray) -> np.ndarray:
+    """Scores of (bad, good) for each line."""
+    return np.stack([np.zeros_like(emit), np.clip(emit, -40, 40)], 1)
 
-    Texts are taken longest first, so that step t touches a prefix of them.
+
+@dataclass
+class Beliefs:
+    good: np.ndarray  # probability that each line is good
+    pairs: np.ndarray  # probabilities of each neighbouring pair's labels, [pair, label, next label]
+    inner: np.ndarray  # the line that each pair begins with
+    total: np.ndarray  # log of the summed weight of each chain's labellings
+
+
+def chain(score: np.ndarray, lines: np.ndarray, links: np.ndarray) -> Beliefs:
+    """Forward-backward over all chains at once.
+
+    Chains are taken longest first, so that step t touches a prefix of them.
     """
     order = np.argsort(-lines, kind="stable")
-    first = np.r_[0, np.cumsum(lines)[:-1]][order]
-    size = lines[order]
-    score = np.stack([np.zeros_like(emit), np.clip(emit, -40, 40)], 1)
+    starts = np.r_[0, np.cumsum(lines)[:-1]]
+    first, size = starts[order], lines[order]
     ahead, back = np.zeros_like(score), np.zeros_like(score)
     for t in range(size[0]):
         at = first[: np.searchsorted(-size, -t)] + t
@@ -126,50 +144,75 @@ def _messages(emit: np.ndarray, lines: np.ndarray, links: np.ndarray) -> tuple[n
         back[at] = np.logaddexp(m[:, :, 0], m[:, :, 1])
     total = ahead + back
     good = 1 / (1 + np.exp(np.clip(total[:, 0] - total[:, 1], -50, 50)))
-    inner = np.ones(len(emit), bool)
+    inner = np.ones(len(score), bool)
     inner[np.cumsum(lines) - 1] = False
     at = np.flatnonzero(inner)
+    whole = np.logaddexp(total[:, 0], total[:, 1])
     pair = ahead[at][:, :, None] + links[None] + (score[at + 1] + back[at + 1])[:, None, :]
-    pair = np.exp(pair - np.logaddexp(total[at][:, 0], total[at][:, 1])[:, None, None])
-    return good, pair.sum(0)
+    return Beliefs(good, np.exp(pair - whole[at][:, None, None]), at, whole[starts])
+
 
+def objective(flat: np.ndarray, x: np.ndarray, lines: np.ndarray, y: np.ndarray, weight: np.ndarray, noise: float = NOISE, decay: float = 1e-3) -> tuple[float, np.ndarray]:
+    """The loss and its gradient by the weights, then the four links.
 
-def train(x: np.ndarray, lines: np.ndarray, y: np.ndarray, steps: int = 150, rate: float = 0.08, decay: float = 1e-3) -> Field:
-    """Maximum likelihood with Adam; every document weighs the same, however many lines it has."""
-    label = np.repeat(y, lines).astype(np.float64)
-    share = np.repeat(1 / lines, lines) / len(lines)
-    pairs = np.array([[(lines[y == 0] - 1).sum(), 0.0], [0.0, (lines[y == 1] - 1).sum()]])
-    field = Field(np.zeros(x.shape[1]), np.zeros((2, 2)))
+    The loss is minus the weighted log likelihood of seeing ``y`` of its chain at every line, where
+    a line's hidden label shows with probability 1 - ``noise``, and half the decay times the squared length.
+    """
+    links = flat[-4:].reshape(2, 2)
+    free = line_scores(x @ flat[:-4])
+    sight = np.log(np.where(np.arange(2) == np.repeat(y, lines)[:, None], 1 - noise, noise))
+    seen, unseen = chain(free + sight, lines, links), chain(free, lines, links)
+    per_line = np.repeat(weight, lines)
+    slope = x.T @ ((unseen.good - seen.good) * per_line)
+    pairs = ((unseen.pairs - seen.pairs) * per_line[unseen.inner][:, None, None]).sum(0)
+    loss = weight @ (unseen.total - seen.total) + decay / 2 * flat @ flat
+    return float(loss), np.r_[slope, pairs.ravel()] + decay * flat
+
+
+def train(x: np.ndarray, lines: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 120, rate: float = 0.08) -> Field:
+    """The field of least loss, by Adam. ``y`` and ``weight`` are per chain."""
     flat = np.zeros(x.shape[1] + 4)
     m, v = np.zeros_like(flat), np.zeros_like(flat)
     for step in range(1, steps + 1):
-        good, seen = _messages(x @ field.weights, lines, field.links)
-        slope = np.r_[x.T @ ((good - label) * share), ((seen - pairs) / lines.sum()).ravel()] + decay * flat
+        _, slope = objective(flat, x, lines, y, weight)
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         flat = flat - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-        flat[-4:] = np.clip(flat[-4:], -2, 2)
-        field = Field(flat[:-4], flat[-4:].reshape(2, 2))
-    return field
-
+    return Field(flat[:-4], flat[-4:].reshape(2, 2))
 
-def fit(docs: DataFrame, labels: DataFrame, learn, text: str = "text", id_column: str = "doc_id", max_labelled: int = MAX_LABELLED) -> Field:
-    sample = label_sample(labels, "quality", learn, max_labelled, id_column, balanced=False)
-    texts = labelled_texts(docs, sample, text, id_column)
 
-    def shape(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for one, y in zip(batch["text"], batch["y"]):
-                own, _, lines = line_table([one])
-                if lines[0] <= MAX_LEARNT_LINES:
-                    yield pd.DataFrame({"own": [own.astype(np.float32).tobytes()], "y": [y]})
+def fit(
+    docs: DataFrame, labels: DataFrame, learn, text: str = "text", id_column: str = "doc_id", max_labelled: int = MAX_LABELLED, max_lines: int = MAX_LEARNT_LINES,
+) -> Field:
+    """Learn from a sample of labelled documents. Every document weighs the same, however many lines it has.
 
-    rows = texts.mapInPandas(shape, "own binary, y int").toPandas()
+    Where the sampled documents have more than ``max_lines`` lines, stretches of them are drawn with equal chance.
+    """
+    sample = label_sample(labels, "quality", learn, max_labelled, id_column, balanced=False)
+    texts = labelled_texts(docs, sample, text, id_column).persist()
+    try:
+        held = texts.agg(F.sum(F.length("text") - F.length(F.translate("text", "\n", "")) + 1)).first()[0] or 0
+        share = min(1.0, max_lines / max(1, held))
+
+        def shape(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for one, y in zip(batch["text"], batch["y"]):
+                    own, _, lines = line_table([one])
+                    x = with_neighbours(own, lines).astype(np.float32)
+                    draw = np.random.default_rng(zlib.crc32(one.encode("utf-8", "replace")))
+                    starts = np.arange(0, len(x), STRETCH)
+                    kept = [x[i : i + STRETCH].tobytes() for i in starts[draw.random(len(starts)) < share]]
+                    yield pd.DataFrame({"x": kept, "y": y, "lines": len(x)})
+
+        rows = texts.mapInPandas(shape, "x binary, y int, lines long").toPandas()
+    finally:
+        texts.unpersist()
     if rows["y"].nunique() < 2:
         return Field(np.zeros(0), np.zeros((2, 2)), float(rows["y"].mean()) if len(rows) else 0.0)
-    rows = rows.assign(own=rows["own"].map(bytes)).sort_values(["y", "own"])
-    parts = [np.frombuffer(b, np.float32).reshape(-1, WIDTH) for b in rows["own"]]
-    lines = np.array([len(p) for p in parts], np.int64)
-    return train(with_neighbours(np.vstack(parts).astype(np.float64), lines), lines, rows["y"].to_numpy())
+    rows = rows.assign(x=rows["x"].map(bytes)).sort_values(["y", "x", "lines"])
+    parts = [np.frombuffer(b, np.float32).reshape(-1, 3 * WIDTH) for b in rows["x"]]
+    chains = np.array([len(p) for p in parts], np.int64)
+    weight = 1 / rows["lines"].to_numpy()
+    return train(np.vstack(parts).astype(np.float64), chains, rows["y"].to_numpy(), weight / (weight @ chains))
 
 
 def quality(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:

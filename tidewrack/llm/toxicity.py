@@ -7,6 +7,8 @@ label model says how a document's class makes the voters vote: expectation maxim
 finds each voter's hit rates in both classes, without the labels, and correlated voters are
 joined in a forest so that echoes don't count twice. A linear classifier over entries
 and patterns is then trained on the model's posterior labels and scores every document.
+The sample holds more toxic rows than the labels' share of them; every row counts by how many it
+stands for, so that the prior and the threshold of one half don't move with the number of labels.
 """
 
 from __future__ import annotations
@@ -85,14 +87,15 @@ def votes(x: np.ndarray, voters: int = LEXICON_VOTERS) -> np.ndarray:
     return np.column_stack([*lexicon, *(x[:, -7 + i] > limit for i, limit in enumerate(limits))]).astype(np.float64)
 
 
-def label_model(v: np.ndarray, prior: float, rounds: int = 40, link: float = 0.15) -> np.ndarray:
-    """Posterior of class 1 for each row of votes.
+def label_model(v: np.ndarray, prior: float, weight: np.ndarray | None = None, rounds: int = 40, link: float = 0.15) -> np.ndarray:
+    """Posterior of class 1 for each row of votes; ``weight`` says how many rows each stands for.
 
     First with voters independent given the class; then each pair's correlation within
     the classes is measured, the strongest links over ``link`` make a forest, and a voter
     with a parent there votes given its parent's vote.
     """
     rows, voters = v.shape
+    weight = np.ones(rows) if weight is None else weight / weight.mean()
     parent = [-1] * voters
     post = np.clip((v[:, :-7].sum(1) > 0) * 0.9 + 0.02, 0, 1)
     prior = min(max(prior, 0.005), 0.995)
@@ -101,7 +104,7 @@ def label_model(v: np.ndarray, prior: float, rounds: int = 40, link: float = 0.1
             total = np.log(np.array([1 - prior, prior]))[None, :].repeat(rows, 0)
             for j in range(voters):
                 given = v[:, parent[j]] if parent[j] >= 0 else np.zeros(rows)
-                for y, share in ((0, 1 - post), (1, post)):
+                for y, share in ((0, weight * (1 - post)), (1, weight * post)):
                     for g in (0, 1):
                         mask = given == g
                         if not mask.any():
@@ -110,16 +113,17 @@ def label_model(v: np.ndarray, prior: float, rounds: int = 40, link: float = 0.1
                         rate = (w @ v[mask, j] + (0.05 if y == 0 else 0.5)) / (w.sum() + 1)
                         total[mask, y] += np.where(v[mask, j] > 0, np.log(rate), np.log1p(-rate))
             post = 1 / (1 + np.exp(np.clip(total[:, 0] - total[:, 1], -50, 50)))
-            prior = min(max(float(post.mean()), 0.005), 0.995)
+            prior = min(max(float(weight @ post) / rows, 0.005), 0.995)
         if stage == 0:
-            parent = forest(v, post, link)
+            parent = forest(v, post, weight, link)
+            post = (post + prior) / 2  # echoes counted as many voters have made it too sure to learn better
     return post
 
 
-def forest(v: np.ndarray, post: np.ndarray, link: float) -> list[int]:
+def forest(v: np.ndarray, post: np.ndarray, weight: np.ndarray, link: float) -> list[int]:
     """Parents of a maximum spanning forest over correlations within the classes."""
     strength = np.zeros((v.shape[1], v.shape[1]))
-    for share in (1 - post, post):
+    for share in (weight * (1 - post), weight * post):
         if share.sum() < 5:
             continue
         centred = v - (share @ v) / share.sum()
@@ -136,14 +140,16 @@ def forest(v: np.ndarray, post: np.ndarray, link: float) -> list[int]:
     return parent
 
 
-def train_linear(x: np.ndarray, soft: np.ndarray, steps: int = 400, rate: float = 0.5, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def train_linear(x: np.ndarray, soft: np.ndarray, weight: np.ndarray, steps: int = 400, rate: float = 0.5, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on posterior labels, full-batch gradient with momentum."""
-    w, b, mw, mb = np.zeros(x.shape[1]), float(np.log((soft.mean() + 1e-3) / (1 - soft.mean() + 1e-3))), 0.0, 0.0
+    weight = weight / weight.sum()
+    mean = float(weight @ soft)
+    w, b, mw, mb = np.zeros(x.shape[1]), float(np.log((mean + 1e-3) / (1 - mean + 1e-3))), 0.0, 0.0
     w[:-7] = 2.0
     for _ in range(steps):
-        error = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - soft
-        mw = 0.9 * mw + (x.T @ error / len(x) + decay * w)
-        mb = 0.9 * mb + error.mean()
+        error = weight * (1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - soft)
+        mw = 0.9 * mw + (x.T @ error + decay * w)
+        mb = 0.9 * mb + error.sum()
         w, b = w - rate * mw, b - rate * mb
     return w, float(b)
 
@@ -180,7 +186,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn, text: str = "text", id_column
     texts = labelled_texts(docs, sample, text, id_column).persist()
     try:
         entries, toxic, clean = mine(texts, max_entries)
-        prior = toxic / max(1, toxic + clean)
+        shares = {row["y"]: row["rows"] for row in texts.groupBy("y").agg(F.sum("weight").alias("rows")).collect()}  # two rows
+        prior = shares.get(1, 0.0) / (sum(shares.values()) or 1.0)
         model = Model({e: i for i, e in enumerate(entries)}, np.zeros(0), 0.0, prior)
         if not entries:
             return model
@@ -188,13 +195,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn, text: str = "text", id_column
         def shape(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 x = model.features(batch["text"].to_list())
-                yield pd.DataFrame({"x": [row.tobytes() for row in x]})
+                yield pd.DataFrame({"x": [row.tobytes() for row in x], "weight": batch["weight"]})
 
-        rows = texts.mapInPandas(shape, "x binary").toPandas()["x"]
+        rows = texts.mapInPandas(shape, "x binary, weight double").toPandas()
     finally:
         texts.unpersist()
-    x = np.frombuffer(b"".join(sorted(map(bytes, rows))), np.float32).reshape(-1, len(entries) + 7).astype(np.float64)
-    model.weights, model.bias = train_linear(x, label_model(votes(x), prior))
+    rows = rows.assign(x=rows["x"].map(bytes)).sort_values(["x", "weight"])
+    x, weight = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(-1, len(entries) + 7).astype(np.float64), rows["weight"].to_numpy()
+    model.weights, model.bias = train_linear(x, label_model(votes(x), prior, weight), weight)
     return model
 
 
