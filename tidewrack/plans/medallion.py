@@ -79,7 +79,8 @@ def stage(
     risk = F.when(F.col("batch") == batch_id, F.col("risk_score")).otherwise(F.col("_risk"))
     rows = enrich.enrich(seen, stamp).withColumn("risk_score", risk).drop("_risk")
     names = [batch_id, f"{batch_id}.rejected"]
-    entries = store.store_rows(rows, lake, "bronze", dataset, "ingested_at", ingested_at is not None, batches=names)
+    gather = ingested_at is not None and not lake.packed  # ranging samples its input, which would count rows twice
+    entries = store.store_rows(rows, lake, "bronze", dataset, "ingested_at", gather, batches=names)
     return entries[names[0]], entries[names[1]], counted.get
 
 

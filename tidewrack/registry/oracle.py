@@ -282,6 +282,11 @@ ORACLE: dict[str, str] = {
     "partition_counts": _with(BRONZE, 'SELECT "year", "month", "day", "hour", count(*) AS records FROM bronze GROUP BY ALL'),
     "partition_pruned": _with(BRONZE, """SELECT "day", "hour", count(*) AS records, CAST(sum(amount_gbp) AS DECIMAL(18,2)) AS volume
         FROM bronze WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-19' AND event_hour BETWEEN 6 AND 11 GROUP BY ALL"""),
+    "hours_by_zones": _with(SILVER, """SELECT strftime(arrived_at, '%d') AS "day", strftime(arrived_at, '%H') AS "hour", count(*) AS records,
+          CAST(sum(amount_gbp) AS DECIMAL(18,2)) AS volume
+        FROM silver WHERE arrived_at >= TIMESTAMP '2024-01-10 06:00:00' AND arrived_at < TIMESTAMP '2024-01-19 17:00:00' GROUP BY ALL"""),
+    "compacted_bronze": _with(BRONZE, """SELECT event_date, count(*) AS records, CAST(sum(amount_gbp) AS DECIMAL(18,2)) AS volume
+        FROM bronze GROUP BY ALL"""),
     "dataset_inventory": _with(GOLD, """
         SELECT 'raw' AS layer, 'transactions' AS dataset, count(*) AS records FROM txn2
         UNION ALL SELECT 'bronze', 'transactions', count(*) FROM bronze

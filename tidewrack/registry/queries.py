@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,8 +76,8 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wire.to_payload(txn(spark, sf_dir))
 
 
-def new_lake(spark: SparkSession, label: str, grain: str = "day") -> Lake:
-    return Lake(shared_folder(spark, label), grain)
+def new_lake(spark: SparkSession, label: str, grain: str = "day", packed: bool = False) -> Lake:
+    return Lake(shared_folder(spark, label), grain, packed)
 
 
 def two_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -87,9 +88,9 @@ def two_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return rows.filter(F.col("arrived_at") < F.lit(middle)), rows.filter(F.col("arrived_at") >= F.lit(middle))
 
 
-def loaded_lake(spark: SparkSession, sf_dir: str, label: str) -> Lake:
+def loaded_lake(spark: SparkSession, sf_dir: str, label: str, grain: str = "day", packed: bool = False) -> Lake:
     """A lake that two batches were written to."""
-    lake = new_lake(spark, label)
+    lake = new_lake(spark, label, grain, packed)
     for number, part in enumerate(two_batches(spark, sf_dir)):
         medallion.write_batch(spark, lake, DATASET, part, f"b{number}")
     return lake
@@ -211,6 +212,29 @@ def partition_pruned(spark, sf_dir):
     )
 
 
+@query
+def hours_by_zones(spark, sf_dir):
+    """Nine days and eleven hours of silver, from a lake of hour grain that keeps hours in shared files."""
+    lake = loaded_lake(spark, sf_dir, "zones", "hour", packed=True)
+    since, until = datetime(2024, 1, 10, 6), datetime(2024, 1, 19, 17)
+    rows = store.read_between(spark, lake, "silver", DATASET, since, until)
+    by_hour = with_partitions(rows, "ingested_at", ("day", "hour"))
+    return by_hour.groupBy("day", "hour").agg(F.count(F.lit(1)).alias("records"), F.sum("amount_gbp").cast("decimal(18,2)").alias("volume"))
+
+
+@query
+def compacted_bronze(spark, sf_dir):
+    """Bronze of two batches in day folders, compacted, with one of the batches repeated after that."""
+    lake = loaded_lake(spark, sf_dir, "compacted")
+    store.compact(spark, lake, "bronze", DATASET, "ingested_at")
+    medallion.write_batch(spark, lake, DATASET, two_batches(spark, sf_dir)[1], "b1")
+    return (
+        store.read_layer(spark, lake, "bronze", DATASET)
+        .groupBy(F.col("event_date"))
+        .agg(F.count(F.lit(1)).alias("records"), F.sum("amount_gbp").cast("decimal(18,2)").alias("volume"))
+    )
+
+
 @query
 def dataset_inventory(spark, sf_dir):
     events = txn(spark, sf_dir)

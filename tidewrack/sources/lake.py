@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, replace
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tidewrack import domain
 from tidewrack.functions.calendar import PARTITION_COLUMNS, with_partitions
 from tidewrack.schemas import GOLD_SCHEMAS, RAW_SCHEMA
+from tidewrack.sources import zones
 from tidewrack.sources.commits import PUBLISHED, QUARANTINED, CommitLog, Conflict, Entry, new_attempt
 from tidewrack.sources.wire import parse_payloads
 
@@ -27,16 +29,28 @@ JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 class Lake:
     """Layers of datasets below a root, on storage all executors share.
 
-    ``grain`` "day" leaves out the hour folders, for datasets with little data per hour.
+    ``grain`` "day" leaves out the hour folders, for datasets with little data per hour. ``packed`` leaves out
+    all time folders of Parquet layers: hours share files, found by the zone table; JSON layers have day folders.
+    It is chosen when a lake is made; ``compact`` turns stored Parquet batches over.
     """
 
     root: str
     grain: str = "hour"
+    packed: bool = False
 
     @property
     def partitions(self) -> tuple[str, ...]:
         return PARTITION_COLUMNS[: PARTITION_COLUMNS.index(self.grain) + 1]
 
+    def stored_partitions(self, layer: str) -> tuple[str, ...]:
+        """The time folders that a write makes."""
+        if not self.packed:
+            return self.partitions
+        return PARTITION_COLUMNS[:3] if layer in _JSON_LAYERS else ()
+
+    def zones_path(self, layer: str, dataset: str, attempt: str) -> str:
+        return f"{self.root.rstrip('/')}/_zones/{layer}/{dataset}/attempt={attempt}"
+
     def path(self, layer: str, dataset: str) -> str:
         if layer not in domain.LAYERS:
             raise ValueError(f"unknown layer {layer!r}")
@@ -102,9 +116,11 @@ def store_rows(
     """
     attempt = attempt or new_attempt()
     folder = f"{lake.path(layer, dataset)}/attempt={attempt}"
-    rows = with_partitions(rows, time_column, lake.partitions)
+    stored = lake.stored_partitions(layer)
+    packed_by = time_column if lake.packed and layer not in _JSON_LAYERS else None
+    rows = with_partitions(rows.drop(*lake.partitions), time_column, stored)
     if gather:
-        rows = rows.hint("rebalance", "batch", *lake.partitions)
+        rows = zones.ranged(rows, time_column) if packed_by else rows.hint("rebalance", "batch", *stored)
     seen = Observation()
     day = F.to_date(time_column).cast("string")
     counts = []
@@ -117,16 +133,20 @@ def store_rows(
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .options(**layer_options(layer))
-        .partitionBy("batch", *lake.partitions)
+        .partitionBy("batch", *stored)
         .format(layer_format(layer))
         .save(folder)
     )
-    if not counts:
+    found = []
+    if packed_by or not counts:
         found = [path.getName().removeprefix("batch=") for path in folders(rows.sparkSession, f"{folder}/batch=*")]
-        return {name: Entry(name, f"attempt={attempt}/batch={name}") for name in found}
+    if packed_by and found:
+        zones.write(rows.sparkSession, folder, lake.zones_path(layer, dataset, attempt), time_column)
+    if not counts:
+        return {name: Entry(name, f"attempt={attempt}/batch={name}", packed_by=packed_by) for name in found}
     got = seen.get
     return {
-        name: Entry(name, f"attempt={attempt}/batch={name}" if got[f"rows{i}"] else "", PUBLISHED, got[f"rows{i}"], got[f"first{i}"], got[f"last{i}"])
+        name: Entry(name, f"attempt={attempt}/batch={name}" if got[f"rows{i}"] else "", PUBLISHED, got[f"rows{i}"], got[f"first{i}"], got[f"last{i}"], packed_by=packed_by)
         for i, name in enumerate(batches)
     }
 
@@ -210,18 +230,24 @@ def live_entries(spark: SparkSession, lake: Lake, layer: str, dataset: str, stat
 def read_entries(spark: SparkSession, lake: Lake, layer: str, dataset: str, entries: list[Entry], schema: str | None = None) -> DataFrame:
     """Rows of some batches, with ``batch`` and the time folders as columns; opens only their folders."""
     root = lake.path(layer, dataset)
-    paths = [f"{root}/{entry.path}" for entry in entries if entry.path]
-    names = ("attempt", "batch", *lake.partitions)
-    if not paths:
+    entries = [entry for entry in entries if entry.path]
+    foldered = lake.stored_partitions(layer) or lake.partitions
+    if not entries:
         if schema is None:
             raise FileNotFoundError(f"nothing is published in {layer}/{dataset}")
-        return spark.createDataFrame([], f"{schema}, {', '.join(f'{n} STRING' for n in names[1:])}")
-    reader = spark.read.option("basePath", root).format(layer_format(layer))
-    if schema is not None:
-        reader = reader.schema(f"{schema}, {', '.join(f'{n} STRING' for n in names)}")
-    rows = reader.load(paths)
+        return spark.createDataFrame([], f"{schema}, {', '.join(f'{n} STRING' for n in ('batch', *foldered))}")
+    rows = None
+    for packed_by in sorted({entry.packed_by or "" for entry in entries}):
+        names = ("attempt", "batch") if packed_by else ("attempt", "batch", *foldered)
+        reader = spark.read.option("basePath", root).format(layer_format(layer))
+        if schema is not None:
+            reader = reader.schema(f"{schema}, {', '.join(f'{n} STRING' for n in names)}")
+        part = reader.load([f"{root}/{entry.path}" for entry in entries if (entry.packed_by or "") == packed_by])
+        if packed_by:
+            part = with_partitions(part, packed_by, lake.partitions)
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
     for entry in entries:  # the few batches that an expiry cut in two
-        if entry.path and entry.hidden_before:
+        if entry.hidden_before:
             expired = (F.col("batch") == entry.batch) & (F.col("attempt") == entry.attempt) & (_day_folder() < entry.hidden_before)
             rows = rows.filter(~expired)
     return rows.drop("attempt")
@@ -261,6 +287,67 @@ def read_layer(
     return rows.drop("reasons") if layer == "bronze" else rows
 
 
+def read_between(spark: SparkSession, lake: Lake, layer: str, dataset: str, since: datetime, until: datetime) -> DataFrame:
+    """Published rows of a packed Parquet layer from ``since`` on and before ``until``, by the time it is ranged by.
+
+    Opens the files whose zone overlaps; their names, not their rows, pass through the driver. Rows
+    without a time are in no range. Batches in time folders raise: ``compact`` them first.
+    """
+    entries = live_entries(spark, lake, layer, dataset, first=str(since.date()), last=str(until.date()))
+    root = lake.path(layer, dataset)
+    packed = [entry for entry in entries if entry.packed_by]
+    rest = [entry for entry in entries if not entry.packed_by]
+    if rest:
+        raise ValueError(f"{len(rest)} batches of {layer}/{dataset} are not packed; compact them first")
+    known = zones.read(spark, sorted({lake.zones_path(layer, dataset, entry.attempt) for entry in packed}))
+    wanted = {entry.path for entry in packed}
+    files = [row["file"] for row in zones.overlapping(known, since, until).select("file").collect()]
+    files = [file for file in files if "/".join(file.split("/")[-3:-1]) in wanted]
+    if not files:
+        return read_layer(spark, lake, layer, dataset).limit(0)
+    rows = spark.read.option("basePath", root).parquet(*files)
+    inside = F.lit(False)
+    for column in sorted({entry.packed_by for entry in packed}):
+        own = F.col("attempt").isin(sorted({entry.attempt for entry in packed if entry.packed_by == column}))
+        inside = inside | (own & (F.col(column) >= F.lit(since)) & (F.col(column) < F.lit(until)))
+    columns = {entry.packed_by for entry in packed}
+    if len(columns) == 1:  # plain comparisons reach the scan
+        column = F.col(columns.pop())
+        inside = (column >= F.lit(since)) & (column < F.lit(until))
+    rows = rows.filter(inside)
+    for entry in packed:
+        if entry.hidden_before:
+            rows = rows.filter(~((F.col("batch") == entry.batch) & (F.to_date(entry.packed_by) < F.lit(entry.hidden_before).cast("date"))))
+    return rows.drop("attempt", "reasons") if layer == "bronze" else rows.drop("attempt")
+
+
+def compact(spark: SparkSession, lake: Lake, layer: str, dataset: str, time_column: str) -> int:
+    """Store a Parquet layer's batches of time folders packed, under their names; gives how many.
+
+    Published at once; a batch that somebody replaces meanwhile makes this start over. Layers with an id index
+    are refused, since ids name the attempt that holds them: write those packed from the start.
+    """
+    if layer in _JSON_LAYERS:
+        raise ValueError(f"{layer} holds text as it came and isn't packed")
+    target = replace(lake, packed=True)
+    log = lake.log(spark, layer, dataset)
+    while True:
+        version, live = log.state()
+        if any(name.startswith("_") for name in live):
+            raise ValueError(f"{layer}/{dataset} has an id index")
+        old = [entry for entry in live.values() if entry.path and not entry.packed_by]
+        if not old:
+            return 0
+        rows = read_entries(spark, replace(lake, packed=False), layer, dataset, old)
+        new = store_rows(rows, target, layer, dataset, time_column)
+        kept = [replace(e, path=new[e.batch].path if e.batch in new else "", hidden_before=None, packed_by=time_column) for e in old]
+        try:
+            log.commit(kept, expected=version)
+        except Conflict:
+            continue
+        return len(old)
+
+
 def stored_layer(spark: SparkSession, lake: Lake, layer: str, dataset: str) -> bool:
     """Whether a layer has published rows."""
     return bool(live_entries(spark, lake, layer, dataset))
@@ -282,7 +369,7 @@ def vacuum(spark: SparkSession, lake: Lake, layer: str, dataset: str, older_than
             system.delete(path, True)
             gone.append(name)
     for entry in live.values():
-        if entry.hidden_before:
+        if entry.hidden_before and not entry.packed_by:
             for day, folder in day_folders(spark, lake, layer, dataset, entry):
                 path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
                 system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -358,6 +445,11 @@ def partition_hours(start: str, end: str) -> Column:
 
 def day_folders(spark: SparkSession, lake: Lake, layer: str, dataset: str, entry: Entry) -> list[tuple[str, str]]:
     """(day, folder) of a batch's stored days, from names alone."""
+    if entry.packed_by:  # the days of its range, without folders
+        if entry.first_day is None or entry.last_day is None:
+            return []
+        first, last = date.fromisoformat(entry.first_day), date.fromisoformat(entry.last_day)
+        return [(str(first + timedelta(days=n)), "") for n in range((last - first).days + 1)]
     found = []
     for path in folders(spark, f"{lake.path(layer, dataset)}/{entry.path}/year=*/month=*/day=*"):
         parts = dict(part.split("=", 1) for part in path.toString().split("/") if "=" in part)
@@ -378,6 +470,8 @@ def expire(spark: SparkSession, lake: Lake, layer: str, dataset: str, limit: str
         gone, marked, dropped = [], [], []
         for entry in touched:
             days = [day for day, _ in day_folders(spark, lake, layer, dataset, entry)]
+            if entry.packed_by and not days:  # its range isn't known
+                continue
             dropped += [(entry.batch, day) for day in days if (entry.hidden_before or "") <= day < limit]
             if all(day < limit for day in days):
                 gone.append(entry.batch)
