@@ -119,3 +119,25 @@ def test_ids_of_other_batches_are_skipped(spark, sf):
     silver = store.read_layer(spark, lake, "silver", DATASET)
     assert silver.count() == 960
     assert silver.filter("batch = 'b'").agg(F.min("seq")).first()[0] >= 600
+
+
+def test_stored_copies_are_dropped_in_place(spark, tmp_path):
+    """Hot, tied and null ids: as ``keep_first``, but whole rows are neither sorted nor shuffled."""
+    rows = skewed(spark).filter("seq < 3000").select("event_id", "arrived_at", "seq", F.lit("wide").alias("payload"))
+    odd = rows.limit(5).withColumn("event_id", F.lit(None).cast("string"))
+    rows.unionByName(rows.filter("seq < 50")).unionByName(odd).repartition(7).write.parquet(f"{tmp_path}/rows")
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    kept, in_place = dedupe.keep_first_stored(stored)
+    assert in_place and kept.columns == stored.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, dedupe.keep_first(stored).collect()))
+    plan = plan_of(kept)
+    assert "Window" not in plan and "hashpartitioning" not in plan
+
+
+def test_many_dropped_rows_are_joined_by_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(dedupe, "FEW", 10)
+    skewed(spark).filter("seq < 3000").select("event_id", "arrived_at", "seq").write.parquet(f"{tmp_path}/rows")
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    kept, in_place = dedupe.keep_first_stored(stored)
+    assert not in_place
+    assert sorted(map(str, kept.collect())) == sorted(map(str, dedupe.keep_first(stored).collect()))

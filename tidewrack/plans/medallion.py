@@ -74,7 +74,11 @@ def stage(
         {"batch": F.when(good, F.lit(batch_id)).otherwise(F.lit(f"{batch_id}.rejected")), "reasons": quality.reasons(dataset), "_risk": F.col("risk_score")}
     )
     counted = Observation()
-    seen = flagged.observe(counted, *[count.alias(name) for name, count in quality.row_counts(dataset).items()])
+    flagged = flagged.withColumns({"_complete": quality.is_complete(dataset), "_valid": quality.is_valid()})
+    seen = flagged.observe(
+        counted, F.count(F.lit(1)).alias("records"), F.count_if("_complete").alias("complete"), F.count_if("_valid").alias("valid"),
+        F.count_if(F.col("batch") == batch_id).alias("good"),
+    ).drop("_complete", "_valid")
     # a rejected row keeps the risk it came with
     risk = F.when(F.col("batch") == batch_id, F.col("risk_score")).otherwise(F.col("_risk"))
     rows = enrich.enrich(seen, stamp).withColumn("risk_score", risk).drop("_risk")
@@ -130,8 +134,10 @@ def append_silver(spark: SparkSession, lake: Lake, dataset: str, batch_id: str,
     if not entry.path:
         lake.log(spark, "silver", dataset).commit([Entry(batch_id, "", state, 0)])
         return
-    fresh = without_folders(store.read_entry(spark, lake, "bronze", dataset, entry))
-    add_to_silver(spark, lake, dataset, dedupe.keep_first(fresh), "ingested_at", batch_id, state)
+    kept, in_place = dedupe.keep_first_stored(store.read_entry(spark, lake, "bronze", dataset, entry))
+    # bronze has silver's partitions, so rows are written where they are; packed layers are ranged
+    gather = lake.packed or not in_place
+    add_new_ids(spark, lake, "silver", dataset, pii.apply_policy(without_folders(kept), "analyst"), "ingested_at", batch_id, state, gather)
 
 
 def add_to_silver(
@@ -142,7 +148,7 @@ def add_to_silver(
 
 
 def add_new_ids(
-    spark: SparkSession, lake: Lake, layer: str, dataset: str, unique: DataFrame, time_column: str, batch_id: str, state: str = PUBLISHED
+    spark: SparkSession, lake: Lake, layer: str, dataset: str, unique: DataFrame, time_column: str, batch_id: str, state: str = PUBLISHED, gather: bool = True
 ) -> Entry:
     """Publish the rows (one per id) whose id no other live batch of the layer has stored.
 
@@ -153,8 +159,9 @@ def add_new_ids(
     store.checked_name(batch_id)
     while True:
         version, live = log.state()
-        fresh = index.unseen(unique, live, batch_id).withColumn("batch", F.lit(batch_id))
-        entry = store.store_rows(fresh, lake, layer, dataset, time_column, batches=[batch_id])[batch_id]
+        unseen, in_place = index.unseen(unique, live, batch_id)
+        fresh = unseen.withColumn("batch", F.lit(batch_id))
+        entry = store.store_rows(fresh, lake, layer, dataset, time_column, gather or not in_place, batches=[batch_id])[batch_id]
         add = [replace(entry, state=state)]
         if entry.path:
             others = sum(e.rows or 0 for e in live.values() if e.batch != batch_id)

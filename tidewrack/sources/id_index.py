@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewrack.operators.dedupe import drop_rows
 from tidewrack.session import shared_folder
 from tidewrack.sources.commits import CommitLog, Entry, new_attempt
 from tidewrack.sources.lake import Lake, folders, visible
@@ -93,17 +94,18 @@ class IdIndex:
         found.write.parquet(path)
         return self.spark.read.schema(f"{self.key} string, bucket string").parquet(path)
 
-    def unseen(self, rows: DataFrame, live: dict[str, Entry], batch_id: str) -> DataFrame:
-        """The rows (one per id) whose id no other live batch has stored."""
+    def unseen(self, rows: DataFrame, live: dict[str, Entry], batch_id: str) -> tuple[DataFrame, bool]:
+        """The rows (one per id) whose id no other live batch has stored, and whether they stay in their tasks."""
         owners = sorted({e.attempt for e in live.values() if visible(e) and e.batch not in (batch_id, PAGES)})
         if not owners:
-            return rows
+            return rows, True
         maybes = self.maybes(rows, live)
         stored = self.opened(maybes, owners)
         if stored is None:
-            return rows
-        hits = stored.join(maybes.select(self.key), self.key, "left_semi").select(self.key)
-        return rows.join(hits, self.key, "left_anti")
+            return rows, True
+        path = shared_folder(self.spark, "stored-already")
+        stored.join(maybes.select(self.key), self.key, "left_semi").select(self.key).write.parquet(path)
+        return drop_rows(rows, self.spark.read.schema(f"{self.key} string").parquet(path), (self.key,))
 
     def add(self, rows: DataFrame, attempt: str, live: dict[str, Entry], total: int) -> Entry:
         """Store the ids of ``rows`` for an attempt and give the entry of pages that hold them too.

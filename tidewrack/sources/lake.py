@@ -122,11 +122,11 @@ def store_rows(
     if gather:
         rows = zones.ranged(rows, time_column) if packed_by else rows.hint("rebalance", "batch", *stored)
     seen = Observation()
-    day = F.to_date(time_column).cast("string")
+    day = F.to_date(time_column)
     counts = []
     for number, name in enumerate(batches or []):
         own = F.col("batch") == name
-        counts += [F.count_if(own).alias(f"rows{number}"), F.min(F.when(own, day)).alias(f"first{number}"), F.max(F.when(own, day)).alias(f"last{number}")]
+        counts += [F.count_if(own).alias(f"rows{number}"), F.min(F.when(own, day)).cast("string").alias(f"first{number}"), F.max(F.when(own, day)).cast("string").alias(f"last{number}")]
     if counts:
         rows = rows.observe(seen, *counts)
     (
