@@ -119,3 +119,43 @@ def test_fingerprints_keep_similar_pairs():
     for n in (8, 16, 80, 800):  # common / (common + 2 own) = 0.8
         assert all(apart(*pair(n, n // 8)) <= near_sets.REACH for _ in range(400))
     assert sum(apart(*pair(40, 500)) <= near_sets.REACH for _ in range(400)) < 40
+
+
+def test_fingerprint_pairs_come_first(spark):
+    """The stage's fingerprints are linked as op3 links them: each set meets the lowest one within the radius."""
+    from tidewrack.llm import simhash
+
+    draw = np.random.default_rng(9)
+    values = []
+    for base in draw.integers(0, 2**64, 40, np.uint64):
+        values += [int(base), int(base), int(base) ^ 1 << 5, int(base) ^ 7 << 40, int(base) ^ 31 << 20]
+    signed = np.array(values, np.uint64).view(np.int64).tolist()
+    rows = spark.createDataFrame(list(enumerate(signed)), "node long, f long")
+    found = {(r["a"], r["b"]) for r in simhash.close_sets(rows).collect()}
+    head = {}
+    for node, f in enumerate(signed):
+        head.setdefault(f, node)
+    wanted = {(head[f], node) for node, f in enumerate(signed) if head[f] != node}
+    for f in head:
+        lower = [g for g in head if g < f and ((f ^ g) & (2**64 - 1)).bit_count() <= simhash.DISTANCE]
+        if lower:
+            wanted.add(tuple(sorted((head[min(lower)], head[f]))))
+    assert found == wanted
+
+
+def test_sets_that_share_a_passage_are_far_apart():
+    """Of pairs that share a fiftieth of their shingles none is verified; similar sets of few shingles are."""
+    draw = np.random.default_rng(10)
+
+    def close(a, b):
+        one, two = (np.array(near_sets.set_print(np.sort(s)), np.int64).view(np.uint64) for s in (a, b))
+        return int(np.bitwise_count(one ^ two).sum()) <= near_sets.REACH
+
+    passage = draw.integers(0, 2**64, 4, np.uint64)
+    prints = [near_sets.set_print(np.sort(np.r_[passage, draw.integers(0, 2**64, 200, np.uint64)])) for _ in range(300)]
+    prints = np.array(prints, np.int64).view(np.uint64)
+    for i in range(len(prints)):
+        assert (np.bitwise_count(prints[i + 1 :] ^ prints[i]).sum(1) > near_sets.REACH).all()
+    for _ in range(300):
+        few = draw.integers(0, 2**64, 5, np.uint64)
+        assert close(few[:4], few)

@@ -6,10 +6,10 @@ is right; shingles that are frequent in a sample come last, which keeps frequent
 the lists. To spare large groups of near copies all their pairs, members of a list meet its
 first one at first; of the rest, only pairs that are not in one component yet are tried.
 
-Most pairs that meet share a passage and nothing else. Their SimHash fingerprints (128 bits over the sets) are
-far apart, while those of similar sets are close: at a similarity of 0.8 they differ by 19 bits on
-average, at 0.1 by 57. Pairs further apart than ``REACH`` go. A similar pair is that far apart with a
-probability below one in a million. Only what is left is verified, on sets that are made once for each text
+Most pairs that meet share a passage and nothing else. Their SimHash fingerprints (256 bits over the sets) are
+far apart, while those of similar sets are close: at a similarity of 0.8 they differ by 39 bits on
+average, unrelated ones by 128. Pairs further apart than ``REACH`` go. A similar pair is that far apart with a
+probability of about one in a million for sets of four and five shingles, and far less for larger ones. Only what is left is verified, on sets that are made once for each text
 and travel instead of texts.
 """
 
@@ -28,7 +28,9 @@ from tidewrack.llm.tables import components, discard, stored
 
 WORDS, SIMILARITY = 5, 0.8
 #: Most bits that the fingerprints of a pair may differ by to be verified.
-REACH = 48
+REACH = 80
+#: Columns of a fingerprint, 64 bits each.
+PRINT = ("p", "q", "u", "v")
 #: Leaders that a text is held against at first.
 LEADERS = 3
 #: Sets sampled for the order of shingles, and the most shingles that it moves to the end.
@@ -50,22 +52,22 @@ def set_key(shingles: np.ndarray) -> int:
     return int(np.array([xxhash.xxh64_intdigest(shingles.tobytes(), 7)], np.uint64).view(np.int64)[0]) if len(shingles) else 0
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    """64 further bits of each hash."""
+def _mixed(h: np.ndarray, step: int) -> np.ndarray:
+    """64 further bits of each hash, others for every step."""
+    h = h + np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
 
 
-def set_print(shingles: np.ndarray) -> tuple[int, int]:
-    """SimHash of a set in two signed halves: a bit is 1 if it is in over half the shingles' hashes."""
-    total = np.zeros(128, np.int64)
+def set_print(shingles: np.ndarray) -> tuple[int, ...]:
+    """SimHash of a set in signed parts of 64 bits: a bit is 1 if it is in over half the shingles' hashes."""
+    total = np.zeros(64 * len(PRINT), np.int64)
     for start in range(0, len(shingles), 1 << 15):
         some = shingles[start : start + (1 << 15)]
-        both = np.stack([some, _mixed(some)], axis=1).astype("<u8").view(np.uint8).reshape(-1, 16)
-        total += np.unpackbits(both, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    halves = np.packbits(2 * total > len(shingles), bitorder="little").view("<i8")
-    return int(halves[0]), int(halves[1])
+        parts = np.stack([some, *(_mixed(some, step) for step in range(1, len(PRINT)))], axis=1).astype("<u8").view(np.uint8).reshape(-1, 8 * len(PRINT))
+        total += np.unpackbits(parts, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return tuple(np.packbits(2 * total > len(shingles), bitorder="little").view("<i8").tolist())
 
 
 def _frequent(nodes: DataFrame, words: int) -> np.ndarray:
@@ -158,8 +160,8 @@ def _across(similarity: float):
     """Pairs of a list that are in different components and that sizes, places and fingerprints allow."""
 
     def work(columns: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
-        s, n, node, at, part, p, q = columns
-        p, q = p.view(np.uint64), q.view(np.uint64)
+        s, n, node, at, part = columns[:5]
+        prints = np.stack([c.view(np.uint64) for c in columns[5:]], axis=1)
         low, high, held = [], [], 0
         for lo, hi in _runs(s):
             if (part[lo:hi] == part[lo]).all():
@@ -171,7 +173,7 @@ def _across(similarity: float):
                 most = np.minimum(at[i], at[rest]) + 1 + np.minimum(n[i] - at[i], n[rest] - at[rest]) - 1
                 fits = (part[rest] != part[i]) & (n[i] >= similarity * n[rest] - 1e-9) & (most >= common - 1e-6)
                 left = np.flatnonzero(fits) + i + 1
-                apart = np.bitwise_count(p[left] ^ p[i]).astype(np.int64) + np.bitwise_count(q[left] ^ q[i])
+                apart = np.bitwise_count(prints[left] ^ prints[i]).sum(1, dtype=np.int64)
                 others = node[left[apart <= REACH]]
                 if len(others):
                     low.append(np.minimum(others, node[i]))
@@ -188,8 +190,8 @@ def _across(similarity: float):
 
 def _close(pairs: DataFrame, prints: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` whose fingerprints differ by REACH bits or less."""
-    one, two = (prints.select(F.col("node").alias(n), F.col("p").alias(f"{n}p"), F.col("q").alias(f"{n}q")) for n in "ab")
-    apart = F.bit_count(F.col("ap").bitwiseXOR(F.col("bp"))) + F.bit_count(F.col("aq").bitwiseXOR(F.col("bq")))
+    one, two = (prints.select(F.col("node").alias(n), *[F.col(x).alias(f"{n}{x}") for x in PRINT]) for n in "ab")
+    apart = sum(F.bit_count(F.col(f"a{x}").bitwiseXOR(F.col(f"b{x}"))) for x in PRINT)
     return pairs.join(one, "a").join(two, "b").filter(apart <= REACH).select("a", "b")
 
 
@@ -221,10 +223,11 @@ def _verified(pairs: DataFrame, nodes: DataFrame, words: int, similarity: float)
     return found
 
 
-def links(nodes: DataFrame, prints: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def links(nodes: DataFrame, prints: DataFrame, near: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b) with a < b whose components are those of all pairs of similar texts.
 
-    ``nodes`` (node: long, unique; text) and ``prints`` (node, p, q: its ``set_print``) are stable when read again.
+    ``nodes`` (node: long, unique; text) and ``prints`` (node and its ``set_print``) are stable when read again.
+    ``near`` (a, b) are pairs found by their fingerprints; lists find what is further apart.
     """
     listed = _listed(nodes, words, similarity, _frequent(nodes, words)).select("s", "n", "node", "at")
     in_order = listed.repartition("s").sortWithinPartitions("s", "n", "node")
@@ -232,12 +235,13 @@ def links(nodes: DataFrame, prints: DataFrame, words: int = WORDS, similarity: f
     # a text meets the leaders of a few of its lists, drawn by hash: most lists of a near copy are its group's
     drawn = F.array_distinct(F.array(*[F.min_by("leader", F.xxhash64("s", F.lit(draw))) for draw in range(LEADERS)]))
     met = shared.filter("node <> leader").groupBy("node").agg(drawn.alias("leaders")).select("node", F.explode("leaders").alias("leader"))
-    met = met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    met = met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    met = met.unionByName(near).distinct()
     tried = stored(_close(met, prints), "near-led")
     found = _verified(tried, nodes, words, similarity)
     roots = components(found, "near-led-components")
-    known = prints.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("part"), "p", "q")
-    parted = shared.drop("leader").join(known, "node").select("s", "n", "node", "at", "part", "p", "q")
+    known = prints.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("part"), *PRINT)
+    parted = shared.drop("leader").join(known, "node").select("s", "n", "node", "at", "part", *PRINT)
     in_order = parted.repartition("s").sortWithinPartitions("s", "n", "node")
     across = in_order.mapInArrow(_across(similarity), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
     across = stored(across, "near-across")

@@ -194,32 +194,49 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     return found.select(F.col("id").alias(id_column), digits.alias("fingerprint"), "component_id")
 
 
+def close_sets(prints: DataFrame, distance: int = DISTANCE, partitions: int = PARTITIONS) -> DataFrame:
+    """(a, b) with a < b: each node of ``prints`` (node, f: fingerprint) with the least node of its fingerprint, and that
+    one with the least node of the lowest fingerprint within ``distance`` bits.
+    """
+    heads = stored(prints.groupBy("f").agg(F.min("node").alias("head")), "close-heads")
+    lowest = links(heads.select("f"), distance, partitions).groupBy("b").agg(F.min("a").alias("a"))
+    one, two = (heads.select(F.col("f").alias(n), F.col("head").alias(f"{n}head")) for n in "ab")
+    over = lowest.join(one, "a").join(two, "b").select(F.col("ahead").alias("a"), F.col("bhead").alias("b"))
+    same = prints.join(heads, "f").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    both = over.unionByName(same).filter("a <> b")
+    return stored(both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "close-sets")
+
+
 def drop_near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words: int = near_sets.WORDS, similarity: float = near_sets.SIMILARITY) -> DataFrame:
     """One row of each component stays, with all its columns: that of the smallest id (nulls last).
 
     Linked are texts whose sets of ``words``-word shingles have a Jaccard similarity of
-    ``similarity`` or more. So similar sets differ by more fingerprint bits than can be
-    probed, so pairs meet over lists of shingles; fingerprints of 128 bits then tell
-    those that may be similar from those that only share a passage, and sets decide. Texts without words
+    ``similarity`` or more. SimHash fingerprints of the sets within ``DISTANCE`` bits are found by the generalised
+    pigeonhole principle. Most similar sets differ by more bits than can be probed, so pairs also
+    meet over lists of shingles; fingerprints of 256 bits then tell those
+    that may be similar from those that only share a passage, and sets decide. Texts without words
     are one component. Of rows that repeat the smallest id, one stays: that of the longest text, then the least one.
     """
 
-    @F.pandas_udf("f long, p long, q long")
+    parts = near_sets.PRINT
+
+    @F.pandas_udf(f"f long, {', '.join(f'{x} long' for x in parts)}")
     def digest(texts: pd.Series) -> pd.DataFrame:
         sets = [near_sets.shingle_set(t, words) for t in texts]
-        return pd.DataFrame([(near_sets.set_key(s), *near_sets.set_print(s)) for s in sets], columns=["f", "p", "q"], dtype="int64")
+        return pd.DataFrame([(near_sets.set_key(s), *near_sets.set_print(s)) for s in sets], columns=["f", *parts], dtype="int64")
 
     row, bits = unused(docs, "row_number_"), unused(docs, "shingles_key_")
     whole = stored(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(bits, digest(F.col(text))), "fingerprinted")
     rows = whole.select(F.col(row).alias("uid"), F.col(id_column).alias("id"), F.col(bits).getField("f").alias("f"), F.length(text).alias("n"), F.xxhash64(text).alias("h"))
-    first_of = F.min(F.struct("uid", F.col("p").alias("p"), F.col("q").alias("q"))).alias("x")
-    prints = whole.select(F.col(row).alias("uid"), F.col(bits).getField("f").alias("f"), F.col(bits).getField("p").alias("p"), F.col(bits).getField("q").alias("q"))
-    node_of = stored(prints.groupBy("f").agg(first_of).select("f", F.col("x.uid").alias("node"), "x.p", "x.q"), "near-nodes")
+    first_of = F.min(F.struct("uid", *parts)).alias("x")
+    prints = whole.select(F.col(row).alias("uid"), *[F.col(bits).getField(x).alias(x) for x in ("f", *parts)])
+    node_of = stored(prints.groupBy("f").agg(first_of).select("f", F.col("x.uid").alias("node"), *[f"x.{x}" for x in parts]), "near-nodes")
     real = node_of.filter("f <> 0")
     # texts stay where they are: what leaves are the few rows that repeat a set or have none
     repeats = stored(rows.join(node_of, "f").filter("uid <> node or f = 0").select(F.col("uid").alias("node")), "near-repeats")
     nodes = whole.select(F.col(row).alias("node"), F.col(text).alias("text")).join(repeats, "node", "left_anti")
-    roots = components(near_sets.links(nodes, real.select("node", "p", "q"), words, similarity), "near-components")
+    near = close_sets(real.select("node", F.col(parts[0]).alias("f")))
+    roots = components(near_sets.links(nodes, real.select("node", *parts), near, words, similarity), "near-components")
     rooted = stored(node_of.join(roots, "node", "left").select("f", F.coalesce("root", "node").alias("root")), "near-roots")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", F.negative(F.coalesce("n", F.lit(0))).alias("n"), "h", "uid"))
     of_root = stored(rows.join(rooted, "f").select("uid", "root", "id", "n", "h"), "near-rows")
