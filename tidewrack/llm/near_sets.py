@@ -4,13 +4,17 @@ Put every set's shingles into one common order. Two sets of similarity t or more
 shingle among the first n - ceil(t n) + 1 of each, so only those are listed. Any common order
 is right; shingles that are frequent in a sample come last, which keeps frequent ones out of
 the lists. To spare large groups of near copies all their pairs, members of a list meet its
-first one at first; of the rest, only pairs that are not in one component yet are tried.
+first one at first, then each text meets the few nearest to it by fingerprint in other components; of
+the rest, only pairs that are not in one component yet are tried.
 
 Most pairs that meet share a passage and nothing else. Their SimHash fingerprints (256 bits over the sets) are
 far apart, while those of similar sets are close: at a similarity of 0.8 they differ by 39 bits on
 average, unrelated ones by 128. Pairs further apart than ``REACH`` go. A similar pair is that far apart with a
-probability of about one in a million for sets of four and five shingles, and far less for larger ones. Only what is left is verified, on sets that are made once for each text
-and travel instead of texts.
+probability of about one in a million for sets of four and five shingles, and far less for larger ones. Marks
+rule out more, without any error: they hold for each of a number of cells whether an odd number of a set's shingles
+falls into it, so the marks of two sets differ in at most as many cells as the sets do in shingles. Lists use marks of
+256 cells, pairs marks of 1,024 before they are verified. Only what is left is verified, on sets that are made once
+for each text and travel instead of texts.
 """
 
 from __future__ import annotations
@@ -31,8 +35,12 @@ WORDS, SIMILARITY = 5, 0.8
 REACH = 80
 #: Columns of a fingerprint, 64 bits each.
 PRINT = ("p", "q", "u", "v")
+#: Columns of a text's marks in lists, 64 cells each, and their number for pairs.
+MARKS, PAIR_MARKS = ("w", "x", "y", "z"), 16
 #: Leaders that a text is held against at first.
 LEADERS = 3
+#: The most texts of other components that a text meets for being nearest.
+NEAREST = 3
 #: Sets sampled for the order of shingles, and the most shingles that it moves to the end.
 SAMPLED, FREQUENT = 5_000, 50_000
 
@@ -70,6 +78,18 @@ def set_print(shingles: np.ndarray) -> tuple[int, ...]:
     return tuple(np.packbits(2 * total > len(shingles), bitorder="little").view("<i8").tolist())
 
 
+def set_marks(shingles: np.ndarray, words: int = len(MARKS)) -> tuple[int, ...]:
+    """Whether an odd number of shingles falls into each of ``64 * words`` cells, in signed parts of 64 bits."""
+    cells = (_mixed(shingles, len(PRINT)) % np.uint64(64 * words)).astype(np.int64)
+    odd = (np.bincount(cells, minlength=64 * words) & 1).astype(np.uint8)
+    return tuple(np.packbits(odd, bitorder="little").view("<i8").tolist())
+
+
+def most_apart(sizes, similarity: float):
+    """Most shingles that only one of two sets has if they are as similar as asked; ``sizes`` is the sum of theirs."""
+    return sizes * ((1 - similarity) / (1 + similarity)) + 1e-6
+
+
 def _frequent(nodes: DataFrame, words: int) -> np.ndarray:
     """Shingles of three or more sampled sets, the rarest first; a bounded number."""
 
@@ -156,26 +176,72 @@ def _with_leader(similarity: float):
     return lambda batches: _by_shingle(batches, work, ["s", "n", "node", "at", "leader"])
 
 
+def _allowed(columns: list[np.ndarray], i: int, rest: slice, similarity: float) -> np.ndarray:
+    """Which of ``rest`` are in other components than row i and may be similar by sizes and places."""
+    _, n, _, at, part = columns[:5]
+    common = similarity / (1 + similarity) * (n[i] + n[rest])
+    # prefixes are in one order, so what lies before a shared place in both can be common too
+    most = np.minimum(at[i], at[rest]) + np.minimum(n[i] - at[i], n[rest] - at[rest])
+    larger, smaller = np.maximum(n[i], n[rest]), np.minimum(n[i], n[rest])
+    return (part[rest] != part[i]) & (smaller >= similarity * larger - 1e-9) & (most >= common - 1e-6)
+
+
+def _apart(columns: list[np.ndarray], i: int, left: np.ndarray, prints: np.ndarray, marks: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Those of ``left`` that fingerprints and marks allow to be similar to row i, and the bits their fingerprints differ by."""
+    n = columns[1].astype(np.int64)
+    odd = np.bitwise_count(marks[left] ^ marks[i]).sum(1, dtype=np.int64)
+    left = left[odd <= most_apart(n[i] + n[left], similarity)]
+    apart = np.bitwise_count(prints[left] ^ prints[i]).sum(1, dtype=np.int32)
+    return left[apart <= REACH], apart[apart <= REACH]
+
+
+def _sketches(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints and marks of the rows of a list."""
+    parts = [c.view(np.uint64) for c in columns[5:]]
+    return np.stack(parts[: len(PRINT)], axis=1), np.stack(parts[len(PRINT) :], axis=1)
+
+
+def _nearest(similarity: float):
+    """(node, other, apart): the nearest allowed member of another component in each list, by fingerprint."""
+
+    def work(columns: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+        s, _, node, _, part = columns[:5]
+        prints, marks = _sketches(columns)
+        rows, others, far = [], [], []
+        for lo, hi in _runs(s):
+            if (part[lo:hi] == part[lo]).all():
+                continue
+            for i in range(lo, hi):
+                left = np.flatnonzero(_allowed(columns, i, slice(lo, hi), similarity)) + lo
+                if len(left):
+                    left, apart = _apart(columns, i, left, prints, marks, similarity)
+                if len(left):
+                    best = int(apart.argmin())
+                    rows.append(i)
+                    others.append(left[best])
+                    far.append(apart[best])
+        if rows:
+            yield [node[rows], node[others], np.array(far, np.int32)]
+
+    return lambda batches: _by_shingle(batches, work, ["node", "other", "apart"])
+
+
 def _across(similarity: float):
-    """Pairs of a list that are in different components and that sizes, places and fingerprints allow."""
+    """Pairs of a list that are in different components and that sizes, places, marks and fingerprints allow."""
 
     def work(columns: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
-        s, n, node, at, part = columns[:5]
-        prints = np.stack([c.view(np.uint64) for c in columns[5:]], axis=1)
+        s, _, node, _, part = columns[:5]
+        prints, marks = _sketches(columns)
         low, high, held = [], [], 0
         for lo, hi in _runs(s):
             if (part[lo:hi] == part[lo]).all():
                 continue
             for i in range(lo, hi - 1):
-                rest = slice(i + 1, hi)
-                common = similarity / (1 + similarity) * (n[i] + n[rest])
-                # prefixes are in one order, so what lies before a shared place in both can be common too
-                most = np.minimum(at[i], at[rest]) + 1 + np.minimum(n[i] - at[i], n[rest] - at[rest]) - 1
-                fits = (part[rest] != part[i]) & (n[i] >= similarity * n[rest] - 1e-9) & (most >= common - 1e-6)
-                left = np.flatnonzero(fits) + i + 1
-                apart = np.bitwise_count(prints[left] ^ prints[i]).sum(1, dtype=np.int64)
-                others = node[left[apart <= REACH]]
-                if len(others):
+                left = np.flatnonzero(_allowed(columns, i, slice(i + 1, hi), similarity)) + i + 1
+                if len(left):
+                    left, _ = _apart(columns, i, left, prints, marks, similarity)
+                if len(left):
+                    others = node[left]
                     low.append(np.minimum(others, node[i]))
                     high.append(np.maximum(others, node[i]))
                     held += len(others)
@@ -198,10 +264,14 @@ def _close(pairs: DataFrame, prints: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, nodes: DataFrame, words: int, similarity: float) -> DataFrame:
     """The (a, b) of ``pairs`` (written) whose sets are as similar as asked."""
 
+    marks = [f"m{i}" for i in range(PAIR_MARKS)]
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                yield pa.RecordBatch.from_arrays([pa.array([node]), pa.array([shingle_set(text.as_py(), words).tobytes()], pa.binary())], ["node", "set"])
+                shingles = shingle_set(text.as_py(), words)
+                columns = [[node], [len(shingles)], *([x] for x in set_marks(shingles, PAIR_MARKS))]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([shingles.tobytes()], pa.binary())], ["node", "n", *marks, "set"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,17 +286,21 @@ def _verified(pairs: DataFrame, nodes: DataFrame, words: int, similarity: float)
             yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = stored(nodes.select("node", "text").join(needed, "node", "left_semi").mapInArrow(make, "node long, set binary"), "near-sets")
+    sets = stored(nodes.select("node", "text").join(needed, "node", "left_semi").mapInArrow(make, f"node long, n long, {', '.join(f'{x} long' for x in marks)}, set binary"), "near-sets")
+    one, two = (sets.select(F.col("node").alias(x), *[F.col(m).alias(f"{x}{m}") for m in ("n", *marks)]) for x in "ab")
+    odd = sum(F.bit_count(F.col(f"a{m}").bitwiseXOR(F.col(f"b{m}"))) for m in marks)
+    likely = pairs.join(one, "a").join(two, "b").filter(odd <= most_apart(F.col("an") + F.col("bn"), similarity)).select("a", "b")
+    likely = stored(likely, "near-likely")
     left, right = (sets.select(F.col("node").alias(n), F.col("set").alias(f"s{n}")) for n in "ab")
-    found = stored(pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"), "near-links-found")
-    discard(sets)
+    found = stored(likely.join(right, "b").join(left, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"), "near-links-found")
+    discard(sets, likely)
     return found
 
 
 def links(nodes: DataFrame, prints: DataFrame, near: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b) with a < b whose components are those of all pairs of similar texts.
 
-    ``nodes`` (node: long, unique; text) and ``prints`` (node and its ``set_print``) are stable when read again.
+    ``nodes`` (node: long, unique; text) and ``prints`` (node, its ``set_print`` and ``set_marks``) are stable when read again.
     ``near`` (a, b) are pairs found by their fingerprints; lists find what is further apart.
     """
     listed = _listed(nodes, words, similarity, _frequent(nodes, words)).select("s", "n", "node", "at")
@@ -239,12 +313,21 @@ def links(nodes: DataFrame, prints: DataFrame, near: DataFrame, words: int = WOR
     met = met.unionByName(near).distinct()
     tried = stored(_close(met, prints), "near-led")
     found = _verified(tried, nodes, words, similarity)
-    roots = components(found, "near-led-components")
-    known = prints.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("part"), *PRINT)
-    parted = shared.drop("leader").join(known, "node").select("s", "n", "node", "at", "part", *PRINT)
-    in_order = parted.repartition("s").sortWithinPartitions("s", "n", "node")
-    across = in_order.mapInArrow(_across(similarity), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
-    across = stored(across, "near-across")
+
+    def parted(label: str) -> DataFrame:
+        """Lists with the component that each member is in by now."""
+        known = prints.join(components(found, label), "node", "left").select("node", F.coalesce("root", "node").alias("part"), *PRINT, *MARKS)
+        rows = shared.drop("leader").join(known, "node").select("s", "n", "node", "at", "part", *PRINT, *MARKS)
+        return rows.repartition("s").sortWithinPartitions("s", "n", "node")
+
+    closest = parted("near-led-components").mapInArrow(_nearest(similarity), "node long, other long, apart int")
+    closest = closest.groupBy("node").agg(F.slice(F.sort_array(F.collect_set(F.struct("apart", "other"))), 1, NEAREST).alias("x"))
+    met = closest.select("node", F.explode("x.other").alias("other")).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    # pairs are written before they are compared with those tried: each comes from every list that both are in
+    fresh = stored(stored(met.distinct(), "near-met").join(tried, ["a", "b"], "left_anti"), "near-nearest")
+    tried, found = tried.unionByName(fresh), found.unionByName(_verified(fresh, nodes, words, similarity))
+    across = stored(parted("near-nearest-components").mapInArrow(_across(similarity), "a long, b long").distinct(), "near-across-met")
+    across = stored(across.join(tried, ["a", "b"], "left_anti"), "near-across")
     more = _verified(across, nodes, words, similarity)
     discard(shared, tried, across)
     return found.unionByName(more)

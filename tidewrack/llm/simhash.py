@@ -218,12 +218,12 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "
     are one component. Of rows that repeat the smallest id, one stays: that of the longest text, then the least one.
     """
 
-    parts = near_sets.PRINT
+    parts = (*near_sets.PRINT, *near_sets.MARKS)
 
     @F.pandas_udf(f"f long, {', '.join(f'{x} long' for x in parts)}")
     def digest(texts: pd.Series) -> pd.DataFrame:
         sets = [near_sets.shingle_set(t, words) for t in texts]
-        return pd.DataFrame([(near_sets.set_key(s), *near_sets.set_print(s)) for s in sets], columns=["f", *parts], dtype="int64")
+        return pd.DataFrame([(near_sets.set_key(s), *near_sets.set_print(s), *near_sets.set_marks(s)) for s in sets], columns=["f", *parts], dtype="int64")
 
     row, bits = unused(docs, "row_number_"), unused(docs, "shingles_key_")
     whole = stored(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(bits, digest(F.col(text))), "fingerprinted")
