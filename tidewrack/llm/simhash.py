@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.llm import near_sets
 from tidewrack.llm.tables import components, stored, unused
+from tidewrack.operators.dedupe import drop_rows
 
 SHINGLE, DISTANCE, PARTITIONS = 3, 3, 3
 
@@ -242,4 +243,4 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "
     of_root = stored(rows.join(rooted, "f").select("uid", "root", "id", "n", "h"), "near-rows")
     stay = of_root.groupBy("root").agg(first.alias("first")).select("root", F.col("first.uid").alias("stays"))
     gone = stored(of_root.join(stay, "root").filter("uid <> stays").select(F.col("uid").alias(row)), "near-gone")
-    return whole.join(gone, row, "left_anti").select(*docs.columns)
+    return drop_rows(whole, gone, (row,))[0].select(*docs.columns)  # few ids are sent to the texts, not the texts to the ids
