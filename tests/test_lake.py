@@ -1,5 +1,8 @@
 """Stored layers: repeatable batches, invariants between layers, backfill, gate."""
 
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +138,69 @@ def test_event_json_files(spark, tmp_path):
     assert str(rows["a"]["amount"]) == "12.50" and rows["a"]["amount_raw"] == "12.50"
     assert rows["b"]["amount"] is None and rows["b"]["amount_raw"] == "not-a-number"
     assert rows[None]["_corrupt_record"] == "broken line"
+
+
+def landed(spark, n):
+    """Payloads of one day: text that repeats its field names, also null, broken, of many lines and not ASCII."""
+    text = F.concat(F.lit('{"event_id":"evt-'), "id", F.lit('","customer_name":"Ana Łoś","address":"1 Harbour Street","level":"INFO"}'))
+    odd = {1: F.lit(None).cast("string"), 2: F.lit("not json"), 3: F.lit('{"event_id":\n"a\\"b"}\r\n'), 4: F.lit("")}
+    payload = F.when(F.col("id") == 0, F.lit("{}"))
+    for number, value in odd.items():
+        payload = payload.when(F.col("id") == number, value)
+    arrived = F.timestamp_micros(F.lit(1_767_225_600_000_001) + F.col("id"))
+    return spark.range(n).select(payload.otherwise(text).alias("payload"), arrived.alias("arrived_at"), F.col("id").alias("seq"))
+
+
+def files_of(spark, lake, layer, entry):
+    return [p for p in store.folders(spark, f"{lake.path(layer, DATASET)}/{entry.path}/*/*/*/part-*")]
+
+
+def test_text_layers_are_stored_compressed(spark):
+    rows = landed(spark, 4000)
+    lake = Lake(shared_folder(spark, "test-text"), "day")
+    entries = {"raw": store.land_raw(rows, lake, DATASET, "b0")}
+    rejected = rows.withColumn("reasons", F.array(F.lit("MISSING customer_id"), F.lit("NEGATIVE amount")))
+    entries["quarantine"] = store.write_batch(rejected, lake, "quarantine", DATASET, "arrived_at", "b0")
+    for layer, written in (("raw", rows), ("quarantine", rejected)):
+        back = store.read_layer(spark, lake, layer, DATASET, written.schema.toDDL()).select(*written.columns)
+        assert back.exceptAll(written).count() == 0 and written.exceptAll(back).count() == 0
+        plain = written.select(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
+        files = files_of(spark, lake, layer, entries[layer])
+        stored = sum(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getLen() for p in files)
+        assert files and stored < plain / 4
+    assert {r["layer"]: r["records"] for r in store.stored_inventory(spark, lake, [DATASET]).collect()} == {"raw": 4000, "quarantine": 4000}
+
+
+def test_plain_text_stored_before_is_read_beside_compressed(spark, monkeypatch):
+    rows = landed(spark, 200)
+    lake = Lake(shared_folder(spark, "test-plain"), "day")
+    with monkeypatch.context() as before:
+        before.setattr(store, "layer_options", lambda layer: store.JSON_OPTIONS)
+        store.land_raw(rows.filter("seq < 90"), lake, DATASET, "b0")
+    store.land_raw(rows.filter("seq >= 90"), lake, DATASET, "b1")
+    back = store.read_layer(spark, lake, "raw", DATASET, "payload string, arrived_at timestamp, seq bigint")
+    assert back.select("payload", "arrived_at", "seq").exceptAll(rows).count() == 0 and back.count() == 200
+
+
+def test_a_hot_day_of_text_is_read_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(store, "TEXT_FILE_ROWS", 100)
+    lake = Lake(shared_folder(spark, "test-hot-text"), "day")
+    entry = store.land_raw(landed(spark, 1000).coalesce(1), lake, DATASET, "b0")
+    assert len(files_of(spark, lake, "raw", entry)) >= 10
+    assert store.read_layer(spark, lake, "raw", DATASET, "payload string, arrived_at timestamp, seq bigint").select("seq").distinct().count() == 1000
+
+
+def test_a_layer_write_leaves_no_shuffle_files(spark):
+    def shuffled():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return sum(p.stat().st_size for folder in folders for p in Path(folder).rglob("shuffle_*.data"))
+
+    rows = landed(spark, 20_000)
+    lake = Lake(shared_folder(spark, "test-shuffles"), "day")
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffled(), spark.conf.get(name, None)
+    store.land_raw(rows, lake, DATASET, "b0")
+    until = time.monotonic() + 20
+    while shuffled() > before and time.monotonic() < until:  # dropped by a job of its own
+        time.sleep(0.2)
+    assert shuffled() <= before and spark.conf.get(name, None) == setting

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -55,6 +57,24 @@ def build_session(
     return configure(builder.getOrCreate())
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a job run inside go when it ends; else they stay until the driver happens to collect its garbage.
+
+    For writes: nothing reads their shuffles afterwards, while a frame that is collected twice may.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's ``spark.checkpoint.dir``.
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidewrack import domain
 from tidewrack.functions.calendar import PARTITION_COLUMNS, with_partitions
 from tidewrack.schemas import GOLD_SCHEMAS, RAW_SCHEMA
+from tidewrack.session import shuffles_dropped
 from tidewrack.sources import zones
 from tidewrack.sources.commits import PUBLISHED, QUARANTINED, CommitLog, Conflict, Entry, new_attempt
 from tidewrack.sources.wire import parse_payloads
@@ -23,6 +24,11 @@ from tidewrack.sources.wire import parse_payloads
 _JSON_LAYERS = ("raw", "quarantine")
 # microseconds survive; the JSON default keeps milliseconds only
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+#: Stored text repeats its field names in every row and attempts stay until ``vacuum``: compressed it takes an eighth. Readers
+#: tell by a file's name, so plain files stored before are read as well.
+_TEXT_CODEC = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+#: A compressed file is read by one task, so it ends after so many rows.
+TEXT_FILE_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -99,7 +105,7 @@ def layer_format(layer: str) -> str:
 
 
 def layer_options(layer: str) -> dict[str, str]:
-    return JSON_OPTIONS if layer in _JSON_LAYERS else {}
+    return {**JSON_OPTIONS, **_TEXT_CODEC, "maxRecordsPerFile": str(TEXT_FILE_ROWS)} if layer in _JSON_LAYERS else {}
 
 
 def store_rows(
@@ -129,14 +135,15 @@ def store_rows(
         counts += [F.count_if(own).alias(f"rows{number}"), F.min(F.when(own, day)).cast("string").alias(f"first{number}"), F.max(F.when(own, day)).cast("string").alias(f"last{number}")]
     if counts:
         rows = rows.observe(seen, *counts)
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .options(**layer_options(layer))
-        .partitionBy("batch", *stored)
-        .format(layer_format(layer))
-        .save(folder)
-    )
+    with shuffles_dropped(rows.sparkSession):
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .options(**layer_options(layer))
+            .partitionBy("batch", *stored)
+            .format(layer_format(layer))
+            .save(folder)
+        )
     found = []
     if packed_by or not counts:
         found = [path.getName().removeprefix("batch=") for path in folders(rows.sparkSession, f"{folder}/batch=*")]
